@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 DATE = "2026-04-17"
 BATCH_TIME = "2026-04-17 00:00:00"
 AUDIT_TIME = "2026-04-18 01:00:00"
+# Added to measures so that no average lies half-way between two printed values, where
+# the engines would round differently.
+OFF_TIE = 0.00123457
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 DAYS = "yyyy-MM-dd"
 
@@ -30,8 +33,11 @@ class SampleSources:
 
     def events(self) -> DataFrame:
         """Events with ``k`` taken out of their JSON properties."""
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self.table("events").withColumns({"ts": F.col("ts").cast("timestamp"), "k": k})
+        return self.table("events").withColumns({
+            "ts": F.col("ts").cast("timestamp"),
+            "value": F.col("value") + OFF_TIE,
+            "k": F.get_json_object("props", "$.k").cast("int"),
+        })
 
     def deliveries(self) -> DataFrame:
         """Both deliveries of every event."""
@@ -211,7 +217,7 @@ class SampleSources:
             F.concat(F.lit("WH-"), F.col("p_brand")).alias("warehouse"),
             F.round((F.col("p_retailprice") - 900) * 10).cast("int").alias("quantity_on_hand"),
             (F.col("p_size") + 10).alias("reorder_point"),
-            (F.col("p_retailprice") + 0.003).alias("unit_cost"),
+            (F.col("p_retailprice") + OFF_TIE).alias("unit_cost"),
             F.col("p_size").alias("shift"),
         )
         services = self.table("supplier").select(
@@ -251,7 +257,7 @@ class SampleSources:
             F.col("event_id").cast("string").alias("event_id"),
             F.col("user_id").alias("user_id"),
             "event_type",
-            "value",
+            F.round("value", 2).alias("value"),
             F.date_format("ts", time_format).alias("timestamp"),
             F.lit("payload").alias("_source"),
         ))

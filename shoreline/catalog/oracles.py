@@ -5,14 +5,15 @@ The common table expressions derive the same source rows as ``frames.py``.
 
 from __future__ import annotations
 
-from shoreline.catalog.frames import AUDIT_TIME, BATCH_TIME, DATE
+from shoreline.catalog.frames import AUDIT_TIME, BATCH_TIME, DATE, OFF_TIE
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 DAY = "'%Y-%m-%d'"
 
 SOURCES = f"""
 ev AS (
-  SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+  SELECT * REPLACE (value + {OFF_TIE} AS value),
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ),
 deliveries AS (
   SELECT event_id, ts, user_id, event_type, k, value,
@@ -96,7 +97,7 @@ stock_once AS (
   SELECT 'p' || p_partkey AS sku, p_name AS product_name, p_type AS category,
          'WH-' || p_brand AS warehouse,
          CAST(round((p_retailprice - 900) * 10) AS INTEGER) AS quantity_on_hand,
-         p_size + 10 AS reorder_point, p_retailprice + 0.003 AS unit_cost, p_size AS shift FROM part
+         p_size + 10 AS reorder_point, p_retailprice + {OFF_TIE} AS unit_cost, p_size AS shift FROM part
   UNION ALL
   SELECT 's' || s_suppkey, s_name, 'SERVICE', 'WH-none', 0, NULL, s_acctbal, s_nationkey
   FROM supplier
@@ -304,9 +305,9 @@ share AS (SELECT wh.*, (SELECT total FROM cogs) / (SELECT count(*) FROM wh) AS c
 
 _LINES = """
 payloads AS (
-  SELECT event_id, event_type, user_id, value, ts,
+  SELECT event_id, event_type, user_id, round(value, 2) AS value, ts,
          to_json({{'event_id': CAST(event_id AS VARCHAR), 'user_id': user_id,
-                   'event_type': event_type, 'value': value,
+                   'event_type': event_type, 'value': round(value, 2),
                    'timestamp': strftime(ts, '{time}'),
                    '_source': 'payload'}}) AS body FROM ev
 ),
@@ -755,11 +756,11 @@ SELECT before AS rows_before, after AS rows_after_dedup, before - after AS dupli
 
 # --- lake jobs -----------------------------------------------------------------------------------------
 
-ORACLES["lake_roundtrip_dynamic_overwrite"] = f"""
+ORACLES["lake_roundtrip_dynamic_overwrite"] = f"""{BASE}
 SELECT event_id, event_type,
-       round(CASE WHEN CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events)
+       round(CASE WHEN CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM ev)
                   THEN value + 1 ELSE value END, 4) AS value,
-       strftime(CAST(ts AS DATE), {DAY}) AS dt FROM events"""
+       strftime(CAST(ts AS DATE), {DAY}) AS dt FROM ev"""
 
 
 def _counts(rows: list[tuple[str, str, str]], extra: str = "") -> str:
