@@ -6,9 +6,9 @@ time that, depending on the event, is earlier than, equal to or later than the f
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATE = "2026-04-17"
@@ -20,246 +20,239 @@ OFF_TIE = 0.00123457
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 DAYS = "yyyy-MM-dd"
 
+CURRENCY = "CASE WHEN k < 50 THEN 'USD' WHEN k < 80 THEN 'EUR' ELSE 'VND' END AS currency"
+METHOD = (
+    "CASE WHEN k < 5 THEN NULL WHEN k < 40 THEN 'card' WHEN k < 70 THEN 'wallet' "
+    "ELSE 'transfer' END AS payment_method"
+)
+
 
-@dataclass(frozen=True)
 class SampleSources:
     """Test tables of one scale factor, shaped like the sources of the lake."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
     def events(self) -> DataFrame:
         """Events with ``k`` taken out of their JSON properties."""
-        return self.table("events").withColumns({
-            "ts": F.col("ts").cast("timestamp"),
-            "value": F.col("value") + OFF_TIE,
-            "k": F.get_json_object("props", "$.k").cast("int"),
-        })
+        return self.table("events").selectExpr(
+            "event_id",
+            "CAST(ts AS TIMESTAMP) AS ts",
+            "user_id",
+            "event_type",
+            f"value + {OFF_TIE}D AS value",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        )
 
+    @cached_property
     def deliveries(self) -> DataFrame:
-        """Both deliveries of every event."""
-        once = self.events()
-        first = once.select(
-            "*",
-            (F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("_ingested_at"),
-            (F.col("event_id") * 2).alias("_kafka_offset"),
-        )
-        again = once.select(
-            *[c for c in once.columns if c != "value"],
-            (F.col("value") + 1).alias("value"),
-            (F.col("ts") + F.expr("make_interval(0, 0, 0, 0, 0, k - 50, 0)")).alias("_ingested_at"),
-            (F.col("event_id") * 2 + 1).alias("_kafka_offset"),
+        """Both deliveries of every event, from one scan."""
+        return self.events.selectExpr("*", "explode(array(0, 1)) AS again").selectExpr(
+            "event_id",
+            "ts",
+            "user_id",
+            "event_type",
+            "k",
+            "CASE again WHEN 0 THEN value ELSE value + 1 END AS value",
+            "ts + make_interval(0, 0, 0, 0, 0, CASE again WHEN 0 THEN 1 ELSE k - 50 END)"
+            " AS _ingested_at",
+            "event_id * 2 + again AS _kafka_offset",
         )
-        return first.unionByName(again)
 
     # --- stream sources ---------------------------------------------------------
 
     def user_events(self) -> DataFrame:
-        k = F.col("k")
-        return self.deliveries().where("event_type <> 'error'").select(
-            F.col("event_id").cast("string").alias("event_id"),
-            F.when(k != 0, F.col("user_id").cast("string")).alias("user_id"),
-            F.concat(F.lit("s"), F.col("user_id")).alias("session_id"),
+        return self.deliveries.where("event_type <> 'error'").selectExpr(
+            "CAST(event_id AS STRING) AS event_id",
+            "CASE WHEN k <> 0 THEN CAST(user_id AS STRING) END AS user_id",
+            "'s' || user_id AS session_id",
             "event_type",
-            F.concat(F.lit("/"), F.col("event_type")).alias("page_url"),
-            F.when(k >= 30, F.lit("/home")).alias("referrer"),
-            F.when(k < 50, "mobile").otherwise("desktop").alias("device"),
-            F.lit("firefox").alias("browser"),
-            F.lit("VN").alias("country"),
-            F.when(k != 1, F.col("ts")).alias("timestamp"),
-            F.lit("user_events").alias("_source"),
+            "'/' || event_type AS page_url",
+            "CASE WHEN k >= 30 THEN '/home' END AS referrer",
+            "CASE WHEN k < 50 THEN 'mobile' ELSE 'desktop' END AS device",
+            "'firefox' AS browser",
+            "'VN' AS country",
+            "CASE WHEN k <> 1 THEN ts END AS timestamp",
+            "'user_events' AS _source",
             "_kafka_offset",
             "_ingested_at",
         )
 
     def clickstream(self) -> DataFrame:
-        k = F.col("k")
-        return self.deliveries().where("event_type = 'error'").select(
-            F.when(k != 2, F.concat(F.lit("r"), F.col("event_id"))).alias("request_id"),
-            F.lit("GET").alias("method"),
-            F.when(k != 3, F.concat(F.lit("/"), F.col("event_type"))).alias("path"),
-            (k + 200).alias("status_code"),
-            F.floor(F.col("value") * 10).cast("int").alias("latency_ms"),
-            F.floor(F.col("value") * 100).cast("bigint").alias("bytes_sent"),
-            F.lit("agent").alias("user_agent"),
-            F.concat(F.lit("10.0.0."), k).alias("ip_address"),
-            F.col("ts").alias("timestamp"),
-            F.lit("clickstream").alias("_source"),
+        return self.deliveries.where("event_type = 'error'").selectExpr(
+            "CASE WHEN k <> 2 THEN 'r' || event_id END AS request_id",
+            "'GET' AS method",
+            "CASE WHEN k <> 3 THEN '/' || event_type END AS path",
+            "k + 200 AS status_code",
+            "CAST(floor(value * 10) AS INT) AS latency_ms",
+            "CAST(floor(value * 100) AS BIGINT) AS bytes_sent",
+            "'agent' AS user_agent",
+            "'10.0.0.' || k AS ip_address",
+            "ts AS timestamp",
+            "'clickstream' AS _source",
             "_kafka_offset",
             "_ingested_at",
         )
 
-    def _currency(self) -> Column:
-        k = F.col("k")
-        return F.when(k < 50, "USD").when(k < 80, "EUR").otherwise("VND")
-
-    def _method(self) -> Column:
-        k = F.col("k")
-        return (
-            F.when(k < 5, F.lit(None)).when(k < 40, "card").when(k < 70, "wallet")
-            .otherwise("transfer")
-        )
-
     def transactions(self) -> DataFrame:
-        k = F.col("k")
-        return self.deliveries().where("event_type <> 'signup'").select(
-            F.concat(F.lit("t"), F.col("event_id")).alias("txn_id"),
-            F.col("user_id").cast("string").alias("user_id"),
-            F.when(k < 14, "refund").otherwise("purchase").alias("txn_type"),
-            F.when(k == 99, F.lit(None)).when(k < 14, -F.col("value"))
-            .otherwise(F.col("value")).alias("amount"),
-            self._currency().alias("currency"),
-            self._method().alias("payment_method"),
-            F.when(k < 60, "completed").when(k < 80, "pending").otherwise("failed").alias("status"),
-            F.concat(F.lit("m"), k).alias("merchant_id"),
-            F.col("ts").alias("timestamp"),
-            F.lit("transactions").alias("_source"),
+        return self.deliveries.where("event_type <> 'signup'").selectExpr(
+            "'t' || event_id AS txn_id",
+            "CAST(user_id AS STRING) AS user_id",
+            "CASE WHEN k < 14 THEN 'refund' ELSE 'purchase' END AS txn_type",
+            "CASE WHEN k = 99 THEN NULL WHEN k < 14 THEN -value ELSE value END AS amount",
+            CURRENCY,
+            METHOD,
+            "CASE WHEN k < 60 THEN 'completed' WHEN k < 80 THEN 'pending' ELSE 'failed' END"
+            " AS status",
+            "'m' || k AS merchant_id",
+            "ts AS timestamp",
+            "'transactions' AS _source",
             "_kafka_offset",
             "_ingested_at",
         )
 
     def payments(self) -> DataFrame:
-        k = F.col("k")
-        return self.deliveries().where("event_type = 'signup'").select(
-            F.concat(F.lit("p"), F.col("event_id")).alias("payment_id"),
-            F.concat(F.lit("o"), F.col("event_id")).alias("order_id"),
-            F.concat(F.lit("c"), F.col("user_id")).alias("customer_id"),
-            F.col("value").alias("amount"),
-            self._currency().alias("currency"),
-            self._method().alias("payment_method"),
-            F.when(k < 70, "success").when(k < 80, "pending").when(k < 90, "failed")
-            .otherwise("refunded").alias("payment_status"),
-            F.lit("gate").alias("gateway"),
-            (F.col("value") * 0.02).alias("transaction_fee"),
-            F.when(k == 98, "not a date")
-            .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("payment_date"),
-            F.lit("payments").alias("_source"),
-            F.concat(F.lit("drop-"), F.col("_kafka_offset")).alias("_file_path"),
+        return self.deliveries.where("event_type = 'signup'").selectExpr(
+            "'p' || event_id AS payment_id",
+            "'o' || event_id AS order_id",
+            "'c' || user_id AS customer_id",
+            "value AS amount",
+            CURRENCY,
+            METHOD,
+            "CASE WHEN k < 70 THEN 'success' WHEN k < 80 THEN 'pending' WHEN k < 90 THEN 'failed'"
+            " ELSE 'refunded' END AS payment_status",
+            "'gate' AS gateway",
+            "value * 0.02D AS transaction_fee",
+            "CASE WHEN k = 98 THEN 'not a date' ELSE date_format(ts, 'yyyy-MM-dd') END"
+            " AS payment_date",
+            "'payments' AS _source",
+            "'drop-' || _kafka_offset AS _file_path",
             "_ingested_at",
         )
 
     def iot_sensors(self) -> DataFrame:
         """Readings: the event type is the sensor type; some have no value."""
-        return self.events().select(
-            F.col("event_id").cast("string").alias("reading_id"),
-            F.concat(F.lit("sensor-"), F.col("user_id")).alias("sensor_id"),
-            F.col("event_type").alias("sensor_type"),
-            F.when(F.col("k") != 4, F.col("value")).alias("value"),
-            F.lit("unit").alias("unit"),
-            F.concat(F.lit("loc_"), F.floor(F.col("k") / 25).cast("string")).alias("location"),
-            F.col("ts").alias("timestamp"),
-            F.lit("iot_sensors").alias("_source"),
-            (F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("_ingested_at"),
+        return self.events.selectExpr(
+            "CAST(event_id AS STRING) AS reading_id",
+            "'sensor-' || user_id AS sensor_id",
+            "event_type AS sensor_type",
+            "CASE WHEN k <> 4 THEN value END AS value",
+            "'unit' AS unit",
+            "'loc_' || CAST(floor(k / 25) AS STRING) AS location",
+            "ts AS timestamp",
+            "'iot_sensors' AS _source",
+            "ts + INTERVAL 1 MINUTE AS _ingested_at",
         )
 
     # --- batch sources ------------------------------------------------------------
 
     def _two_drops(self, df: DataFrame, updated: str, minutes: str) -> DataFrame:
-        """Each row in two drops; the second has ``updated + 1`` and shifted ingest time."""
-        at = F.lit(BATCH_TIME).cast("timestamp")
-        first = df.withColumns({"_file_path": F.lit("drop-1"), "_ingested_at": at})
-        shift = F.expr(f"make_interval(0, 0, 0, 0, 0, {minutes}, 0)")
-        second = df.withColumns({
-            updated: F.col(updated) + 1,
-            "_file_path": F.lit("drop-2"),
-            "_ingested_at": at + shift,
-        })
-        rows = first.unionByName(second)
-        return rows.drop("shift")
+        """Each row in two drops; the second has ``updated + 1`` and a shifted ingest time."""
+        kept = [c for c in df.columns if c not in (updated, "shift")]
+        return df.selectExpr("*", "explode(array(0, 1)) AS again").selectExpr(
+            *kept,
+            f"CASE again WHEN 0 THEN {updated} ELSE {updated} + 1 END AS {updated}",
+            "CASE again WHEN 0 THEN 'drop-1' ELSE 'drop-2' END AS _file_path",
+            f"TIMESTAMP '{BATCH_TIME}' + make_interval(0, 0, 0, 0, 0,"
+            f" CASE again WHEN 0 THEN 0 ELSE {minutes} END) AS _ingested_at",
+        )
 
     def crm(self) -> DataFrame:
         """All customers, and all suppliers as customers that never order."""
-        customers = self.table("customer").select(
-            F.concat(F.lit("c"), F.col("c_custkey")).alias("customer_id"),
-            F.col("c_name").alias("first_name"),
-            F.when(F.col("c_acctbal") >= 0, F.concat(F.col("c_name"), F.lit("@example.com")))
-            .alias("email"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("c_acctbal").alias("lifetime_value"),
-            F.col("c_nationkey").alias("shift"),
+        customers = self.table("customer").selectExpr(
+            "'c' || c_custkey AS customer_id",
+            "c_name AS first_name",
+            "CASE WHEN c_acctbal >= 0 THEN c_name || '@example.com' END AS email",
+            "c_mktsegment AS segment",
+            "c_acctbal AS lifetime_value",
+            "c_nationkey AS shift",
         )
-        suppliers = self.table("supplier").select(
-            F.concat(F.lit("s"), F.col("s_suppkey")).alias("customer_id"),
-            F.col("s_name").alias("first_name"),
-            F.concat(F.col("s_name"), F.lit("@example.com")).alias("email"),
-            F.lit("SUPPLIER").alias("segment"),
-            F.col("s_acctbal").alias("lifetime_value"),
-            F.col("s_nationkey").alias("shift"),
+        suppliers = self.table("supplier").selectExpr(
+            "'s' || s_suppkey AS customer_id",
+            "s_name AS first_name",
+            "s_name || '@example.com' AS email",
+            "'SUPPLIER' AS segment",
+            "s_acctbal AS lifetime_value",
+            "s_nationkey AS shift",
+        )
+        rows = customers.unionByName(suppliers).selectExpr(
+            "*",
+            "'L' AS last_name",
+            "CAST(NULL AS STRING) AS phone",
+            "'2020-01-01' AS registered_date",
+            "'2026-01-01' AS last_purchase_date",
+            "'crm' AS _source",
         )
-        rows = customers.unionByName(suppliers).withColumns({
-            "last_name": F.lit("L"),
-            "phone": F.lit(None).cast("string"),
-            "registered_date": F.lit("2020-01-01"),
-            "last_purchase_date": F.lit("2026-01-01"),
-            "_source": F.lit("crm"),
-        })
         return self._two_drops(rows, "lifetime_value", "shift - 12")
 
     def customer_orders(self) -> DataFrame:
         """All orders."""
-        return self.table("orders").select(
-            F.concat(F.lit("o"), F.col("o_orderkey")).alias("order_id"),
-            F.concat(F.lit("c"), F.col("o_custkey")).alias("customer_id"),
-            F.col("o_totalprice").alias("total_amount"),
-            F.col("o_orderstatus").alias("status"),
-            F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("order_date"),
+        return self.table("orders").selectExpr(
+            "'o' || o_orderkey AS order_id",
+            "'c' || o_custkey AS customer_id",
+            "o_totalprice AS total_amount",
+            "o_orderstatus AS status",
+            "date_format(o_orderdate, 'yyyy-MM-dd') AS order_date",
         )
 
     def inventory(self) -> DataFrame:
         """All parts, and one never sold service item without stock per supplier."""
-        parts = self.table("part").select(
-            F.concat(F.lit("p"), F.col("p_partkey")).alias("sku"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.concat(F.lit("WH-"), F.col("p_brand")).alias("warehouse"),
-            F.round((F.col("p_retailprice") - 900) * 10).cast("int").alias("quantity_on_hand"),
-            (F.col("p_size") + 10).alias("reorder_point"),
-            (F.col("p_retailprice") + OFF_TIE).alias("unit_cost"),
-            F.col("p_size").alias("shift"),
+        parts = self.table("part").selectExpr(
+            "'p' || p_partkey AS sku",
+            "p_name AS product_name",
+            "p_type AS category",
+            "'WH-' || p_brand AS warehouse",
+            "CAST(round((p_retailprice - 900) * 10) AS INT) AS quantity_on_hand",
+            "p_size + 10 AS reorder_point",
+            f"p_retailprice + {OFF_TIE}D AS unit_cost",
+            "p_size AS shift",
+        )
+        services = self.table("supplier").selectExpr(
+            "'s' || s_suppkey AS sku",
+            "s_name AS product_name",
+            "'SERVICE' AS category",
+            "'WH-none' AS warehouse",
+            "0 AS quantity_on_hand",
+            "CAST(NULL AS INT) AS reorder_point",
+            "s_acctbal AS unit_cost",
+            "s_nationkey AS shift",
         )
-        services = self.table("supplier").select(
-            F.concat(F.lit("s"), F.col("s_suppkey")).alias("sku"),
-            F.col("s_name").alias("product_name"),
-            F.lit("SERVICE").alias("category"),
-            F.lit("WH-none").alias("warehouse"),
-            F.lit(0).alias("quantity_on_hand"),
-            F.lit(None).cast("int").alias("reorder_point"),
-            F.col("s_acctbal").alias("unit_cost"),
-            F.col("s_nationkey").alias("shift"),
+        rows = parts.unionByName(services).selectExpr(
+            "*",
+            "'2026-04-01' AS last_restock_date",
+            f"'{DATE}' AS snapshot_date",
+            "'inventory' AS _source",
         )
-        rows = parts.unionByName(services).withColumns({
-            "last_restock_date": F.lit("2026-04-01"),
-            "snapshot_date": F.lit(DATE),
-            "_source": F.lit("inventory"),
-        })
         return self._two_drops(rows, "unit_cost", "shift - 20")
 
     def product_orders(self) -> DataFrame:
         """All order lines."""
-        return self.table("lineitem").select(
-            F.concat(F.lit("o"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
-            .alias("order_id"),
-            F.concat(F.lit("p"), F.col("l_partkey")).alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_amount"),
-            F.date_format(F.col("l_shipdate"), "yyyy-MM-dd").alias("order_date"),
+        return self.table("lineitem").selectExpr(
+            "'o' || l_orderkey || '-' || l_linenumber AS order_id",
+            "'p' || l_partkey AS product_id",
+            "CAST(l_quantity AS INT) AS quantity",
+            "l_extendedprice * (1 - l_discount) AS total_amount",
+            "date_format(l_shipdate, 'yyyy-MM-dd') AS order_date",
         )
 
     # --- raw lines ------------------------------------------------------------------
 
     def topic_lines(self, time_format: str = MICROS) -> DataFrame:
-        """Every event as a topic record. Error events are cut short, views come as arrays."""
-        rows = self.events()
+        """Every event as a topic record. Error events are cut short, views come as arrays,
+        and purchases carry a key of the envelope."""
+        rows = self.events
         body = F.to_json(F.struct(
             F.col("event_id").cast("string").alias("event_id"),
             F.col("user_id").alias("user_id"),
             "event_type",
             F.round("value", 2).alias("value"),
             F.date_format("ts", time_format).alias("timestamp"),
-            F.lit("payload").alias("_source"),
+            F.when(F.col("event_type") == "purchase", "payload").alias("_source"),
         ))
         line = (
             F.when(F.col("event_type") == "error", F.substring(body, F.lit(1), F.length(body) - 1))

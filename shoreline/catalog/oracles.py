@@ -306,10 +306,14 @@ share AS (SELECT wh.*, (SELECT total FROM cogs) / (SELECT count(*) FROM wh) AS c
 _LINES = """
 payloads AS (
   SELECT event_id, event_type, user_id, round(value, 2) AS value, ts,
-         to_json({{'event_id': CAST(event_id AS VARCHAR), 'user_id': user_id,
-                   'event_type': event_type, 'value': round(value, 2),
-                   'timestamp': strftime(ts, '{time}'),
-                   '_source': 'payload'}}) AS body FROM ev
+         CASE event_type WHEN 'purchase' THEN
+           to_json({{'event_id': CAST(event_id AS VARCHAR), 'user_id': user_id,
+                     'event_type': event_type, 'value': round(value, 2),
+                     'timestamp': strftime(ts, '{time}'), '_source': 'payload'}})
+         ELSE
+           to_json({{'event_id': CAST(event_id AS VARCHAR), 'user_id': user_id,
+                     'event_type': event_type, 'value': round(value, 2),
+                     'timestamp': strftime(ts, '{time}')}}) END AS body FROM ev
 ),
 lines AS (
   SELECT event_id, event_type, user_id, value, ts, CAST(body AS VARCHAR) AS body,
@@ -392,11 +396,15 @@ GROUP BY 1, 2"""
 # --- raw records ------------------------------------------------------------------------
 
 ORACLES["bronze_envelope"] = f"""{_with(SOURCES, LINES)}
-SELECT source, strftime(ts, {DAY}) AS dt, strftime(ts, '%H') AS hour,
+SELECT 'bronze' AS zone, source, strftime(ts, {DAY}) AS dt, strftime(ts, '%H') AS hour,
        CAST(event_id AS VARCHAR) AS event_id, user_id, round(value, 4) AS amount,
-       source AS envelope_source, topic, event_id AS kafka_offset,
-       '{AUDIT_TIME.replace(" ", "T")}.000000Z' AS ingested_at, 'payload' AS payload_source
-FROM routed WHERE outcome = 'ok'"""
+       source AS envelope_source, topic AS _kafka_topic, event_id AS _kafka_offset,
+       '{AUDIT_TIME.replace(" ", "T")}.000000Z' AS _ingested_at, line AS _raw,
+       CAST(NULL AS VARCHAR) AS _error_reason
+FROM routed WHERE outcome = 'ok'
+UNION ALL
+SELECT 'dead_letter', source, '{AUDIT_TIME[:10]}', '{AUDIT_TIME[11:13]}', NULL, NULL, NULL, NULL,
+       topic, event_id, NULL, line, outcome FROM routed WHERE outcome <> 'ok'"""
 
 ORACLES["json_parse_split"] = f"""{_with(SOURCES, LINES)}
 SELECT event_id AS "offset", outcome FROM routed"""

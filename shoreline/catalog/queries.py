@@ -62,7 +62,7 @@ def query(function: Callable[[SampleSources], DataFrame]) -> Callable[[SampleSou
 
 @query
 def dedup_latest(src: SampleSources) -> DataFrame:
-    latest = rows.keep_latest(src.deliveries(), "event_id")
+    latest = rows.keep_latest(src.deliveries, "event_id")
     return publish(latest.select("event_id", "user_id", "event_type", "value", "_kafka_offset"))
 
 
@@ -107,7 +107,7 @@ def union_missing_columns(src: SampleSources) -> DataFrame:
 @query
 def conform_to_schema(src: SampleSources) -> DataFrame:
     """Declared types over text input; what does not fit is NULL, absent columns are NULL."""
-    raw = src.events().select(
+    raw = src.events.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.when(F.col("k") < 50, F.col("k").cast("string")).otherwise(F.col("event_type"))
         .alias("status_code"),
@@ -142,28 +142,25 @@ def line_totals(src: SampleSources) -> DataFrame:
 # --- raw records ----------------------------------------------------------------------
 
 
-def _landed(src: SampleSources) -> DataFrame:
-    fixed = F.lit(AUDIT_TIME).cast("timestamp")
-    return envelope.stream_rows(src.topic_lines(), ingested_at=fixed)
-
-
-def _json(path: str, dtype: str = "string"):
-    return F.get_json_object("value", f"$.{path}").cast(dtype)
+LANDED = (
+    "event_id string, user_id bigint, event_type string, value double, _source string, "
+    "_kafka_topic string, _kafka_offset bigint, _ingested_at string, _raw string, "
+    "_error_reason string"
+)
 
 
 @query
 def bronze_envelope(src: SampleSources) -> DataFrame:
-    good = _landed(src).where("zone = 'bronze'")
-    return publish(good.select(
-        "source", "dt", "hour",
-        _json("event_id").alias("event_id"),
-        _json("user_id", "bigint").alias("user_id"),
-        _json("value", "double").alias("amount"),
-        _json("_source").alias("envelope_source"),
-        _json("_kafka_topic").alias("topic"),
-        _json("_kafka_offset", "bigint").alias("kafka_offset"),
-        _json("_ingested_at").alias("ingested_at"),
-        F.get_json_object(_json("_raw"), "$._source").alias("payload_source"),
+    """Every line as it lands: good ones with payload and envelope, bad ones with a reason."""
+    fixed = F.lit(AUDIT_TIME).cast("timestamp")
+    landed = envelope.stream_rows(src.topic_lines(), ingested_at=fixed)
+    return publish(landed.select(
+        "zone", "source", "dt", "hour", F.from_json("value", LANDED).alias("line")
+    ).select(
+        "zone", "source", "dt", "hour", "line.event_id", "line.user_id",
+        F.col("line.value").alias("amount"), F.col("line._source").alias("envelope_source"),
+        "line._kafka_topic", "line._kafka_offset", "line._ingested_at", "line._raw",
+        "line._error_reason",
     ))
 
 
@@ -225,11 +222,8 @@ def _ingested_lake(src: SampleSources) -> Lake:
 @query
 def stream_ingest_available_now(src: SampleSources) -> DataFrame:
     lake = _ingested_lake(src)
-    landed = src.spark.read.schema(
-        "value double, event_id string, event_type string, user_id bigint, timestamp string, "
-        "_source string, _kafka_topic string, _kafka_offset bigint, _raw string, "
-        "zone string, source string, dt string, hour string, batch string"
-    ).json(lake.raw)
+    partitions = "zone string, source string, dt string, hour string, batch string"
+    landed = src.spark.read.schema(f"{LANDED}, {partitions}").json(lake.raw)
     return publish(landed.where("zone = 'bronze'").select(
         "source", "dt", "hour", "event_id", "user_id", "event_type",
         F.col("value").alias("amount"), "_source", "_kafka_topic", "_kafka_offset", "_raw",
@@ -250,7 +244,7 @@ def dead_letter(src: SampleSources) -> DataFrame:
 @query
 def stream_dedup_watermark(src: SampleSources) -> DataFrame:
     root = scratch_path(src.spark, "dedup")
-    twice = _event_stream(src).deliveries().select("event_id", "user_id", "event_type", "ts")
+    twice = _event_stream(src).deliveries.select("event_id", "user_id", "event_type", "ts")
     kept = dedup.first_delivery(twice, "event_id", time_column="ts")
     running = (
         kept.writeStream.format("parquet")
@@ -557,7 +551,7 @@ def contract_not_null(src: SampleSources) -> DataFrame:
 @query
 def contract_primary_key(src: SampleSources) -> DataFrame:
     twice = schemas.Contract("deliveries", {}, (), ("user_id", "event_type"))
-    return contracts.key_duplicates(src.deliveries(), twice)
+    return contracts.key_duplicates(src.deliveries, twice)
 
 
 @query
@@ -619,7 +613,7 @@ def lineage_ratio(src: SampleSources) -> DataFrame:
 
 @query
 def freshness(src: SampleSources) -> DataFrame:
-    return publish(quality.freshness(src.deliveries(), "_ingested_at"))
+    return publish(quality.freshness(src.deliveries, "_ingested_at"))
 
 
 @query
@@ -644,7 +638,7 @@ def dedup_accounting(src: SampleSources) -> DataFrame:
 def lake_roundtrip_dynamic_overwrite(src: SampleSources) -> DataFrame:
     """All days written, then the first day written again with new values."""
     path = f"{scratch_path(src.spark, 'overwrite')}/events"
-    by_day = src.events().select(
+    by_day = src.events.select(
         "event_id", "event_type", "value", F.to_date("ts").alias("dt")
     )
     tables.write_table(by_day, path)

@@ -6,18 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _mark(text: str) -> Column:
+    return F.xxhash64(text)
+
+
 def parse_document(text: str) -> Column:
-    """Text to VARIANT; NULL when the text is not JSON."""
-    return F.try_parse_json(F.col(text))
+    """Text to VARIANT, as the first element of an array that ends in a mark of the text.
+
+    The parser ignores what follows a complete value. Behind the mark nothing of the
+    text can follow, so ``is_document`` sees text with a second value in it.
+    """
+    marked = F.concat(F.lit("["), F.col(text), F.lit(","), _mark(text).cast("string"), F.lit("]"))
+    return F.try_parse_json(marked)
+
 
+def is_document(text: str, document: str) -> Column:
+    """True when the text is exactly one JSON value."""
+    mark = F.try_variant_get(F.col(document), "$[1]", "bigint")
+    return F.coalesce(mark == _mark(text), F.lit(False))
 
-def object_fields(document: str) -> Column:
-    """Top-level keys of a JSON object as a map; NULL for arrays, scalars and JSON null."""
-    return F.try_variant_get(F.col(document), "$", "map<string,variant>")
 
+def object_fields(text: str, document: str) -> Column:
+    """Top-level keys of a JSON object as a map; NULL for anything else."""
+    fields = F.try_variant_get(F.col(document), "$[0]", "map<string,variant>")
+    return F.when(is_document(text, document), fields)
 
-def text_field(fields: Column, key: str) -> Column:
-    return F.try_variant_get(fields[key], "$", "string")
+
+def text_field(document: str, key: str) -> Column:
+    return F.try_variant_get(F.col(document), f"$[0].{key}", "string")
 
 
 def reject_reason(text: str, document: str, fields: str) -> Column:
@@ -25,18 +41,27 @@ def reject_reason(text: str, document: str, fields: str) -> Column:
     return (
         F.when(F.col(fields).isNotNull(), F.lit(None).cast("string"))
         .when(F.trim(F.coalesce(F.col(text), F.lit(""))) == "", "empty")
-        .when(F.col(document).isNull(), "malformed_json")
-        .otherwise("not_an_object")
+        .when(is_document(text, document), "not_an_object")
+        .otherwise("malformed_json")
     )
 
 
-def as_variant(value: Column) -> Column:
-    return value.cast("variant")
-
+def extend_object(text: str, fields: str, extra: dict[str, Column]) -> Column:
+    """JSON text of an object with ``extra`` keys added; they win over payload keys.
 
-def overlay(fields: Column, extra: dict[str, Column]) -> Column:
-    """JSON text of an object with ``extra`` keys set; they win over payload keys."""
+    Usually the keys are appended to the text, which keeps the payload as it was sent.
+    Only a payload that already has one of them (or none at all) is written anew.
+    """
     names = list(extra)
-    entries = [part for name in names for part in (F.lit(name), as_variant(extra[name]))]
+    added = F.to_json(F.struct(*[column.alias(name) for name, column in extra.items()]))
+    one_line = F.btrim(F.translate(F.col(text), "\n\r\t", "   "))
+    body = F.substring(one_line, F.lit(1), F.length(one_line) - 1)
+    appended = F.concat(body, F.lit(","), F.substring(added, F.lit(2), F.length(added) - 1))
+
+    entries = [part for name in names for part in (F.lit(name), extra[name].cast("variant"))]
     kept = F.map_filter(fields, lambda key, _: ~key.isin(names))
-    return F.to_json(F.map_concat(kept, F.create_map(*entries)))
+    rewritten = F.to_json(F.map_concat(kept, F.create_map(*entries)))
+
+    keys = F.map_keys(fields)
+    plain = (F.size(keys) > 0) & ~F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
+    return F.when(plain, appended).otherwise(rewritten)

@@ -33,7 +33,7 @@ def source_of(topic: Column, routes: dict[str, str] | None = None) -> Column:
 def parse_records(records: DataFrame) -> DataFrame:
     """Add the parsed object (``fields``) and the reason for rejecting the line, if any."""
     parsed = records.withColumn("document", pl.parse_document("value")).withColumn(
-        "fields", pl.object_fields("document")
+        "fields", pl.object_fields("value", "document")
     )
     return parsed.withColumn("reason", pl.reject_reason("value", "document", "fields"))
 
@@ -62,14 +62,15 @@ def _raw_rows(parsed: DataFrame, lineage: dict[str, Column], ingested_at: Column
            "_raw": F.col("value"),
            "_error_reason": F.col("reason"),
            "_error_ts": _iso(ingested_at)}
-    event_time = parse_timestamp(pl.text_field(F.col("fields"), "timestamp"))
-    return parsed.select(
-        F.when(good, pl.overlay(F.col("fields"), envelope))
+    event_time = F.when(good, parse_timestamp(pl.text_field("document", "timestamp")))
+    bucket = event_bucket(F.col("_moment"), ingested_at)
+    return parsed.withColumn("_moment", event_time).select(
+        F.when(good, pl.extend_object("value", "fields", envelope))
         .otherwise(F.to_json(F.struct(*[v.alias(k) for k, v in bad.items()])))
         .alias("value"),
         F.when(good, "bronze").otherwise("dead_letter").alias("zone"),
         lineage["_source"].alias("source"),
-        *[v.alias(k) for k, v in event_bucket(event_time, ingested_at).items()],
+        *[v.alias(k) for k, v in bucket.items()],
     )
 
 
