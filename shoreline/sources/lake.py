@@ -50,11 +50,12 @@ class Lake:
 
 
 def _load_or_none(reader: DataFrameReader, fmt: str, path: str) -> DataFrame | None:
-    """Load a path; ``None`` when it does not exist. Any other failure is raised."""
+    """Load a path; ``None`` when it or any file in it is missing. Other failures are raised."""
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # the second one: a table folder into which only empty frames were written
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -75,9 +76,8 @@ def read_raw(
     """
     known = schemas.raw_columns(source)
     wanted = {name: known[name] for name in (columns or known)}
-    found = _load_or_none(
-        spark.read.schema(schemas.ddl(wanted)), "json", f"{lake.bronze(source)}/dt={date}/hour=*"
-    )
+    reader = spark.read.option("basePath", lake.bronze(source)).schema(schemas.ddl(wanted))
+    found = _load_or_none(reader, "json", f"{lake.bronze(source)}/dt={date}")
     return None if found is None else found.select(*wanted)
 
 
@@ -97,8 +97,9 @@ def read_raw_inferred(
     spark: SparkSession, lake: Lake, source: str, date: str, sampling_ratio: float = 1.0
 ) -> DataFrame | None:
     """Same rows with the schema taken from the data (an extra pass over the files)."""
-    reader = spark.read.option("samplingRatio", sampling_ratio)
-    return _load_or_none(reader, "json", f"{lake.bronze(source)}/dt={date}/hour=*")
+    reader = spark.read.option("basePath", lake.bronze(source))
+    reader = reader.option("samplingRatio", sampling_ratio)
+    return _load_or_none(reader, "json", f"{lake.bronze(source)}/dt={date}")
 
 
 def read_product_orders(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
