@@ -160,6 +160,12 @@ def verify_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     return report
 
 
+def preview(df: DataFrame, rows: int = 5) -> None:
+    """Print the schema and a few rows."""
+    df.printSchema()
+    df.show(rows, truncate=False)
+
+
 def all_ok(report: DataFrame) -> DataFrame:
     """One row: no table is missing or broken."""
     return report.agg(F.every(F.col("status") == "ok").alias("passed"))

@@ -19,12 +19,36 @@ JOB_CONF = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
+MB = 1024 * 1024
+TASK_BYTES = 512 * MB
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a job over ``input_bytes``.
+
+    AQE merges small shuffle partitions but never adds any, so the starting number has to
+    fit the data: about 512 MB per task, and a limit that keeps the number of shuffle
+    blocks manageable. Above 10 TB scans take 512 MB per task as well.
+    """
+    partitions = min(max(input_bytes // TASK_BYTES, 200), MAX_SHUFFLE_PARTITIONS)
+    scan = TASK_BYTES if input_bytes > 10 * 1024 * 1024 * MB else 128 * MB
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
+def build_session(
+    app_name: str, master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """Create (or get) a session with the job settings; extra settings win."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**JOB_CONF, **conf}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**JOB_CONF, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

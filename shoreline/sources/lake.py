@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,7 +16,6 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline import schemas
-from shoreline.functions.temporal import calendar_days, processing_day
 from shoreline.operators.shape import empty, storage_type
 
 RAW_PARTITIONS = ["zone", "source", "dt", "hour", "batch"]
@@ -156,16 +156,6 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
     )
 
 
-def read_partition(
-    spark: SparkSession, path: str, date: str, columns: schemas.Columns | None = None
-) -> DataFrame | None:
-    """One date of a table, with its ``dt`` column; ``None`` when the date is absent."""
-    reader = spark.read.option("basePath", path)
-    if columns:
-        reader = reader.schema(schemas.ddl(_stored(columns)))
-    return _load_or_none(reader, "parquet", f"{path}/dt={date}")
-
-
 def read_range(
     spark: SparkSession,
     path: str,
@@ -173,14 +163,21 @@ def read_range(
     days: int = 1,
     columns: schemas.Columns | None = None,
 ) -> DataFrame | None:
-    """The last ``days`` dates up to ``last_date``, pruned by partition."""
-    if days <= 1:
-        return read_partition(spark, path, last_date, columns)
-    found = read_all(spark, path, columns)
-    if found is None:
-        return None
-    age = calendar_days(processing_day(last_date), "dt")
-    return found.where((age >= 0) & (age < days))
+    """The last ``days`` dates up to ``last_date``. Only their folders are listed, however
+    many dates the table has; absent dates are skipped."""
+    last = datetime.date.fromisoformat(last_date)
+    wanted = ",".join(str(last - datetime.timedelta(days=n)) for n in range(days))
+    reader = spark.read.option("basePath", path)
+    if columns:
+        reader = reader.schema(schemas.ddl(_stored(columns)))
+    return _load_or_none(reader, "parquet", f"{path}/dt={{{wanted}}}")
+
+
+def read_partition(
+    spark: SparkSession, path: str, date: str, columns: schemas.Columns | None = None
+) -> DataFrame | None:
+    """One date of a table, with its ``dt`` column; ``None`` when the date is absent."""
+    return read_range(spark, path, date, 1, columns)
 
 
 def read_all(
