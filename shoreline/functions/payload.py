@@ -49,19 +49,18 @@ def reject_reason(text: str, document: str, fields: str) -> Column:
 def extend_object(text: str, fields: str, extra: dict[str, Column]) -> Column:
     """JSON text of an object with ``extra`` keys added; they win over payload keys.
 
-    Usually the keys are appended to the text, which keeps the payload as it was sent.
-    Only a payload that already has one of them (or none at all) is written anew.
+    Usually the keys are put in front of the text, which keeps the payload as it was
+    sent. Only a payload that already has one of them (or none at all) is written anew.
+    The last key must hold a text, so that its JSON ends in a single closing brace.
     """
     names = list(extra)
     added = F.to_json(F.struct(*[column.alias(name) for name, column in extra.items()]))
     one_line = F.btrim(F.translate(F.col(text), "\n\r\t", "   "))
-    body = F.substring(one_line, F.lit(1), F.length(one_line) - 1)
-    appended = F.concat(body, F.lit(","), F.substring(added, F.lit(2), F.length(added) - 1))
+    extended = F.concat(F.rtrim(added, F.lit("}")), F.lit(","), F.substr(one_line, F.lit(2)))
 
     entries = [part for name in names for part in (F.lit(name), extra[name].cast("variant"))]
     kept = F.map_filter(fields, lambda key, _: ~key.isin(names))
     rewritten = F.to_json(F.map_concat(kept, F.create_map(*entries)))
 
-    keys = F.map_keys(fields)
-    plain = (F.size(keys) > 0) & ~F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
-    return F.when(plain, appended).otherwise(rewritten)
+    taken = F.arrays_overlap(F.map_keys(fields), F.array(*[F.lit(n) for n in names]))
+    return F.when((F.size(fields) > 0) & ~taken, extended).otherwise(rewritten)

@@ -34,18 +34,35 @@ def _write_counted(
     counts[layer, name] = counter.counts()[name]
 
 
-def domain_frames(spark: SparkSession, lake: Lake, date: str) -> dict[str, DataFrame]:
-    """Plans of all domain tables for one date; a source without data is an empty frame."""
+def domain_frames(
+    spark: SparkSession,
+    lake: Lake,
+    date: str,
+    counters: dict[str, quality.RowCounter] | None = None,
+) -> dict[str, DataFrame]:
+    """Plans of all domain tables for one date; a source without data is an empty frame.
+
+    With ``counters`` the rows read, unique and complete are counted while a table is written.
+    """
     def raw(source: str) -> DataFrame:
         return tables.read_raw_or_empty(spark, lake, source, date)
 
+    def watch(domain: str) -> silver.Watch | None:
+        if counters is None:
+            return None
+        counters[domain] = quality.RowCounter()
+        return counters[domain].watch
+
+    sold = tables.read_product_orders(spark, lake, date)
     return {
-        "events": silver.events(raw("user_events"), raw("clickstream"), date),
-        "transactions": silver.transactions(raw("transactions"), raw("payments"), date),
-        "customers": silver.customers(raw("crm"), raw("orders"), date),
+        "events": silver.events(
+            raw("user_events"), raw("clickstream"), date, watch=watch("events")),
+        "transactions": silver.transactions(
+            raw("transactions"), raw("payments"), date, watch=watch("transactions")),
+        "customers": silver.customers(
+            raw("crm"), raw("orders"), date, watch=watch("customers")),
         "inventory": silver.inventory(
-            raw("inventory"), tables.read_product_orders(spark, lake, date), date
-        ),
+            raw("inventory"), sold, date, watch=watch("inventory")),
     }
 
 
@@ -61,12 +78,28 @@ def wide_domain_frames(spark: SparkSession, lake: Lake, date: str) -> dict[str,
     }
 
 
-def build_silver(spark: SparkSession, lake: Lake, date: str, wide: bool = False) -> Counts:
-    """Write all domain tables of a date; returns the rows per table."""
-    frames = (wide_domain_frames if wide else domain_frames)(spark, lake, date)
+def build_silver(
+    spark: SparkSession,
+    lake: Lake,
+    date: str,
+    wide: bool = False,
+    steps: dict[str, dict[str, int]] | None = None,
+) -> Counts:
+    """Write all domain tables of a date; returns the rows per table.
+
+    ``steps`` is filled with the rows per domain that were read, unique and complete; rows
+    read minus unique are duplicates, unique minus complete lack a mandatory field.
+    """
+    counters: dict[str, quality.RowCounter] | None = None if steps is None else {}
+    frames = (
+        wide_domain_frames(spark, lake, date) if wide
+        else domain_frames(spark, lake, date, counters)
+    )
     counts: Counts = {}
     for name, df in frames.items():
         _write_counted(counts, "silver", name, df, lake.domain(name))
+        if counters and name in counters:
+            steps[name] = counters[name].counts()
     return counts
 
 

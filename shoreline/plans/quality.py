@@ -199,7 +199,11 @@ def dedup_accounting(
 
 
 class RowCounter:
-    """Counts rows that pass a point of a plan, as a side effect of the action itself."""
+    """Counts rows that pass a point of a plan, as a side effect of the action itself.
+
+    Exact behind the last shuffle. Before it, tasks that run again after a lost executor
+    count again; ``dedup_accounting`` is the exact report.
+    """
 
     def __init__(self) -> None:
         self._observations: dict[str, Observation] = {}

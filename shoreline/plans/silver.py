@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from shoreline.operators.joins import left_join_filled
 from shoreline.operators.rows import ARRIVAL_COLUMNS, keep_latest, require_fields
 from shoreline.operators.shape import align, stack_by_name, stamp
 
+# Counts the rows that pass a named step, see ``quality.RowCounter``.
+Watch = Callable[[DataFrame, str], DataFrame]
+
 CUSTOMER_FILL = {"total_orders": 0, "total_order_value": 0.0, "avg_order_value": 0.0}
 PRODUCT_FILL = {"total_quantity_sold": 0, "total_orders": 0, "total_sales_value": 0.0}
 
@@ -67,24 +72,33 @@ def merge_transactions(transactions: DataFrame, payments: DataFrame) -> DataFram
     )
 
 
-def _latest_complete(df: DataFrame, key: str, required: list[str]) -> DataFrame:
+def _latest_complete(
+    df: DataFrame, key: str, required: list[str], watch: Watch | None = None
+) -> DataFrame:
     """Keep-latest, then the mandatory fields: a newer incomplete row replaces an older one.
 
     Rows without a key are removed first. They would form a single group, which the
     mandatory-field filter removes anyway, and all of them would be sorted for nothing.
     """
-    return require_fields(keep_latest(df.where(F.col(key).isNotNull()), key), required)
+    seen = watch or (lambda frame, _: frame)
+    latest = keep_latest(seen(df, "read").where(F.col(key).isNotNull()), key)
+    return seen(require_fields(seen(latest, "unique"), required), "complete")
 
 
-def events(user_events: DataFrame, clickstream: DataFrame, date: str) -> DataFrame:
+def events(
+    user_events: DataFrame, clickstream: DataFrame, date: str, watch: Watch | None = None
+) -> DataFrame:
     merged = merge_events(user_events, clickstream)
-    rows = _latest_complete(merged, "event_id", schemas.DOMAIN_REQUIRED["events"])
+    rows = _latest_complete(merged, "event_id", schemas.DOMAIN_REQUIRED["events"], watch)
     return stamp(rows.select(*schemas.EVENTS), date)
 
 
-def transactions(transactions: DataFrame, payments: DataFrame, date: str) -> DataFrame:
+def transactions(
+    transactions: DataFrame, payments: DataFrame, date: str, watch: Watch | None = None
+) -> DataFrame:
     merged = merge_transactions(transactions, payments)
-    rows = _latest_complete(merged, "transaction_id", schemas.DOMAIN_REQUIRED["transactions"])
+    required = schemas.DOMAIN_REQUIRED["transactions"]
+    rows = _latest_complete(merged, "transaction_id", required, watch)
     return stamp(rows.select(*schemas.TRANSACTIONS), date)
 
 
@@ -95,10 +109,16 @@ def merge_customers(crm: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def customers(crm: DataFrame, orders: DataFrame, date: str, dedup_orders: bool = False) -> DataFrame:
+def customers(
+    crm: DataFrame,
+    orders: DataFrame,
+    date: str,
+    dedup_orders: bool = False,
+    watch: Watch | None = None,
+) -> DataFrame:
     """Customer table. Only the CRM rows carry the key being deduplicated and the totals
     are unique per customer, so the dedup runs before the join on far fewer rows."""
-    latest = _latest_complete(crm, "customer_id", schemas.DOMAIN_REQUIRED["customers"])
+    latest = _latest_complete(crm, "customer_id", schemas.DOMAIN_REQUIRED["customers"], watch)
     if dedup_orders:
         orders = keep_latest(orders, "order_id")
     return stamp(align(merge_customers(latest, orders), schemas.CUSTOMERS), date)
@@ -122,8 +142,9 @@ def inventory(
     date: str,
     dedup_orders: bool = False,
     out_of_stock_first: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
-    latest = _latest_complete(inventory, "sku", schemas.DOMAIN_REQUIRED["inventory"])
+    latest = _latest_complete(inventory, "sku", schemas.DOMAIN_REQUIRED["inventory"], watch)
     if dedup_orders:
         orders = keep_latest(orders, "order_id")
     merged = merge_inventory(latest, orders, out_of_stock_first)

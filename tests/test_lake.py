@@ -157,6 +157,14 @@ def test_a_day_end_to_end_and_again(spark, filled):
     assert quality.all_ok(quality.verify_gold(spark, filled)).first().passed
 
 
+def test_steps_of_the_domain_tables_are_counted(spark, filled):
+    steps = {}
+    counts_by_table = daily.build_silver(spark, filled, DAY, steps=steps)
+    assert steps["events"]["read"] == 11 and steps["events"]["unique"] == 10
+    assert steps["events"]["complete"] == counts_by_table["silver", "events"]
+    assert steps["customers"] == {"read": 2, "unique": 2, "complete": 2}
+
+
 def test_a_wide_day(spark, filled):
     ledger = counts(daily.run_day(spark, filled, DAY, wide=True))
     assert ledger["silver", "transactions"] == 5
