@@ -66,11 +66,11 @@ def main(argv: list[str] | None = None) -> int:
     elif given.job == "validate":
         report = quality.validate_lake(spark, lake, date)
         report.show(50, truncate=False)
-        return 0 if quality.pipeline_verdict(report).first().passed else 1
+        return 0 if quality.lake_verdict(report).first().passed else 1
     else:
         for kpi in schemas.KPIS:
-            found = read_all(spark, lake.kpi(kpi))
-            if found is not None:
+            found = quality.attempt(lambda path=lake.kpi(kpi): read_all(spark, path))
+            if not isinstance(found, str | None):
                 quality.preview(found)
         report = quality.verify_gold(spark, lake)
         report.show(truncate=False)

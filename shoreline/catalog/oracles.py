@@ -707,7 +707,7 @@ UNION ALL SELECT 'length', 'sensor_type', count(*) FILTER (WHERE length(sensor_t
 def _bronze_row(name: str, table: str, time: str = "_ingested_at") -> str:
     return (f"SELECT 'bronze' AS layer, '{name}' AS table_name, 'ok' AS status, "
             f"count(*) AS row_count, strftime(max({time}), {STAMP}) AS latest, "
-            f"CAST(NULL AS VARCHAR) AS missing_fields FROM {table}")
+            f"CAST(NULL AS VARCHAR) AS error FROM {table}")
 
 
 BRONZE_ROWS = " UNION ALL ".join([
@@ -718,12 +718,12 @@ BRONZE_ROWS = " UNION ALL ".join([
     _bronze_row("iot_sensors", "iot", "timestamp + INTERVAL 1 MINUTE"),
     _bronze_row("crm", "crm"),
     _bronze_row("inventory", "stock"),
-    "SELECT 'bronze', 'orders', 'error', count(*), NULL, '_source, _ingested_at' FROM cust_orders",
+    "SELECT 'bronze', 'orders', 'error', count(*), NULL, 'missing fields: _source, _ingested_at' FROM cust_orders",
     "SELECT 'bronze', 'app_logs', 'missing', 0, NULL, NULL",
 ])
 SILVER_ROWS = " UNION ALL ".join(
     f"SELECT 'silver' AS layer, '{name}' AS table_name, 'ok' AS status, count(*) AS row_count, "
-    f"CAST(NULL AS VARCHAR) AS missing_fields FROM {table}"
+    f"CAST(NULL AS VARCHAR) AS error FROM {table}"
     for name, table in [("events", "ev_silver"), ("transactions", "tx_silver"),
                         ("customers", "crm_latest"), ("inventory", "stock_silver")]
 )
@@ -751,7 +751,8 @@ SELECT count(*) AS row_count, strftime(max(_ingested_at), {STAMP}) AS latest FRO
 
 ORACLES["kpi_profile"] = f"""{_with(SOURCES, DOMAINS, REVENUE)}
 SELECT 'daily_activity' AS kpi, 'ok' AS status, count(*) AS row_count, 3 AS column_count,
-       CAST(NULL AS VARCHAR) AS latest, count(DISTINCT d) AS date_partitions FROM act"""
+       CAST(NULL AS VARCHAR) AS latest, count(DISTINCT d) AS date_partitions,
+       CAST(NULL AS VARCHAR) AS error FROM act"""
 
 ORACLES["dedup_accounting"] = f"""{DOM},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id
@@ -830,4 +831,4 @@ counted AS ({_counts(JOB_GOLD)})
 SELECT table_name AS kpi, 'ok' AS status, row_count,
        CASE table_name WHEN 'daily_revenue' THEN 11 WHEN 'user_retention' THEN 8
                        WHEN 'inventory_turnover' THEN 13 ELSE 12 END AS column_count,
-       CAST(1 AS BIGINT) AS date_partitions FROM counted"""
+       CAST(1 AS BIGINT) AS date_partitions, CAST(NULL AS VARCHAR) AS error FROM counted"""

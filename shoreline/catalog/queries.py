@@ -608,7 +608,7 @@ def layer_verdict(src: SampleSources) -> DataFrame:
 @query
 def lineage_ratio(src: SampleSources) -> DataFrame:
     report = _bronze_report(src).unionByName(_silver_report(src))
-    return publish(quality.pipeline_verdict(report))
+    return publish(quality.lake_verdict(report))
 
 
 @query

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +15,16 @@ from shoreline.functions.measures import percent
 from shoreline.operators.rows import all_present
 from shoreline.sources.lake import Lake, read_all, read_partition, read_raw
 
+# A frame, nothing, or the reason why there is none.
+Table = DataFrame | str | None
+
 REPORT: schemas.Columns = {
     "layer": "string",
     "table_name": "string",
     "status": "string",
     "row_count": "bigint",
     "latest": "timestamp",
-    "missing_fields": "string",
+    "error": "string",
 }
 
 BRONZE_CHECKED = [
@@ -33,17 +39,25 @@ def freshness(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), F.max(column).alias("latest"))
 
 
+def attempt(read: Callable[[], DataFrame | None]) -> Table:
+    """The table, ``None`` without data, or the reason why it cannot be read."""
+    try:
+        return read()
+    except (PySparkException, Py4JJavaError) as error:
+        return str(error).strip().splitlines()[0]
+
+
 def _table_row(
     spark: SparkSession,
     layer: str,
     name: str,
-    df: DataFrame | None,
+    df: Table,
     required: Sequence[str],
     times: Sequence[str],
 ) -> DataFrame:
-    """Status of one table: missing, error (a required column is absent) or ok."""
-    if df is None:
-        given = [(layer, name, "missing", 0, None, None)]
+    """Status of one table: missing, ok, or error (unreadable, or a required column is absent)."""
+    if df is None or isinstance(df, str):
+        given = [(layer, name, "missing" if df is None else "error", 0, None, df)]
         return spark.createDataFrame(given, schemas.ddl(REPORT))
     absent = [c for c in required if c not in df.columns]
     time = next((c for c in times if c in df.columns), None)
@@ -57,14 +71,15 @@ def _table_row(
         F.lit("error" if absent else "ok").alias("status"),
         "row_count",
         F.lit(None).cast("timestamp").alias("latest") if absent else "latest",
-        F.lit(", ".join(absent) or None).cast("string").alias("missing_fields"),
+        F.lit(f"missing fields: {', '.join(absent)}" if absent else None)
+        .cast("string").alias("error"),
     )
 
 
 def layer_report(
     spark: SparkSession,
     layer: str,
-    tables: Mapping[str, DataFrame | None],
+    tables: Mapping[str, Table],
     required: Sequence[str] = (),
     times: Sequence[str] = AUDIT_TIMES,
 ) -> DataFrame:
@@ -76,7 +91,7 @@ def layer_report(
     return report
 
 
-def bronze_report(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+def bronze_report(spark: SparkSession, tables: Mapping[str, Table]) -> DataFrame:
     return layer_report(
         spark, "bronze", tables, required=("_source", "_ingested_at"), times=("_ingested_at",)
     )
@@ -90,7 +105,7 @@ def layer_status(report: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_verdict(report: DataFrame) -> DataFrame:
+def lake_verdict(report: DataFrame) -> DataFrame:
     """One row: all layers passed, rows per layer, silver rows as a percentage of bronze."""
     def rows_of(layer: str):
         return F.coalesce(
@@ -107,9 +122,12 @@ def pipeline_verdict(report: DataFrame) -> DataFrame:
 
 def validate_lake(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
     """Report over all layers of a lake for one date."""
-    bronze = {s: read_raw(spark, lake, s, date) for s in BRONZE_CHECKED}
-    silver = {d: read_partition(spark, lake.domain(d), date) for d in schemas.DOMAINS}
-    gold = {k: read_partition(spark, lake.kpi(k), date) for k in schemas.KPIS}
+    def partition(path: str) -> Table:
+        return attempt(lambda: read_partition(spark, path, date))
+
+    bronze = {s: attempt(partial(read_raw, spark, lake, s, date)) for s in BRONZE_CHECKED}
+    silver = {d: partition(lake.domain(d)) for d in schemas.DOMAINS}
+    gold = {k: partition(lake.kpi(k)) for k in schemas.KPIS}
     return (
         bronze_report(spark, bronze)
         .unionByName(layer_report(spark, "silver", silver))
@@ -126,13 +144,14 @@ PROFILE: schemas.Columns = {
     "column_count": "int",
     "latest": "timestamp",
     "date_partitions": "bigint",
+    "error": "string",
 }
 
 
-def profile_kpi(spark: SparkSession, kpi: str, df: DataFrame | None) -> DataFrame:
+def profile_kpi(spark: SparkSession, kpi: str, df: Table) -> DataFrame:
     """Rows, columns, freshness and number of dates of one KPI table."""
-    if df is None:
-        given = [(kpi, "missing", 0, None, None, None)]
+    if df is None or isinstance(df, str):
+        given = [(kpi, "missing" if df is None else "error", 0, None, None, None, df)]
         return spark.createDataFrame(given, schemas.ddl(PROFILE))
     time = next((c for c in AUDIT_TIMES if c in df.columns), None)
     latest = F.max(time) if time else F.lit(None).cast("timestamp")
@@ -148,12 +167,14 @@ def profile_kpi(spark: SparkSession, kpi: str, df: DataFrame | None) -> DataFram
         F.lit(len(df.columns)).alias("column_count"),
         "latest",
         "date_partitions",
+        F.lit(None).cast("string").alias("error"),
     )
 
 
 def verify_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Profile of every KPI table, all dates."""
-    rows = [profile_kpi(spark, k, read_all(spark, lake.kpi(k))) for k in schemas.KPIS]
+    found = {k: attempt(partial(read_all, spark, lake.kpi(k))) for k in schemas.KPIS}
+    rows = [profile_kpi(spark, k, df) for k, df in found.items()]
     report = rows[0]
     for row in rows[1:]:
         report = report.unionByName(row)

@@ -13,6 +13,8 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # a payload with a repeated key keeps the last value, as JSON parsers usually do
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # checkpoint files go once no frame refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming dedup keeps its state on disk instead of the executor heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -60,6 +60,18 @@ def test_other_read_errors_are_raised(spark, tmp_path):
         tables.read_all(spark, str(tmp_path / "t"))
 
 
+def test_unreadable_tables_are_reported_and_do_not_stop_the_report(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    folder = tmp_path / "gold" / "kpi=daily_revenue" / f"dt={DAY}"
+    folder.mkdir(parents=True)
+    (folder / "bad.parquet").write_text("this is no parquet")
+    report = {r.table_name: r for r in quality.validate_lake(spark, lake, DAY).collect()}
+    assert report["daily_revenue"].status == "error" and report["daily_revenue"].error
+    assert report["user_retention"].status == "missing"
+    profile = {r.kpi: r.status for r in quality.verify_gold(spark, lake).collect()}
+    assert profile["daily_revenue"] == "error" and profile["user_retention"] == "missing"
+
+
 def raw_rows(frame, source, records, hour="00", date=DAY):
     rows = [(json.dumps(r), "bronze", source, date, hour) for r in records]
     return frame(rows, "value string,zone string,source string,dt string,hour string")
@@ -152,7 +164,7 @@ def test_a_day_end_to_end_and_again(spark, filled):
     assert report["bronze", "app_logs"] == ("missing", 0)
     assert report["bronze", "user_events"] == ("ok", 10)
     assert report["gold", "daily_revenue"] == ("ok", 1)
-    verdict = quality.pipeline_verdict(quality.validate_lake(spark, filled, DAY)).first()
+    verdict = quality.lake_verdict(quality.validate_lake(spark, filled, DAY)).first()
     assert verdict.passed and verdict.gold_rows == 4
     assert quality.all_ok(quality.verify_gold(spark, filled)).first().passed
 
@@ -181,7 +193,7 @@ def test_days_without_data(spark, tmp_path):
     assert set(counts(daily.run_day(spark, lake, DAY, wide=True)).values()) == {0}
     report = quality.validate_lake(spark, lake, DAY)
     assert {r.status for r in report.collect()} == {"missing"}
-    assert quality.pipeline_verdict(report).first().silver_to_bronze_pct is None
+    assert quality.lake_verdict(report).first().silver_to_bronze_pct is None
     assert not quality.all_ok(quality.verify_gold(spark, lake)).first().passed
 
 

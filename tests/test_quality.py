@@ -14,8 +14,8 @@ def test_layer_report_states(spark, frame):
     report = {r.table_name: r for r in quality.layer_report(spark, "gold", tables).collect()}
     assert (report["good"].status, report["good"].row_count) == ("ok", 1)
     assert report["old"].latest == dt.datetime(2026, 4, 17, 2)
-    assert (report["bare"].status, report["bare"].missing_fields) == (
-        "error", "_processed_at or _aggregated_at")
+    assert (report["bare"].status, report["bare"].error) == (
+        "error", "missing fields: _processed_at or _aggregated_at")
     assert (report["gone"].status, report["gone"].row_count) == ("missing", 0)
     status = quality.layer_status(quality.layer_report(spark, "gold", tables)).first()
     assert (status.total_rows, status.passed) == (4, False)
@@ -26,7 +26,7 @@ def test_bronze_requires_source_and_ingest_time(spark, frame):
     bad = frame([("s",)], "_source string")
     report = {r.table_name: r for r in quality.bronze_report(spark, {"a": ok, "b": bad}).collect()}
     assert report["a"].status == "ok" and report["a"].latest == dt.datetime(2026, 4, 17, 1)
-    assert (report["b"].status, report["b"].missing_fields) == ("error", "_ingested_at")
+    assert (report["b"].status, report["b"].error) == ("error", "missing fields: _ingested_at")
 
 
 DELIVERIES = [

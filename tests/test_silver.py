@@ -144,3 +144,15 @@ def test_conform_to_declared_domain_schema(spark, frame):
     wide = silver_wide.customers(people(spark, frame), purchases(spark, frame), DAY)
     typed = conform(wide, schemas.WIDE_DOMAINS["customers"])
     assert dict(typed.dtypes) == schemas.WIDE_DOMAINS["customers"]
+
+
+def test_domain_types_are_the_declared_ones(spark):
+    empty_of = {s: empty(spark, schemas.raw_columns(s)) for s in schemas.PAYLOADS}
+    built = {
+        "events": silver.events(empty_of["user_events"], empty_of["clickstream"], DAY),
+        "transactions": silver.transactions(empty_of["transactions"], empty_of["payments"], DAY),
+        "customers": silver.customers(empty_of["crm"], empty_of["orders"], DAY),
+        "inventory": silver.inventory(empty_of["inventory"], empty_of["orders"], DAY),
+    }
+    for domain, df in built.items():
+        assert dict(df.dtypes) == schemas.DOMAINS[domain]
