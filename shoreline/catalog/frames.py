@@ -20,6 +20,22 @@ OFF_TIE = 0.00123457
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 DAYS = "yyyy-MM-dd"
 
+# Columns of the test tables that are read.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+}
+
 CURRENCY = "CASE WHEN k < 50 THEN 'USD' WHEN k < 80 THEN 'EUR' ELSE 'VND' END AS currency"
 METHOD = (
     "CASE WHEN k < 5 THEN NULL WHEN k < 40 THEN 'card' WHEN k < 70 THEN 'wallet' "
@@ -35,7 +51,7 @@ class SampleSources:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

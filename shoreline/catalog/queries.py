@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline import schemas
-from shoreline.catalog.frames import AUDIT_TIME, BATCH_TIME, DATE, DAYS, SampleSources
+from shoreline.catalog.frames import AUDIT_TIME, BATCH_TIME, DATE, DAYS, TABLES, SampleSources
 from shoreline.functions import measures
 from shoreline.functions.temporal import event_bucket
 from shoreline.operators import contracts, envelope, orders, rows, shape
@@ -32,19 +32,18 @@ TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def publish(df: DataFrame, digits: int = 4) -> DataFrame:
     """Times as text, doubles rounded, run times dropped."""
-    def shown(name: str, dtype: str):
-        column = F.col(f"`{name}`")
+    def shown(name: str, dtype: str) -> str:
         if dtype == "timestamp":
-            column = F.date_format(column, TIME_TEXT)
-        elif dtype == "date":
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif dtype == "double":
-            column = F.round(column, digits)
-        elif dtype.startswith("decimal"):
-            column = column.cast("double")
-        return column.alias(name)
+            return f"date_format(`{name}`, '{TIME_TEXT}') AS `{name}`"
+        if dtype == "date":
+            return f"date_format(`{name}`, 'yyyy-MM-dd') AS `{name}`"
+        if dtype == "double":
+            return f"round(`{name}`, {digits}) AS `{name}`"
+        if dtype.startswith("decimal"):
+            return f"CAST(`{name}` AS DOUBLE) AS `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[shown(n, t) for n, t in df.dtypes if n not in RUN_TIMES])
+    return df.selectExpr(*[shown(n, t) for n, t in df.dtypes if n not in RUN_TIMES])
 
 
 def query(function: Callable[[SampleSources], DataFrame]) -> Callable[[SampleSources], DataFrame]:
@@ -195,14 +194,11 @@ def batch_envelope(src: SampleSources) -> DataFrame:
 
 def _event_stream(src: SampleSources) -> SampleSources:
     """The same sources with the events read as a stream."""
-    schema = src.table("events").schema
-
     class Streamed(SampleSources):
         def table(self, name: str) -> DataFrame:
-            if name != "events":
-                return super().table(name)
             # a pattern, because a stream cannot start from the path of a single file
-            return self.spark.readStream.schema(schema).parquet(f"{self.folder}/events.parque[t]")
+            reader = self.spark.readStream.schema(TABLES[name])
+            return reader.parquet(f"{self.folder}/{name}.parque[t]")
 
     return Streamed(src.spark, src.folder)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Arrival coordinates used to break ties between equal ingest times.
@@ -28,10 +28,12 @@ def keep_latest(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if tiebreak is None:
         tiebreak = [c for c in ARRIVAL_COLUMNS if c in df.columns]
-    order = [F.col(c).desc_nulls_last() for c in (order_by, *tiebreak)]
-    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    latest = Window.partitionBy(*keys).orderBy(*order, whole_row.desc())
-    return df.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
+    order = [f"`{c}` DESC NULLS LAST" for c in (order_by, *tiebreak)]
+    whole_row = ", ".join(f"`{c}`" for c in df.columns)
+    ranked = df.selectExpr("*", f"""row_number() OVER (
+        PARTITION BY {', '.join(f'`{k}`' for k in keys)}
+        ORDER BY {', '.join(order)}, xxhash64({whole_row}) DESC) AS _rank""")
+    return ranked.where("_rank = 1").drop("_rank")
 
 
 def present(fields: Iterable[str], df: DataFrame) -> list[str]:

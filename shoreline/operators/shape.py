@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions.temporal import parse_timestamp, processing_day
@@ -16,27 +16,26 @@ def empty(spark: SparkSession, columns: Columns) -> DataFrame:
     return spark.createDataFrame([], ddl(columns))
 
 
-def align(df: DataFrame, target: Columns, **given: Column) -> DataFrame:
+def align(df: DataFrame, target: Columns, **given: str) -> DataFrame:
     """Project to the target columns, in order.
 
-    ``given`` overrides a column; a column the frame lacks becomes a typed NULL.
+    ``given`` holds SQL expressions that override a column; a column the frame lacks
+    becomes a typed NULL.
     """
-    def pick(name: str, dtype: str) -> Column:
+    known = set(df.columns)
+
+    def pick(name: str, dtype: str) -> str:
         if name in given:
-            return given[name].alias(name)
-        if name in df.columns:
-            return F.col(name)
-        return F.lit(None).cast(dtype).alias(name)
+            return f"{given[name]} AS `{name}`"
+        return f"`{name}`" if name in known else f"CAST(NULL AS {dtype}) AS `{name}`"
 
-    return df.select(*[pick(name, dtype) for name, dtype in target.items()])
+    return df.selectExpr(*[pick(name, dtype) for name, dtype in target.items()])
 
 
 def conform(df: DataFrame, target: Columns) -> DataFrame:
     """Align and cast to the declared types; a value that does not fit becomes NULL."""
-    aligned = align(df, target)
-    return aligned.select(
-        *[F.col(n).try_cast(storage_type(t)).alias(n) for n, t in target.items()]
-    )
+    casts = [f"try_cast(`{n}` AS {storage_type(t)}) AS `{n}`" for n, t in target.items()]
+    return align(df, target).selectExpr(*casts)
 
 
 def storage_type(dtype: str) -> str:

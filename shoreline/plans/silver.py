@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoreline import schemas
 from shoreline.functions.measures import stock_status
-from shoreline.functions.temporal import parse_timestamp
 from shoreline.operators import orders as order_totals
 from shoreline.operators.joins import left_join_filled
 from shoreline.operators.rows import ARRIVAL_COLUMNS, keep_latest, require_fields
@@ -22,7 +21,7 @@ CUSTOMER_FILL = {"total_orders": 0, "total_order_value": 0.0, "avg_order_value":
 PRODUCT_FILL = {"total_quantity_sold": 0, "total_orders": 0, "total_sales_value": 0.0}
 
 
-def _with_arrival(df: DataFrame, target: schemas.Columns, **given: Column) -> DataFrame:
+def _with_arrival(df: DataFrame, target: schemas.Columns, **given: str) -> DataFrame:
     """Align to the domain columns, keeping the arrival coordinates for tie-breaking."""
     types = {**schemas.STREAM_ENVELOPE, **schemas.BATCH_ENVELOPE}
     arrival = {name: types[name] for name in ARRIVAL_COLUMNS}
@@ -30,16 +29,16 @@ def _with_arrival(df: DataFrame, target: schemas.Columns, **given: Column) -> Da
 
 
 def events_from_user_events(df: DataFrame) -> DataFrame:
-    return _with_arrival(df, schemas.EVENTS, event_source=F.lit("user_events"))
+    return _with_arrival(df, schemas.EVENTS, event_source="'user_events'")
 
 
 def events_from_clickstream(df: DataFrame) -> DataFrame:
     return _with_arrival(
         df,
         schemas.EVENTS,
-        event_id=F.col("request_id"),
-        event_source=F.lit("clickstream"),
-        page_url=F.col("path"),
+        event_id="request_id",
+        event_source="'clickstream'",
+        page_url="path",
     )
 
 
@@ -47,8 +46,8 @@ def transactions_from_transactions(df: DataFrame) -> DataFrame:
     return _with_arrival(
         df,
         schemas.TRANSACTIONS,
-        transaction_id=F.col("txn_id"),
-        transaction_source=F.lit("transactions"),
+        transaction_id="txn_id",
+        transaction_source="'transactions'",
     )
 
 
@@ -56,9 +55,9 @@ def transactions_from_payments(df: DataFrame) -> DataFrame:
     return _with_arrival(
         df,
         schemas.TRANSACTIONS,
-        transaction_id=F.col("payment_id"),
-        transaction_source=F.lit("payments"),
-        timestamp=parse_timestamp("payment_date"),
+        transaction_id="payment_id",
+        transaction_source="'payments'",
+        timestamp="try_to_timestamp(payment_date)",
     )
 
 

@@ -8,7 +8,7 @@ from shoreline.operators import shape
 
 def test_align_orders_pads_and_overrides(frame):
     df = frame([("x", 1)], "b string, a int")
-    out = shape.align(df, {"a": "int", "b": "string", "c": "double"}, b=F.lit("y"))
+    out = shape.align(df, {"a": "int", "b": "string", "c": "double"}, b="'y'")
     assert out.columns == ["a", "b", "c"]
     assert out.dtypes[2] == ("c", "double")
     assert tuple(out.first()) == (1, "y", None)
