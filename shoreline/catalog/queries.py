@@ -659,7 +659,8 @@ def _raw_lake(src: SampleSources) -> Lake:
     }
     at = F.lit(BATCH_TIME).cast("timestamp")
     for source, df in frames.items():
-        known = df if "_ingested_at" in df.columns else df.withColumn("_ingested_at", at)
+        lineage = {"_source": F.lit(source), "_ingested_at": at}
+        known = df.withColumns({c: v for c, v in lineage.items() if c not in df.columns})
         line = F.to_json(
             F.struct("*"), {"timestampFormat": envelope.ISO_MICROS, "ignoreNullFields": "true"}
         )

@@ -64,15 +64,26 @@ def _table_row(
     if time is None and "_ingested_at" not in times:
         absent.append(" or ".join(times))
     latest = F.max(F.col(time).try_cast("timestamp")) if time else F.lit(None).cast("timestamp")
-    counted = df.agg(F.count("*").alias("row_count"), latest.alias("latest"))
-    return counted.select(
+    # with a given schema a field the files lack is a column without any value
+    given_fields = [c for c in required if c in df.columns]
+    counted = df.agg(
+        F.count("*").alias("row_count"),
+        latest.alias("latest"),
+        *[F.count(c).alias(f"_set{i}") for i, c in enumerate(given_fields)],
+    )
+    unset = [
+        F.when((F.col("row_count") > 0) & (F.col(f"_set{i}") == 0), F.lit(c))
+        for i, c in enumerate(given_fields)
+    ]
+    missing = F.concat_ws(", ", *[F.lit(c) for c in absent], *unset)
+    return counted.withColumn("missing", missing).select(
         F.lit(layer).alias("layer"),
         F.lit(name).alias("table_name"),
-        F.lit("error" if absent else "ok").alias("status"),
+        F.when(F.col("missing") == "", "ok").otherwise("error").alias("status"),
         "row_count",
-        F.lit(None).cast("timestamp").alias("latest") if absent else "latest",
-        F.lit(f"missing fields: {', '.join(absent)}" if absent else None)
-        .cast("string").alias("error"),
+        F.when(F.col("missing") == "", F.col("latest")).alias("latest"),
+        F.when(F.col("missing") != "", F.concat(F.lit("missing fields: "), "missing"))
+        .alias("error"),
     )
 
 

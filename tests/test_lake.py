@@ -133,6 +133,14 @@ def filled(frame, tmp_path):
     return lake
 
 
+def test_raw_files_without_lineage_are_reported(spark, frame, tmp_path):
+    lake = Lake(str(tmp_path))
+    tables.write_raw(raw_rows(frame, "crm", [{"customer_id": "c1", "_source": "crm"}]), lake, "b")
+    report = {r.table_name: r for r in quality.validate_lake(spark, lake, DAY).collect()}
+    assert (report["crm"].status, report["crm"].error) == ("error", "missing fields: _ingested_at")
+    assert report["crm"].row_count == 1
+
+
 def counts(ledger):
     return {(r.layer, r.table_name): r.row_count for r in ledger.collect()}
 
