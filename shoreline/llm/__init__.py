@@ -1 +1,8 @@
 """Operators that prepare training data, and their queries."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontamination, mixing, quality, urls
+from shoreline.llm import decontamination, jaccard, mixing, quality, urls
 from shoreline.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,8 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages").select("page_id", "url")).drop("url")
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, folder, "documents"), n=3, num=90, den=100)

@@ -49,6 +49,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Rows of a few numbers each; beyond that a join shuffles both sides.
+SMALL_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The frame, materialised, for the narrow side of a join: broadcast if its count allows."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def ranked(df: DataFrame, *order: Column, name: str) -> DataFrame:
     """Adds the gapless position, from 0, of each row in the given order.
 
