@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontamination, jaccard, mixing, quality, urls
+from shoreline.llm import (
+    decontamination,
+    jaccard,
+    language,
+    licences,
+    mixing,
+    passages,
+    quality,
+    sharding,
+    token_counts,
+    urls,
+)
 from shoreline.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +58,30 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(table(spark, folder, "documents"), n=3, num=90, den=100)
+
+
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = passages.without_repeats(table(spark, folder, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, folder, "documents"))
+
+
+@query
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.by_limit(token_counts.histogram(table(spark, folder, "documents")))
