@@ -2,7 +2,7 @@
 
 For each language a bounded sample of labelled texts (SAMPLE of them, chosen by hash, whole
 texts up to DICTIONARY bytes together) is a raw-content zstandard dictionary. A text is
-folded to lower case, cut into pieces of PIECE bytes and compressed with each dictionary;
+folded to lower-case words of letters, cut into pieces of PIECE bytes and compressed with each dictionary;
 the language with the fewest bytes in total wins, the first in name order among equals. The score is the share
 by which the winner is smaller than the next one; a score below MARGIN is a rejection.
 
@@ -24,16 +24,24 @@ from pyspark.sql import functions as F
 from shoreline.llm.text import fresh, small_side
 
 #: Labelled texts of a language that are learned at most, one for each bucket of a hash.
-SAMPLE = 64
+SAMPLE = 128
 #: Bytes of a dictionary.
 DICTIONARY = 112_000
 #: Bytes that are compressed at a time.
-PIECE = 2_048
-LEVEL = 3
+PIECE = 4_096
+LEVEL = 8
 MARGIN = 0.002
 UNKNOWN = "und"
 
 
+LETTER = regex.compile(r"\p{L}")
+NO_LETTER = regex.compile(r"[^\p{L}]+")
+
+
+def folded(text: str) -> bytes:
+    return NO_LETTER.sub(" ", text.lower()).encode()
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -51,7 +59,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     rows = texts.select("lang", "order", F.substring("text", 1, DICTIONARY).alias("text")).distinct().collect()
     learned: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.order, r.text)):
-        learned.setdefault(row.lang, []).append(row.text.lower().encode())
+        learned.setdefault(row.lang, []).append(folded(row.text))
     out = {}
     for name, parts in learned.items():
         # short texts stay whole; what they leave free is shared by the long ones
@@ -74,12 +82,11 @@ class Compressors:
             content.precompute_compress(level=LEVEL)
             self.by_name[name] = zstandard.ZstdCompressor(
                 level=LEVEL, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
-        self.letter = regex.compile(r"\p{L}")
 
     def judge(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.by_name or not self.letter.search(text):
+        if text is None or not self.by_name or not LETTER.search(text):
             return UNKNOWN, 0.0
-        data = memoryview(text.lower().encode("utf-8", "surrogatepass"))
+        data = memoryview(folded(text))
         pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
         sizes = sorted((sum(len(c.compress(p)) for p in pieces), name) for name, c in self.by_name.items())
         if len(sizes) == 1:
