@@ -8,25 +8,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoreline.llm import decontamination, mixing
+from shoreline.llm import decontamination, jaccard, language, mixing, sharding
 from shoreline.llm.text import table
 from shoreline.session import scratch_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told go."""
+    return language.accepted(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by sets of five-word shingles with a similarity of 0.8 or more, the first stays."""
+    return jaccard.one_of_each(docs, n=5, num=4, den=5)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth of their words or more in benchmark windows go."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as their source's target asks."""
     return mixing.mix_sources(docs)
 
 
+def size_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row gets a shard and a slot."""
+    return sharding.sharded(docs)
+
+
 STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
     ("source_mixing", source_mixing),
+    ("size_sharding", size_sharding),
 ]
 
-#: Language models and the n-gram join are no SQL; tests hold the pipeline against brute force.
+#: Compression and the n-gram join are no SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoreline.llm.text import fold_ascii, fresh, let
+from shoreline.llm.text import fold_ascii, fresh, let, small_side
 from shoreline.session import cut_lineage
 
 WINDOW = 13
@@ -117,5 +117,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     """The documents that are not contaminated, unchanged."""
     d, k = fresh(docs, "_doc", "_key")
     bad = contamination(docs, benchmark, doc_id=doc_id, text=text, **options).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias(d), F.col("key").alias(k)).distinct()
+    bad = small_side(bad.select(F.col("doc_id").alias(d), F.col("key").alias(k)).distinct())
     return docs.join(bad, docs[doc_id].eqNullSafe(F.col(d)) & (F.xxhash64(docs[text]) == F.col(k)), "left_anti")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.llm.text import fresh, ranked, words_of
+from shoreline.llm.text import fresh, ranked, small_side, words_of
 from shoreline.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
@@ -95,7 +95,7 @@ def mix_sources(
     """The documents of the mix, each as often as it is taken, with the columns of `docs`."""
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(word_count(F.col(text))).alias("source_size"))
     here, rate, nth = fresh(docs, "_source", "_rate", "_nth")
-    rates = source_targets(sizes, weights, cap).select(F.col("source").alias(here), F.col("rate").alias(rate))
+    rates = small_side(source_targets(sizes, weights, cap).select(F.col("source").alias(here), F.col("rate").alias(rate)))
     out = docs.join(rates, docs[source].eqNullSafe(F.col(here)))
     repeat = F.array_repeat(F.lit(1), copies(F.col(rate), F.col(doc_id), seed).cast("int"))
     return out.withColumn(nth, F.explode(repeat)).select(*[F.col(f"`{c}`") for c in docs.columns])
