@@ -21,7 +21,8 @@ The answer is exact but for 64-bit hashes of shingles.
 
 Null, empty and blank texts have no shingles and are linked with nothing. A text with fewer words
 than n is one shingle. Equal texts are linked. Rows that repeat an id are judged each by its own
-text. An empty table gives an empty result.
+text. A class of which all ids are null is not compared and has a null component. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -207,7 +208,10 @@ def _candidates(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(text, n).view(_SIGNED) for text in texts_as_bytes(batch.column(0))]
+        sets = [shingle_set(text, n) for text in texts_as_bytes(batch.column(0))]
+        # of the texts of a repeated id, the one of the class
+        own = [len(s) > 0 and _class_of(s)[0] == c for s, c in zip(sets, batch.column(2).to_pylist())]
+        batch, sets = batch.filter(pa.array(own, pa.bool_())), [s.view(_SIGNED) for s, right in zip(sets, own) if right]
         ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         values = pa.array(np.concatenate(sets) if sets else np.zeros(0, _SIGNED))
         yield pa.RecordBatch.from_arrays(
@@ -217,8 +221,9 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 
 def _linked(group: pa.Table, num: int, den: int) -> pa.Table:
     """Links of one pair of chunks of a cluster."""
-    group = group.sort_by("class").combine_chunks()
     own = group.column("class").to_numpy()
+    own, at = np.unique(own, return_index=True)
+    group = group.take(pa.array(at)).combine_chunks()
     shingles = group.column("shingles").chunk(0)
     ends, values = shingles.offsets.to_numpy(), shingles.values.to_numpy().view(np.uint64)
     sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
@@ -228,8 +233,6 @@ def _linked(group: pa.Table, num: int, den: int) -> pa.Table:
     else:
         # each chunk's own links belong to the pair with the next chunk, round about
         within = [x for x, y in ((one, two), (two, one)) if (x + 1) % chunks == y]
-        within = within[:1] if chunks == 2 and len(within) > 1 else within
-        within = [one, two] if chunks == 2 else within
         found = trie.join(sets, num, den, group.column("chunk").to_numpy(), within)
     a, b = (np.array([own[x[i]] for x in found], dtype=_SIGNED) for i in (0, 1))
     return pa.table({"a": a, "b": b})
@@ -269,7 +272,6 @@ def linked_components(
         F.ceil(F.col("tokens") / CHUNK).cast("long").alias("chunks"),
     )
     wanted = small_side(members.select("cluster", "class", "rep", "chunks"))
-    # a repeated id may have several texts; the class of the set decides
     found = given.join(wanted, F.col("doc") == F.col("rep")).select("text", "cluster", "class", "chunks")
     sets = found.mapInArrow(lambda x: _sets(x, n), "cluster long, class long, chunks long, shingles array<long>")
     chunk = F.pmod(F.col("class"), F.col("chunks"))

@@ -13,6 +13,7 @@ from shoreline.llm import (
     language,
     licences,
     mixing,
+    oracles,
     passages,
     quality,
     sharding,
@@ -85,3 +86,13 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.by_limit(token_counts.histogram(table(spark, folder, "documents")))
+
+
+ORACLES.update({
+    "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op2_license_scan": oracles.LICENSES,
+    "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_quality_rules": oracles.QUALITY,
+    "op7_decontamination": oracles.DECONTAMINATION,
+    "op8_mixing": oracles.MIXING,
+})
