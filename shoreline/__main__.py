@@ -12,7 +12,7 @@ import os
 
 from shoreline import schemas
 from shoreline.plans import daily, quality
-from shoreline.session import build_session
+from shoreline.session import build_session, size_session
 from shoreline.sources.drops import land_drop
 from shoreline.sources.lake import Lake, read_all
 from shoreline.streaming.ingest import start_raw_ingest
@@ -25,6 +25,9 @@ def _parser() -> argparse.ArgumentParser:
         "ingest", "land", "silver", "gold", "day", "load", "validate", "verify"])
     parser.add_argument("--lake", required=True, help="root folder of the lake")
     parser.add_argument("--date", default=os.environ.get("PROCESSING_DATE"))
+    parser.add_argument("--domain", nargs="+", choices=list(schemas.DOMAINS), help="for silver")
+    parser.add_argument("--kpi", nargs="+", choices=list(schemas.KPIS), help="for gold")
+    parser.add_argument("--allow-missing", action="store_true", help="absent input is no failure")
     parser.add_argument("--wide", action="store_true", help="the wide form of the tables")
     parser.add_argument("--retention-days", type=int, default=1)
     parser.add_argument("--input-bytes", type=int, help="size of the input, for partitioning")
@@ -34,7 +37,8 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--available-now", action="store_true", help="ingest what is there, stop")
     parser.add_argument("--source", choices=list(schemas.BATCH_SOURCES), help="for land")
     parser.add_argument("--drop", help="path of the drop, for land")
-    parser.add_argument("--url", default=os.environ.get("SERVING_URL"), help="JDBC URL, for load")
+    parser.add_argument("--drop-id", help="name of the drop, else its path, for land")
+    parser.add_argument("--url", default=os.environ.get("SERVING_URL"), help="JDBC URL, for load and day")
     return parser
 
 
@@ -44,6 +48,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(f"shoreline-{given.job}", input_bytes=given.input_bytes)
     lake = Lake(given.lake)
     date = given.date or daily.previous_day()
+    if not given.input_bytes and given.job in ("silver", "gold", "day", "validate"):
+        size_session(
+            spark, *[f"{lake.bronze(s)}/dt={date}" for s in quality.BRONZE_CHECKED],
+            *[f"{lake.domain(d)}/dt={date}" for d in schemas.DOMAINS])
+    properties = {"user": os.environ.get("SERVING_USER", ""),
+                  "password": os.environ.get("SERVING_PASSWORD", "")}
     if given.job == "ingest":
         records = kafka_records(spark, given.kafka) if given.kafka else file_records(
             spark, given.files)
@@ -51,20 +61,23 @@ def main(argv: list[str] | None = None) -> int:
             records, lake, given.checkpoint, available_now=given.available_now)
         running.awaitTermination()
     elif given.job == "land":
-        land_drop(spark, given.drop, given.source, lake, date)
+        land_drop(spark, given.drop, given.source, lake, date, given.drop_id)
     elif given.job == "silver":
-        quality.ledger(spark, daily.build_silver(spark, lake, date, given.wide)).show()
+        counts = daily.build_silver(
+            spark, lake, date, given.wide, only=given.domain, allow_missing=given.allow_missing)
+        quality.ledger(spark, counts).show()
     elif given.job == "gold":
-        counts = daily.build_gold(spark, lake, date, given.wide, given.retention_days)
+        counts = daily.build_gold(
+            spark, lake, date, given.wide, given.retention_days, given.kpi, given.allow_missing)
         quality.ledger(spark, counts).show()
     elif given.job == "day":
-        daily.run_day(spark, lake, date, given.wide, given.retention_days).show()
+        serving = (given.url, properties) if given.url else None
+        daily.run_day(
+            spark, lake, date, given.wide, given.retention_days, serving, given.allow_missing).show()
     elif given.job == "load":
-        properties = {"user": os.environ.get("SERVING_USER", ""),
-                      "password": os.environ.get("SERVING_PASSWORD", "")}
         print(daily.load_serving(spark, lake, date, given.url, properties))
     elif given.job == "validate":
-        report = quality.validate_lake(spark, lake, date)
+        report = quality.collected(quality.validate_lake(spark, lake.wide if given.wide else lake, date))
         report.show(50, truncate=False)
         return 0 if quality.lake_verdict(report).first().passed else 1
     else:
@@ -72,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
             found = quality.attempt(lambda path=lake.kpi(kpi): read_all(spark, path))
             if not isinstance(found, str | None):
                 quality.preview(found)
-        report = quality.verify_gold(spark, lake)
+        report = quality.collected(quality.verify_gold(spark, lake))
         report.show(truncate=False)
         return 0 if quality.all_ok(report).first().passed else 1
     return 0

@@ -696,7 +696,7 @@ SELECT 'numeric' AS check_name, 'value' AS column_name,
        count(*) FILTER (WHERE {TOO_LARGE}) AS violations FROM iot"""
 
 ORACLES["contract_violations"] = f"""{BASE}
-{NULLS.format(value=f"value IS NULL OR {TOO_LARGE}")}
+{NULLS.format(value="value IS NULL")}
 UNION ALL SELECT 'primary_key', 'reading_id', count(*) - count(DISTINCT reading_id) FROM iot
 UNION ALL SELECT 'numeric', 'value', count(*) FILTER (WHERE {TOO_LARGE}) FROM iot
 UNION ALL SELECT 'length', 'sensor_type', count(*) FILTER (WHERE length(sensor_type) > 5) FROM iot"""

@@ -231,8 +231,9 @@ def dead_letter(src: SampleSources) -> DataFrame:
     lake = _ingested_lake(src)
     sources = [*dict.fromkeys(schemas.TOPIC_SOURCES.values()), schemas.UNKNOWN_SOURCE]
     found = [(s, tables.read_dead_letter(src.spark, lake, s)) for s in sources]
+    none = shape.empty(src.spark, {"source": "string", **tables.DEAD_LETTER})
     parts = [df.withColumn("source", F.lit(s)) for s, df in found if df is not None]
-    return shape.stack_by_name(*parts).select(
+    return shape.stack_by_name(none, *parts).select(
         "source", "_kafka_topic", "_kafka_offset", "_error_reason", "_raw"
     )
 
@@ -541,7 +542,7 @@ READINGS_CONTRACT = schemas.Contract(
 
 @query
 def contract_not_null(src: SampleSources) -> DataFrame:
-    return contracts.null_violations(src.iot_sensors(), READINGS_CONTRACT)
+    return contracts.column_violations(src.iot_sensors(), READINGS_CONTRACT).where("check_name = 'not_null'")
 
 
 @query
@@ -552,7 +553,7 @@ def contract_primary_key(src: SampleSources) -> DataFrame:
 
 @query
 def contract_numeric(src: SampleSources) -> DataFrame:
-    return contracts.numeric_violations(src.iot_sensors(), READINGS_CONTRACT)
+    return contracts.column_violations(src.iot_sensors(), READINGS_CONTRACT).where("check_name = 'numeric'")
 
 
 @query

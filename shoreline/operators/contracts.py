@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,46 +11,43 @@ from shoreline.schemas import Contract
 
 def to_serving(kpi: DataFrame, contract: Contract) -> DataFrame:
     """Serving names, order and types. A value beyond its type becomes NULL; see
-    ``numeric_violations`` for counting those before they are lost."""
+    ``column_violations`` for counting those before they are lost."""
     renamed = kpi.withColumnRenamed("_aggregated_at", "aggregated_at")
     return conform(renamed, contract.columns)
 
 
-def _report(df: DataFrame, check: str, counters: dict[str, Column]) -> DataFrame:
-    """One pass over ``df``, then one row per counter."""
-    counted = df.agg(*[c.alias(name) for name, c in counters.items()])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").alias("violations"))
-        for name in counters
-    ]))
-    return counted.select(rows.alias("r")).select(
-        F.lit(check).alias("check_name"), "r.column_name", "r.violations"
-    )
-
-
-def null_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """NULLs per NOT NULL column."""
-    return _report(df, "not_null", {c: F.count_if(F.col(c).isNull()) for c in contract.required})
+def column_counters(kpi: DataFrame, contract: Contract) -> dict[tuple[str, str], Column]:
+    """What is counted for each (check, column): NULLs where none are allowed, numbers beyond their
+    precision, texts beyond their length. All look at the KPI frame before any cast, so a
+    value that doesn't fit is not also reported as NULL."""
+    given = kpi.withColumnRenamed("_aggregated_at", "aggregated_at").columns
 
+    def value(name: str) -> Column:
+        source = "_aggregated_at" if name == "aggregated_at" and name not in kpi.columns else name
+        return F.col(source) if name in given else F.lit(None)
 
-def numeric_violations(kpi: DataFrame, contract: Contract) -> DataFrame:
-    """Values that do not fit the precision of their column. Takes the KPI frame before
-    the serving projection."""
-    decimals = {c: t for c, t in contract.columns.items() if t.startswith("decimal")}
-    counters = {
-        c: F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
-        for c, t in decimals.items()
-    }
-    return _report(kpi, "numeric", counters)
+    counters = {("not_null", c): F.count_if(value(c).isNull()) for c in contract.required}
+    for name, storage in contract.columns.items():
+        kind, *sizes = storage.replace(")", "").split("(")
+        if kind == "decimal":
+            lost = value(name).isNotNull() & value(name).try_cast(storage).isNull()
+            counters["numeric", name] = F.count_if(lost)
+        elif kind == "varchar":
+            counters["length", name] = F.count_if(F.length(value(name).cast("string")) > int(sizes[0]))
+    return counters
 
 
-def length_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Texts longer than their column."""
-    limits = {
-        c: int(re.findall(r"\d+", t)[0])
-        for c, t in contract.columns.items() if t.startswith("varchar")
-    }
-    return _report(df, "length", {c: F.count_if(F.length(c) > n) for c, n in limits.items()})
+def column_violations(kpi: DataFrame, contract: Contract) -> DataFrame:
+    """All checks of single columns, counted in one pass."""
+    counters = column_counters(kpi, contract)
+    counted = kpi.agg(*[c.alias(f"c{i}") for i, c in enumerate(counters.values())])
+    rows = F.explode(F.array(*[
+        F.struct(
+            F.lit(check).alias("check_name"), F.lit(name).alias("column_name"),
+            F.col(f"c{i}").alias("violations"))
+        for i, (check, name) in enumerate(counters)
+    ]))
+    return counted.select(rows.alias("r")).select("r.*")
 
 
 def key_duplicates(df: DataFrame, contract: Contract) -> DataFrame:
@@ -70,12 +65,7 @@ def key_violations(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def violations(kpi: DataFrame, contract: Contract) -> DataFrame:
-    """All checks of a KPI frame against its serving table, one row per check and column."""
+    """All checks of a KPI frame against its serving table, one row per check and column: one pass
+    for the columns, one for the key."""
     serving = to_serving(kpi, contract)
-    report = null_violations(serving, contract).unionByName(key_violations(serving, contract))
-    kinds = [storage.partition("(")[0] for storage in contract.columns.values()]
-    if "decimal" in kinds:
-        report = report.unionByName(numeric_violations(kpi, contract))
-    if "varchar" in kinds:
-        report = report.unionByName(length_violations(serving, contract))
-    return report
+    return column_violations(kpi, contract).unionByName(key_violations(serving, contract))

@@ -17,6 +17,8 @@ from shoreline.schemas import TOPIC_SOURCES, UNKNOWN_SOURCE
 
 STREAM_JOB = "shoreline_stream_ingest"
 BATCH_JOB = "shoreline_batch_ingest"
+#: Drops have a date, no hour.
+BATCH_HOUR = "00"
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 # Columns a batch reader adds to the payload.
@@ -143,5 +145,5 @@ def batch_rows(
         F.when(broken, "dead_letter").otherwise("bronze").alias("zone"),
         F.lit(source).alias("source"),
         F.lit(date).alias("dt"),
-        F.lit("00").alias("hour"),
+        F.lit(BATCH_HOUR).alias("hour"),
     )

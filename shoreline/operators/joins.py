@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.session import cut_lineage
-
-# Largest lookup that is sent to every executor; beyond it the join is salted.
-LOOKUP_ROW_LIMIT = 100_000
-SALT_BUCKETS = 32
-
 
 def left_join_filled(
     left: DataFrame, right: DataFrame, on: str, fill: dict[str, float], right_key: str | None = None
@@ -25,26 +19,6 @@ def left_join_filled(
     return left.join(right, on, "left").fillna(fill)
 
 
-def join_lookup(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    row_limit: int = LOOKUP_ROW_LIMIT,
-    salts: int = SALT_BUCKETS,
-) -> DataFrame:
-    """Inner-join a large frame with an aggregated lookup holding one row per key.
-
-    The lookup is computed once and written to the shared folder. Its counted size
-    then decides: up to ``row_limit`` rows it is broadcast, so the facts are not
-    shuffled at all; above, the facts are spread over ``salts`` sub-keys per key and
-    the lookup is repeated once per sub-key, so no key lands in a single task.
-    """
-    lookup = cut_lineage(lookup)
-    if lookup.count() <= row_limit:
-        return facts.join(F.broadcast(lookup), on)
-    return join_salted(facts, lookup, on, salts)
-
-
 def row_salt(df: DataFrame, salts: int) -> Column:
     """Sub-key of a row, taken from its content and its task.
 
@@ -53,13 +27,3 @@ def row_salt(df: DataFrame, salts: int) -> Column:
     """
     content = [F.col(f"`{c}`") for c in df.columns]
     return F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts)).cast("int")
-
-
-def join_salted(facts: DataFrame, lookup: DataFrame, on: str, salts: int = SALT_BUCKETS) -> DataFrame:
-    """Equi-join with every key of the facts split over a fixed number of sub-keys.
-
-    Every sub-key meets the same lookup row, so the choice cannot change the result.
-    """
-    spread = facts.withColumn("_salt", row_salt(facts, salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [on, "_salt"]).drop("_salt")

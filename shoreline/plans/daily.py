@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shoreline import schemas
+from shoreline.operators.shape import empty
 from shoreline.plans import gold, gold_wide, quality, silver, silver_wide
 from shoreline.sources import lake as tables
 from shoreline.sources.lake import Lake
@@ -21,31 +22,55 @@ def previous_day() -> str:
     return (datetime.now(timezone.utc) - timedelta(days=1)).strftime("%Y-%m-%d")
 
 
+class MissingInput(ValueError):
+    """No data where a table needs them."""
+
+
 def _write_counted(
-    counts: Counts, layer: str, name: str, df: DataFrame | None, path: str,
-    sort_by: list[str] | None = None,
+    spark: SparkSession, counts: Counts, layer: str, name: str, df: DataFrame | None, path: str,
+    date: str, sort_by: list[str] | None = None,
 ) -> None:
-    """Write a table and note its rows, both in the one write action. No frame, no table."""
+    """Replace a date of a table and note its rows, both in the one write action. Without a frame
+    the date is left without rows."""
     if df is None:
+        tables.clear_date(spark, path, date)
         counts[layer, name] = 0
         return
     counter = quality.RowCounter()
-    tables.write_table(counter.watch(df, name), path, sort_by)
+    tables.write_date(counter.watch(df, name), path, date, sort_by)
     counts[layer, name] = counter.counts()[name]
 
 
+def _chosen(frames: Mapping[str, Callable], only: Sequence[str] | None) -> dict[str, Callable]:
+    """All plans, or those of the named tables."""
+    unknown = set(only or ()) - set(frames)
+    if unknown:
+        raise ValueError(f"unknown: {', '.join(sorted(unknown))}")
+    return {name: plan for name, plan in frames.items() if only is None or name in only}
+
+
 def domain_frames(
     spark: SparkSession,
     lake: Lake,
     date: str,
     counters: dict[str, quality.RowCounter] | None = None,
+    only: Sequence[str] | None = None,
+    allow_missing: bool = False,
 ) -> dict[str, DataFrame]:
-    """Plans of all domain tables for one date; a source without data is an empty frame.
+    """Plans of the domain tables for one date.
 
-    With ``counters`` the rows read, unique and complete are counted while a table is written.
+    A source without data is an empty frame if the other source of the domain has some, or if
+    ``allow_missing``; else the job fails. With ``counters`` the rows read, unique and complete are
+    counted while a table is written.
     """
-    def raw(source: str) -> DataFrame:
-        return tables.read_raw_or_empty(spark, lake, source, date)
+    def raw(*sources: str) -> list[DataFrame]:
+        found = [tables.read_raw(spark, lake, s, date) for s in sources]
+        if not allow_missing and all(df is None for df in found):
+            raise MissingInput(f"{' and '.join(sources)}: no raw data of {date} in {lake.raw}")
+        return [
+            empty(spark, schemas.raw_columns(s)) if df is None else df
+            for s, df in zip(sources, found)
+        ]
 
     def watch(domain: str) -> silver.Watch | None:
         if counters is None:
@@ -53,29 +78,33 @@ def domain_frames(
         counters[domain] = quality.RowCounter()
         return counters[domain].watch
 
-    sold = tables.read_product_orders(spark, lake, date)
-    return {
-        "events": silver.events(
-            raw("user_events"), raw("clickstream"), date, watch=watch("events")),
-        "transactions": silver.transactions(
-            raw("transactions"), raw("payments"), date, watch=watch("transactions")),
-        "customers": silver.customers(
-            raw("crm"), raw("orders"), date, watch=watch("customers")),
-        "inventory": silver.inventory(
-            raw("inventory"), sold, date, watch=watch("inventory")),
-    }
-
-
-def wide_domain_frames(spark: SparkSession, lake: Lake, date: str) -> dict[str, DataFrame | None]:
+    plans = _chosen({
+        "events": lambda: silver.events(
+            *raw("user_events", "clickstream"), date, watch=watch("events")),
+        "transactions": lambda: silver.transactions(
+            *raw("transactions", "payments"), date, watch=watch("transactions")),
+        "customers": lambda: silver.customers(
+            *raw("crm", "orders"), date, watch=watch("customers")),
+        "inventory": lambda: silver.inventory(
+            *raw("inventory"), tables.read_product_orders(spark, lake, date), date,
+            watch=watch("inventory")),
+    }, only)
+    return {name: plan() for name, plan in plans.items()}
+
+
+def wide_domain_frames(
+    spark: SparkSession, lake: Lake, date: str, only: Sequence[str] | None = None
+) -> dict[str, DataFrame | None]:
     def raw(source: str) -> DataFrame | None:
         return tables.read_raw(spark, lake, source, date)
 
-    return {
-        "events": silver_wide.events(raw("user_events"), raw("clickstream"), date),
-        "transactions": silver_wide.transactions(raw("transactions"), raw("payments"), date),
-        "customers": silver_wide.customers(raw("crm"), raw("orders"), date),
-        "inventory": silver_wide.inventory(raw("inventory"), raw("orders"), date),
-    }
+    plans = _chosen({
+        "events": lambda: silver_wide.events(raw("user_events"), raw("clickstream"), date),
+        "transactions": lambda: silver_wide.transactions(raw("transactions"), raw("payments"), date),
+        "customers": lambda: silver_wide.customers(raw("crm"), raw("orders"), date),
+        "inventory": lambda: silver_wide.inventory(raw("inventory"), raw("orders"), date),
+    }, only)
+    return {name: plan() for name, plan in plans.items()}
 
 
 def build_silver(
@@ -84,47 +113,63 @@ def build_silver(
     date: str,
     wide: bool = False,
     steps: dict[str, dict[str, int]] | None = None,
+    only: Sequence[str] | None = None,
+    allow_missing: bool = False,
 ) -> Counts:
-    """Write all domain tables of a date; returns the rows per table.
+    """Write the domain tables of a date, all or the named ones; returns the rows per table.
 
     ``steps`` is filled with the rows per domain that were read, unique and complete; rows
     read minus unique are duplicates, unique minus complete lack a mandatory field.
     """
     counters: dict[str, quality.RowCounter] | None = None if steps is None else {}
     frames = (
-        wide_domain_frames(spark, lake, date) if wide
-        else domain_frames(spark, lake, date, counters)
+        wide_domain_frames(spark, lake, date, only) if wide
+        else domain_frames(spark, lake, date, counters, only, allow_missing)
     )
+    to = lake.wide if wide else lake
     counts: Counts = {}
     for name, df in frames.items():
-        _write_counted(counts, "silver", name, df, lake.domain(name))
+        _write_counted(spark, counts, "silver", name, df, to.domain(name), date)
         if counters and name in counters:
             steps[name] = counters[name].counts()
     return counts
 
 
 def kpi_frames(
-    spark: SparkSession, lake: Lake, date: str, retention_days: int = 1
+    spark: SparkSession, lake: Lake, date: str, retention_days: int = 1,
+    only: Sequence[str] | None = None, allow_missing: bool = False,
 ) -> dict[str, DataFrame]:
-    """Plans of all KPI tables. Retention beyond the first day needs several dates."""
+    """Plans of the KPI tables; a table without the domain dates it needs fails unless
+    ``allow_missing``. Retention beyond the first day needs several dates."""
+    def given(found: DataFrame | None, what: str, columns: schemas.Columns) -> DataFrame:
+        if found is None and not allow_missing:
+            raise MissingInput(f"{what}: no data of {date}")
+        return empty(spark, columns) if found is None else found
+
     def domain(name: str, days: int = 1) -> DataFrame:
-        return tables.domain_or_empty(spark, lake, name, date, days)
-
-    iot = tables.read_raw_or_empty(spark, lake, "iot_sensors", date)
-    kpis = {
-        "daily_revenue": gold.daily_revenue(domain("transactions"), domain("events")),
-        "user_retention": gold.user_retention(domain("events", retention_days)),
-        "iot_anomaly_summary": gold.sensor_anomaly(gold.readings_from_raw(iot)),
-        "inventory_turnover": gold.inventory_turnover(domain("inventory")),
-    }
-    return {name: gold.with_audit(df, date) for name, df in kpis.items()}
+        columns = schemas.DOMAINS[name]
+        path = lake.domain(name)
+        return given(tables.read_range(spark, path, date, days, columns), path, columns)
+
+    def iot() -> DataFrame:
+        found = tables.read_raw(spark, lake, "iot_sensors", date)
+        return given(found, lake.bronze("iot_sensors"), schemas.raw_columns("iot_sensors"))
+
+    plans = _chosen({
+        "daily_revenue": lambda: gold.daily_revenue(domain("transactions"), domain("events")),
+        "user_retention": lambda: gold.user_retention(domain("events", retention_days)),
+        "iot_anomaly_summary": lambda: gold.sensor_anomaly(gold.readings_from_raw(iot())),
+        "inventory_turnover": lambda: gold.inventory_turnover(domain("inventory")),
+    }, only)
+    return {name: gold.with_audit(plan(), date) for name, plan in plans.items()}
 
 
 def wide_kpi_frames(
-    spark: SparkSession, lake: Lake, date: str, retention_days: int = 1
+    spark: SparkSession, lake: Lake, date: str, retention_days: int = 1,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame | None]:
     def domain(name: str, days: int = 1) -> DataFrame | None:
-        return tables.read_range(spark, lake.domain(name), date, days)
+        return tables.read_range(spark, lake.wide.domain(name), date, days)
 
     transactions, events, stock = domain("transactions"), domain("events"), domain("inventory")
     history = domain("events", retention_days)
@@ -140,19 +185,25 @@ def wide_kpi_frames(
     if stock is not None:
         frames["inventory_turnover"] = gold_wide.stock_turnover(stock, transactions)
     return {
-        name: None if df is None else gold_wide.with_audit(df, date) for name, df in frames.items()
+        name: None if df is None else gold_wide.with_audit(df, date)
+        for name, df in frames.items() if only is None or name in only
     }
 
 
 def build_gold(
-    spark: SparkSession, lake: Lake, date: str, wide: bool = False, retention_days: int = 1
+    spark: SparkSession, lake: Lake, date: str, wide: bool = False, retention_days: int = 1,
+    only: Sequence[str] | None = None, allow_missing: bool = False,
 ) -> Counts:
-    """Write all KPI tables of a date; returns the rows per table."""
-    frames = (wide_kpi_frames if wide else kpi_frames)(spark, lake, date, retention_days)
+    """Write the KPI tables of a date, all or the named ones; returns the rows per table."""
+    frames = (
+        wide_kpi_frames(spark, lake, date, retention_days, only) if wide
+        else kpi_frames(spark, lake, date, retention_days, only, allow_missing)
+    )
+    to = lake.wide if wide else lake
     order = {} if wide else {"user_retention": ["cohort_date", "days_since_cohort"]}
     counts: Counts = {}
     for name, df in frames.items():
-        _write_counted(counts, "gold", name, df, lake.kpi(name), order.get(name))
+        _write_counted(spark, counts, "gold", name, df, to.kpi(name), date, order.get(name))
     return counts
 
 
@@ -181,11 +232,12 @@ def run_day(
     wide: bool = False,
     retention_days: int = 1,
     serving: tuple[str, Mapping[str, str]] | None = None,
+    allow_missing: bool = False,
 ) -> DataFrame:
     """Domain tables, KPI tables, then (with a URL) the serving load. Returns the ledger."""
     date = date or previous_day()
-    counts = build_silver(spark, lake, date, wide)
-    counts.update(build_gold(spark, lake, date, wide, retention_days))
+    counts = build_silver(spark, lake, date, wide, allow_missing=allow_missing)
+    counts.update(build_gold(spark, lake, date, wide, retention_days, allow_missing=allow_missing))
     if serving and not wide:
         load_serving(spark, lake, date, *serving)
     return quality.ledger(spark, counts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline import schemas
@@ -10,7 +10,7 @@ from shoreline.functions import measures
 from shoreline.functions.temporal import calendar_days, day_of
 from shoreline.operators.rows import purchases, successful
 from shoreline.operators.shape import align, round_columns, stamp
-from shoreline.plans.gold import with_baseline
+from shoreline.plans.gold import cell_moments, cells_with_baseline, type_moments
 
 # Levels of grouping_id() over (payment_method, currency).
 BY_METHOD, BY_CURRENCY, OVERALL = 1, 2, 3
@@ -105,50 +105,39 @@ def retention_span(events: DataFrame, drop_anonymous: bool = False) -> DataFrame
     )
 
 
+def _limits() -> dict[str, Column]:
+    """Three-sigma bounds of a type."""
+    reach = F.lit(measures.SIGMA_LIMIT) * F.col("stddev_value")
+    return {"lower_bound": F.col("mean_value") - reach, "upper_bound": F.col("mean_value") + reach}
+
+
 def bounded_readings(readings: DataFrame) -> DataFrame:
     """Every reading with its three-sigma bounds, side and distance in sigmas."""
-    spread = measures.SIGMA_LIMIT * F.col("stddev_value")
-    bounded = with_baseline(readings).withColumns({
-        "lower_bound": F.col("mean_value") - spread,
-        "upper_bound": F.col("mean_value") + spread,
-    })
+    baseline = type_moments(cell_moments(readings)).withColumns(_limits())
     side = measures.anomaly_side("value", "lower_bound", "upper_bound")
-    return bounded.withColumns({
-        "anomaly_type": side,
-        "is_anomaly": side != "normal",
-        "deviation_sigma": measures.sigma_distance("value", "mean_value", "stddev_value"),
-    })
+    return readings.join(baseline, "sensor_type").select(
+        "*",
+        side.alias("anomaly_type"),
+        (side != "normal").alias("is_anomaly"),
+        measures.sigma_distance("value", "mean_value", "stddev_value").alias("deviation_sigma"),
+    )
 
 
 def sensor_anomaly_by_location(readings: DataFrame) -> DataFrame:
-    """Anomalies per sensor type and location, with the baseline of the type.
-
-    The baseline is the same on all rows of a group, so ``max`` just picks it.
-    """
-    summary = (
-        bounded_readings(readings)
-        .groupBy("sensor_type", "location")
-        .agg(
-            F.count("reading_id").alias("total_readings"),
-            measures.count_where(F.col("is_anomaly")).alias("anomaly_count"),
-            F.avg("value").alias("avg_value"),
-            F.max("deviation_sigma").alias("max_deviation_sigma"),
-            F.max("mean_value").alias("baseline_mean"),
-            F.max("stddev_value").alias("baseline_stddev"),
-            F.max("lower_bound").alias("lower_threshold"),
-            F.max("upper_bound").alias("upper_threshold"),
-        )
-        .withColumn("anomaly_rate", measures.percent("anomaly_count", "total_readings"))
-    )
-    return round_columns(summary, {
-        "anomaly_rate": 2,
-        "avg_value": 2,
-        "max_deviation_sigma": 2,
-        "baseline_mean": 2,
-        "baseline_stddev": 2,
-        "lower_threshold": 2,
-        "upper_threshold": 2,
-    })
+    """Anomalies per sensor type and location, with the baseline of the type."""
+    cells = cells_with_baseline(readings, F.col("location"), "location").withColumns(_limits())
+    farthest = F.greatest(F.col("most") - F.col("mean_value"), F.col("mean_value") - F.col("least"))
+    measured = {
+        "avg_value": F.col("mean"),
+        "max_deviation_sigma": F.try_divide(farthest, F.col("stddev_value")),
+        "baseline_mean": F.col("mean_value"),
+        "baseline_stddev": F.col("stddev_value"),
+        "lower_threshold": F.col("lower_bound"),
+        "upper_threshold": F.col("upper_bound"),
+        "anomaly_rate": measures.percent("anomaly_count", "total_readings"),
+    }
+    rounded = [F.round(value, 2).alias(name) for name, value in measured.items()]
+    return cells.select("sensor_type", "location", "total_readings", "anomaly_count", *rounded)
 
 
 def stock_by_warehouse(inventory: DataFrame) -> DataFrame:

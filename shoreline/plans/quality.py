@@ -192,6 +192,11 @@ def verify_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     return report
 
 
+def collected(report: DataFrame) -> DataFrame:
+    """The same report, computed once: it has one row per table."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def preview(df: DataFrame, rows: int = 5) -> None:
     """Print the schema and a few rows."""
     df.printSchema()

@@ -5,6 +5,9 @@ A source may be missing (``None``). A domain whose sources are all missing has n
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,30 +57,51 @@ def transactions(
     return _merge_streams(frames, "txn_id", "transactions", date)
 
 
+class Totals(NamedTuple):
+    """How order totals complete a domain: what they are, and what stands for them without orders."""
+
+    source: str
+    key: str
+    of: Callable[[DataFrame], DataFrame]
+    absent: dict[str, float]
+
+
+TOTALS = {
+    "customers": Totals(
+        "crm", "customer_id", order_totals.by_customer_wide, {"total_orders": 0, "total_spent": 0.0}),
+    "inventory": Totals(
+        "inventory", "sku",
+        lambda orders: order_totals.by_product_wide(orders).withColumnRenamed("product_id", "sku"),
+        {"orders_count": 0, "units_sold": 0}),
+}
+
+
+def _with_totals(
+    domain: str, main: DataFrame, orders: DataFrame | None, date: str
+) -> DataFrame:
+    """The main side with its order totals: NULL for a key without orders, fixed values
+    where there is no order data at all."""
+    rule = TOTALS[domain]
+    cleaned = _clean(main, rule.source, rule.key)
+    if orders is None:
+        completed = cleaned.withColumns({name: F.lit(value) for name, value in rule.absent.items()})
+    else:
+        completed = cleaned.join(rule.of(orders), rule.key, "left")
+    return _finish(completed, domain, date)
+
+
 def customers(crm: DataFrame | None, orders: DataFrame | None, date: str) -> DataFrame | None:
-    """CRM with order totals (NULL without orders); a missing side has its own fallback."""
-    if crm is None and orders is None:
+    """CRM rows with order totals; without CRM data the totals alone are the table."""
+    if crm is not None:
+        return _with_totals("customers", crm, orders, date)
+    if orders is None:
         return None
-    totals = None if orders is None else order_totals.by_customer_wide(orders)
-    if crm is None:
-        return _finish(totals.withColumn("_source", F.lit("orders")), "customers", date)
-    cleaned = _clean(crm, "crm", "customer_id")
-    if totals is None:
-        merged = cleaned.withColumns({"total_orders": F.lit(0), "total_spent": F.lit(0.0)})
-    else:
-        merged = cleaned.join(totals, "customer_id", "left")
-    return _finish(merged, "customers", date)
+    alone = TOTALS["customers"].of(orders).withColumn("_source", F.lit("orders"))
+    return _finish(alone, "customers", date)
 
 
 def inventory(
     inventory: DataFrame | None, orders: DataFrame | None, date: str
 ) -> DataFrame | None:
-    if inventory is None:
-        return None
-    cleaned = _clean(inventory, "inventory", "sku")
-    if orders is None:
-        merged = cleaned.withColumns({"orders_count": F.lit(0), "units_sold": F.lit(0)})
-    else:
-        sold = order_totals.by_product_wide(orders).withColumnRenamed("product_id", "sku")
-        merged = cleaned.join(sold, "sku", "left")
-    return _finish(merged, "inventory", date)
+    """Stock rows with order totals; no stock data, no table."""
+    return None if inventory is None else _with_totals("inventory", inventory, orders, date)

@@ -281,13 +281,6 @@ DOMAINS: dict[str, Columns] = {
     "inventory": {**INVENTORY, **AUDIT},
 }
 
-DOMAIN_SOURCES = {
-    "events": ["user_events", "clickstream"],
-    "transactions": ["transactions", "payments"],
-    "customers": ["crm", "orders"],
-    "inventory": ["inventory", "orders"],
-}
-
 DOMAIN_REQUIRED = {
     "events": ["event_id", "timestamp", "event_source"],
     "transactions": ["transaction_id", "timestamp", "amount"],

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job of this package relies on. ANSI mode and AQE stay at their
 # Spark 4 defaults (on); nothing here depends on the size of the data.
@@ -23,25 +25,46 @@ JOB_CONF = {
 
 MB = 1024 * 1024
 TASK_BYTES = 512 * MB
-MAX_SHUFFLE_PARTITIONS = 50_000
+LEAST_PARTITIONS = 200
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
-    """Partition settings for a job over ``input_bytes``.
+    """Partition settings for a job over ``input_bytes``: about 512 MB per task at every size.
 
     AQE merges small shuffle partitions but never adds any, so the starting number has to
-    fit the data: about 512 MB per task, and a limit that keeps the number of shuffle
-    blocks manageable. Above 10 TB scans take 512 MB per task as well.
+    fit the data.
     """
-    partitions = min(max(input_bytes // TASK_BYTES, 200), MAX_SHUFFLE_PARTITIONS)
-    scan = TASK_BYTES if input_bytes > 10 * 1024 * 1024 * MB else 128 * MB
+    partitions = max(-(-input_bytes // TASK_BYTES), LEAST_PARTITIONS)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
-        "spark.sql.files.maxPartitionBytes": str(scan),
     }
 
 
+def listed_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below the paths, from their listing; no file is read. Absent paths
+    count nothing."""
+    total = 0
+    for path in paths:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        try:
+            row = files.load(path).agg(F.sum("length").alias("bytes")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        total += row.bytes or 0
+    return total
+
+
+def size_session(spark: SparkSession, *paths: str) -> int:
+    """Set the partition settings of the session for a job over the paths; returns their bytes."""
+    found = listed_bytes(spark, *paths)
+    for key, value in sizing(found).items():
+        spark.conf.set(key, value)
+    return found
+
+
 def build_session(
     app_name: str, master: str | None = None, input_bytes: int | None = None, **conf: str
 ) -> SparkSession:

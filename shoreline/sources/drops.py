@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.operators.envelope import CORRUPT, batch_rows
+from shoreline.operators.envelope import BATCH_HOUR, CORRUPT, batch_rows
 from shoreline.schemas import BATCH_SOURCES, PAYLOADS, ddl
-from shoreline.sources.lake import Lake, write_raw
+from shoreline.sources.lake import Lake, replace_raw_batch
 
 
 def _schema(source: str) -> str:
@@ -37,7 +39,19 @@ def read_drop(spark: SparkSession, path: str, source: str) -> DataFrame:
     return read(spark, path, source)
 
 
-def land_drop(spark: SparkSession, path: str, source: str, lake: Lake, date: str) -> None:
-    """Land one drop in the raw layer under its processing date; landing it again replaces it."""
+def drop_batch(path: str) -> str:
+    """Name of the batch of a drop: drops of one day don't meet, the same drop does."""
+    return f"drop-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+
+
+def land_drop(
+    spark: SparkSession, path: str, source: str, lake: Lake, date: str, drop_id: str | None = None
+) -> None:
+    """Land one drop in the raw layer under its processing date.
+
+    A drop is known by its path, or by ``drop_id``. Landing it again replaces its rows, good and
+    bad; other drops of the day stay.
+    """
     rows = batch_rows(read_drop(spark, path, source), source, date)
-    write_raw(rows, lake, f"drop-{source}-{date}")
+    batch = f"drop-{drop_id}" if drop_id else drop_batch(path)
+    replace_raw_batch(rows, lake, source, date, BATCH_HOUR, batch)

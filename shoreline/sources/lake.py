@@ -4,12 +4,14 @@
     <lake>/raw/zone=dead_letter/source=<s>/dt=<d>/hour=<h>/batch=<b>/part-*
     <lake>/silver/domain=<domain>/dt=<d>/part-*
     <lake>/gold/kpi=<kpi>/dt=<d>/part-*
+
+Tables in the wide form lie beside those in silver_wide and gold_wide.
 """
 
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -28,6 +30,12 @@ class Lake:
     """Paths of one lake."""
 
     root: str
+    form: str = ""
+
+    @property
+    def wide(self) -> Lake:
+        """The same lake with the tables in the wide form; the raw layer is shared."""
+        return replace(self, form="_wide")
 
     @property
     def raw(self) -> str:
@@ -43,10 +51,10 @@ class Lake:
         return self.raw_zone("dead_letter", source)
 
     def domain(self, name: str) -> str:
-        return f"{self.root}/silver/domain={name}"
+        return f"{self.root}/silver{self.form}/domain={name}"
 
     def kpi(self, name: str) -> str:
-        return f"{self.root}/gold/kpi={name}"
+        return f"{self.root}/gold{self.form}/kpi={name}"
 
 
 def _load_or_none(reader: DataFrameReader, fmt: str, path: str) -> DataFrame | None:
@@ -127,16 +135,28 @@ def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
     )
 
 
+def replace_raw_batch(rows: DataFrame, lake: Lake, source: str, date: str, hour: str, batch: str) -> None:
+    """Land lines (``value``, ``zone``) of one source and hour as one batch, in place of all rows
+    it had in either zone: a zone that gets no rows is emptied."""
+    for zone in ("bronze", "dead_letter"):
+        path = f"{lake.raw_zone(zone, source)}/dt={date}/hour={hour}/batch={batch}"
+        lines = rows.where(F.col("zone") == zone).select("value")
+        lines.write.mode("overwrite").option("maxRecordsPerFile", RAW_ROWS_PER_FILE).text(path)
+
+
+DEAD_LETTER: schemas.Columns = {
+    "_raw": "string",
+    "_error_reason": "string",
+    "_error_ts": "timestamp",
+    "_kafka_topic": "string",
+    "_kafka_partition": "int",
+    "_kafka_offset": "bigint",
+    "_file_path": "string",
+}
+
+
 def read_dead_letter(spark: SparkSession, lake: Lake, source: str) -> DataFrame | None:
-    reader = spark.read.schema(schemas.ddl({
-        "_raw": "string",
-        "_error_reason": "string",
-        "_error_ts": "timestamp",
-        "_kafka_topic": "string",
-        "_kafka_partition": "int",
-        "_kafka_offset": "bigint",
-        "_file_path": "string",
-    }))
+    reader = spark.read.schema(schemas.ddl(DEAD_LETTER))
     return _load_or_none(reader, "json", lake.dead_letter(source))
 
 
@@ -156,6 +176,31 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
     )
 
 
+def write_date(df: DataFrame, path: str, date: str, sort_by: list[str] | None = None) -> None:
+    """Replace one date by the rows of ``df``, which are all of that date; no rows empty it."""
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    writer = df.drop("dt").write.mode("overwrite").option("compression", "snappy")
+    writer.parquet(f"{path}/dt={date}")
+
+
+def clear_date(spark: SparkSession, path: str, date: str) -> None:
+    """Leave no rows of a date, if the table has that date."""
+    found = read_partition(spark, path, date)
+    if found is not None:
+        write_date(spark.createDataFrame([], found.schema), path, date)
+
+
+class MissingColumns(ValueError):
+    """Files that lack columns their readers need."""
+
+
+def _check_columns(found: DataFrame, columns: schemas.Columns, path: str) -> None:
+    absent = [name for name in columns if name not in found.columns]
+    if absent:
+        raise MissingColumns(f"{path} has no column {', '.join(absent)}")
+
+
 def read_range(
     spark: SparkSession,
     path: str,
@@ -164,13 +209,19 @@ def read_range(
     columns: schemas.Columns | None = None,
 ) -> DataFrame | None:
     """The last ``days`` dates up to ``last_date``. Only their folders are listed, however
-    many dates the table has; absent dates are skipped."""
+    many dates the table has; absent dates are skipped. Files without one of the given columns
+    are refused; one footer is read for that."""
     last = datetime.date.fromisoformat(last_date)
     wanted = ",".join(str(last - datetime.timedelta(days=n)) for n in range(days))
+    dates = f"{path}/dt={{{wanted}}}"
     reader = spark.read.option("basePath", path)
     if columns:
+        found = _load_or_none(reader, "parquet", dates)
+        if found is None:
+            return None
+        _check_columns(found, columns, path)
         reader = reader.schema(schemas.ddl(_stored(columns)))
-    return _load_or_none(reader, "parquet", f"{path}/dt={{{wanted}}}")
+    return _load_or_none(reader, "parquet", dates)
 
 
 def read_partition(
@@ -192,11 +243,3 @@ def read_all(
 
 def _stored(columns: schemas.Columns) -> schemas.Columns:
     return {name: storage_type(dtype) for name, dtype in columns.items()}
-
-
-def domain_or_empty(
-    spark: SparkSession, lake: Lake, domain: str, date: str, days: int = 1
-) -> DataFrame:
-    columns = schemas.DOMAINS[domain]
-    found = read_range(spark, lake.domain(domain), date, days, columns)
-    return found if found is not None else empty(spark, columns)

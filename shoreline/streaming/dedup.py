@@ -27,7 +27,7 @@ def first_delivery(
     key: str,
     time_column: str = "timestamp",
     bound: str = OUT_OF_ORDER_BOUND,
-    salts: int = 16,
+    salts: int = 1,
 ) -> DataFrame:
     """Drop repeated deliveries of a key that arrive within the bound.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import Future
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shoreline.operators.envelope import STREAM_JOB, stream_rows
@@ -24,11 +26,14 @@ def start_raw_ingest(
 
     Nothing is shuffled: a Kafka partition carries one topic, so a task writes to one
     source and few hours. A micro-batch is written under its own batch name by
-    replacing it, so the retry of a failed batch leaves one copy. The interval bounds
-    the age of a file, the row limit of the writer its size.
+    replacing it, so the retry of a failed batch leaves one copy. The name holds the id that
+    Spark keeps in the checkpoint: a restart finds its batches, another ingest never does.
+    The interval bounds the age of a file, the row limit of the writer its size.
     """
+    started: Future[str] = Future()
+
     def land(rows: DataFrame, batch_id: int) -> None:
-        write_raw(rows, lake, f"{name}-{batch_id:09d}")
+        write_raw(rows, lake, f"{name}-{started.result()}-{batch_id:09d}")
 
     writer = (
         stream_rows(records, routes, job)
@@ -36,9 +41,10 @@ def start_raw_ingest(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(land)
     )
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=COMMIT_INTERVAL).start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": COMMIT_INTERVAL}
+    running = writer.trigger(**trigger).start()
+    started.set_result(str(running.id))
+    return running
 
 
 def start_console(records: DataFrame, routes: dict[str, str] | None = None) -> StreamingQuery:
@@ -50,8 +56,3 @@ def start_console(records: DataFrame, routes: dict[str, str] | None = None) -> S
         .trigger(availableNow=True)
         .start()
     )
-
-
-def await_any(spark: SparkSession, timeout: float | None = None) -> None:
-    """Wait until one of the running queries ends, failing with its error."""
-    spark.streams.awaitAnyTermination(timeout)

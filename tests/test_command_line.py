@@ -1,7 +1,7 @@
 import json
 
 from shoreline.__main__ import main
-from shoreline.session import MAX_SHUFFLE_PARTITIONS, sizing
+from shoreline.session import listed_bytes, size_session, sizing
 
 DAY = "2026-04-17"
 
@@ -19,12 +19,15 @@ def test_jobs_by_name(spark, tmp_path, monkeypatch):
                  "--checkpoint", str(tmp_path / "cp"), "--available-now"]) == 0
     assert main(["land", "--lake", lake, "--source", "crm",
                  "--drop", str(tmp_path / "crm.json")]) == 0
-    assert main(["silver", "--lake", lake]) == 0
-    assert main(["gold", "--lake", lake]) == 0
-    assert main(["day", "--lake", lake, "--date", DAY]) == 0
+    assert main(["silver", "--lake", lake, "--allow-missing"]) == 0
+    assert main(["silver", "--lake", lake, "--domain", "customers"]) == 0
+    assert main(["gold", "--lake", lake, "--allow-missing"]) == 0
+    assert main(["gold", "--lake", lake, "--kpi", "user_retention"]) == 0
+    assert main(["day", "--lake", lake, "--date", DAY, "--allow-missing"]) == 0
     assert main(["validate", "--lake", lake]) == 0
-    # three KPIs have no rows, so their tables are reported as missing
-    assert main(["verify", "--lake", lake]) == 1
+    # three KPIs have no rows, but all tables are there
+    assert main(["verify", "--lake", lake]) == 0
+    assert main(["verify", "--lake", str(tmp_path / "other")]) == 1
 
 
 def test_sizing_follows_the_input():
@@ -33,5 +36,19 @@ def test_sizing_follows_the_input():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert int(small[key]) == 200
     assert int(large[key]) == 10 * tera // (512 * 1024 ** 2)
-    assert int(huge[key]) == MAX_SHUFFLE_PARTITIONS
-    assert int(huge["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
+    assert int(huge[key]) == 100 * tera // (512 * 1024 ** 2)
+    assert "spark.sql.files.maxPartitionBytes" not in huge
+
+
+def test_the_session_is_sized_by_the_listed_files(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "x.json").write_text("1" * 100)
+    (tmp_path / "a" / "b" / "y.json").write_text("1" * 50)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert listed_bytes(spark, str(tmp_path / "a"), str(tmp_path / "none")) == 150
+        assert size_session(spark, str(tmp_path / "a")) == 150
+        assert spark.conf.get(key) == "200"
+    finally:
+        for name in sizing(0):
+            spark.conf.unset(name)

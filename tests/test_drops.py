@@ -46,3 +46,32 @@ def test_batch_envelope_columns(spark, tmp_path):
     row = envelope.with_batch_envelope(drop, "crm").first()
     assert json.loads(row._raw) == {"customer_id": "c1"}
     assert row._job == envelope.BATCH_JOB and row._file_path.endswith("crm.json")
+
+
+def crm(tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    return str(tmp_path / name)
+
+
+def test_two_drops_of_a_day_and_a_repaired_one(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    names = ",".join(schemas.PAYLOADS["orders"])
+    def order(key, quantity):
+        return f"{key},c1,p1,{quantity},10.5,21.0,0,done,2026-04-01,x\n"
+    morning = crm(tmp_path, "morning.csv", names + "\n" + order("o1", 2) + order("o2", "two"))
+    evening = crm(tmp_path, "evening.csv", names + "\n" + order("o3", 1))
+    for path in (morning, evening):
+        drops.land_drop(spark, path, "orders", lake, DAY)
+    found = lambda: sorted(r.order_id for r in tables.read_raw(spark, lake, "orders", DAY).collect())
+    assert found() == ["o1", "o3"] and tables.read_dead_letter(spark, lake, "orders").count() == 1
+    (tmp_path / "morning.csv").write_text(names + "\n" + order("o1", 2) + order("o2", 2))
+    drops.land_drop(spark, morning, "orders", lake, DAY)
+    assert found() == ["o1", "o2", "o3"] and tables.read_dead_letter(spark, lake, "orders").count() == 0
+
+
+def test_a_named_drop_may_move(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    for name in ("a.json", "b.json"):
+        path = crm(tmp_path, name, json.dumps([{"customer_id": name}]))
+        drops.land_drop(spark, path, "crm", lake, DAY, drop_id="crm-1")
+    assert [r.customer_id for r in tables.read_raw(spark, lake, "crm", DAY).collect()] == ["b.json"]

@@ -119,9 +119,19 @@ def test_sensor_summaries(frame):
     assert (by_place["temp", "here"].total_readings, by_place["temp", "here"].anomaly_count) == (62, 1)
 
 
-def test_readings_are_not_shuffled_for_the_baseline(frame):
-    plan = plan_of(gold.score_readings(readings(frame)))
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+def test_sensor_plans_start_no_job_and_broadcast_a_small_baseline(spark, frame):
+    rows = readings(frame)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        plans = [
+            gold.sensor_anomaly(rows), gold_wide.sensor_anomaly_by_location(rows),
+            gold.score_readings(rows), gold_wide.bounded_readings(rows),
+        ]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plans[2].collect()
+    assert "BroadcastHashJoin" in plan_of(plans[2])
 
 
 def test_sensor_rows_of_the_event_table(frame):

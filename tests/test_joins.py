@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from conftest import plan_of
 from shoreline.operators import joins
 
 
@@ -13,27 +12,6 @@ def facts(spark):
     )
 
 
-def lookup(spark):
-    return facts(spark).groupBy("key").agg(F.sum("v").alias("total"))
-
-
-def result(df):
-    return sorted((r.key, r.v, r.total) for r in df.collect())
-
-
-def test_small_lookup_is_broadcast(spark):
-    joined = joins.join_lookup(facts(spark), lookup(spark), "key")
-    assert "BroadcastHashJoin" in plan_of(joined)
-    assert joined.count() == 3000
-
-
-def test_large_lookup_is_salted_with_the_same_result(spark):
-    expected = result(facts(spark).join(lookup(spark), "key"))
-    salted = joins.join_lookup(facts(spark), lookup(spark), "key", row_limit=3, salts=4)
-    assert "_salt" in plan_of(salted)
-    assert result(salted) == expected
-
-
 def test_copies_are_spread(spark):
     hot = facts(spark).where("key = 'hot'")
     assert hot.select(joins.row_salt(hot, 8)).distinct().count() > 1

@@ -38,8 +38,10 @@ def test_partition_reads(spark, frame, tmp_path):
     assert sorted(r.id for r in few.collect()) == [5, 6, 7]
     assert len(few.inputFiles()) == 3
     assert tables.read_range(spark, path, "2026-04-30", days=3) is None
-    typed = tables.read_partition(spark, path, DAY, {"id": "int", "x": "string", "dt": "date"})
-    assert tuple(typed.first()) == (7, None, dt.date(2026, 4, 17))
+    typed = tables.read_partition(spark, path, DAY, {"id": "int", "dt": "date"})
+    assert tuple(typed.first()) == (7, dt.date(2026, 4, 17))
+    with pytest.raises(tables.MissingColumns, match="x"):
+        tables.read_partition(spark, path, DAY, {"id": "int", "x": "string", "dt": "date"})
 
 
 def test_absent_data_is_none_or_empty(spark, tmp_path):
@@ -190,19 +192,24 @@ def test_a_wide_day(spark, filled):
     assert ledger["silver", "transactions"] == 5
     # overall, no payment method, USD, no currency
     assert ledger["gold", "daily_revenue"] == 4
-    report = tables.read_all(spark, filled.kpi("daily_revenue"))
+    report = tables.read_all(spark, filled.wide.kpi("daily_revenue"))
     overall = report.where("breakdown_type = 'overall'").first()
     assert overall.total_revenue == 47.0 and overall.conversion_rate > 0
 
 
 def test_days_without_data(spark, tmp_path):
     lake = Lake(str(tmp_path / "none"))
-    assert set(counts(daily.run_day(spark, lake, DAY)).values()) == {0}
+    with pytest.raises(daily.MissingInput, match="user_events and clickstream"):
+        daily.run_day(spark, lake, DAY)
+    assert set(counts(daily.run_day(spark, lake, DAY, allow_missing=True)).values()) == {0}
     assert set(counts(daily.run_day(spark, lake, DAY, wide=True)).values()) == {0}
     report = quality.validate_lake(spark, lake, DAY)
-    assert {r.status for r in report.collect()} == {"missing"}
+    assert {(r.layer == "bronze", r.status, r.row_count) for r in report.collect()} == {
+        (True, "missing", 0), (False, "ok", 0)}
     assert quality.lake_verdict(report).first().silver_to_bronze_pct is None
-    assert not quality.all_ok(quality.verify_gold(spark, lake)).first().passed
+    assert quality.all_ok(quality.verify_gold(spark, lake)).first().passed
+    nowhere = Lake(str(tmp_path / "nowhere"))
+    assert not quality.all_ok(quality.verify_gold(spark, nowhere)).first().passed
 
 
 def test_retention_reads_several_days(spark, frame, tmp_path):
@@ -211,13 +218,46 @@ def test_retention_reads_several_days(spark, frame, tmp_path):
         rows = [{"event_id": f"{date}-{u}", "user_id": u, "timestamp": f"{date}T10:00:00Z",
                  "_ingested_at": f"{date}T10:00:00Z"} for u in "ab"]
         tables.write_raw(raw_rows(frame, "user_events", rows, date=date), lake, date)
-        daily.build_silver(spark, lake, date)
-    one = daily.kpi_frames(spark, lake, DAY)["user_retention"]
-    two = daily.kpi_frames(spark, lake, DAY, retention_days=2)["user_retention"]
+        daily.build_silver(spark, lake, date, only=["events"])
+    one = daily.kpi_frames(spark, lake, DAY, only=["user_retention"])["user_retention"]
+    two = daily.kpi_frames(spark, lake, DAY, 2, ["user_retention"])["user_retention"]
     assert [(r.days_since_cohort, r.active_users) for r in one.collect()] == [(0, 2)]
     assert sorted((r.days_since_cohort, r.active_users) for r in two.collect()) == [(0, 2), (1, 2)]
 
 
+def test_a_date_that_becomes_empty_is_emptied(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_date(dated(frame, [(1, 1, DAY)]), path, DAY)
+    tables.write_date(dated(frame, [(2, 2, "2026-04-18")]), path, "2026-04-18")
+    tables.write_date(dated(frame, []), path, DAY)
+    assert contents(spark, path) == [(2, 2, "2026-04-18")]
+    tables.clear_date(spark, path, "2026-04-18")
+    tables.clear_date(spark, path, "2026-04-19")
+    assert contents(spark, path) == []
+
+
+def test_both_forms_side_by_side(spark, filled):
+    daily.build_silver(spark, filled, DAY)
+    daily.build_silver(spark, filled, DAY, wide=True)
+    daily.build_gold(spark, filled, DAY)
+    daily.build_gold(spark, filled, DAY, wide=True)
+    revenue = tables.read_all(spark, filled.kpi("daily_revenue")).first()
+    assert (revenue.total_revenue, revenue.total_transactions) == (47.0, 5)
+    assert "breakdown_type" in tables.read_all(spark, filled.wide.kpi("daily_revenue")).columns
+
+
+def test_one_domain_and_one_kpi(spark, filled):
+    assert list(daily.build_silver(spark, filled, DAY, only=["customers"])) == [("silver", "customers")]
+    assert tables.read_all(spark, filled.domain("events")) is None
+    with pytest.raises(daily.MissingInput):
+        daily.build_gold(spark, filled, DAY, only=["inventory_turnover"])
+    daily.build_silver(spark, filled, DAY, only=["inventory"])
+    counted = daily.build_gold(spark, filled, DAY, only=["inventory_turnover"])
+    assert counted == {("gold", "inventory_turnover"): 1}
+    with pytest.raises(ValueError, match="unknown: nothing"):
+        daily.build_gold(spark, filled, DAY, only=["nothing"])
+
+
 def test_previous_day_is_a_date():
     assert dt.date.fromisoformat(daily.previous_day())
 
