@@ -14,7 +14,7 @@ with a smaller id, or before in the same one. Windows are judged on the input.
    all documents doesn't meet in one task.
 4. A shard takes pieces in blocks of BLOCK words and whole anchors, compiles the windows that recur there
    into an Aho-Corasick automaton over word numbers, and streams the pieces through it. Hits are exact: words
-   are compared, not hashes.
+   are compared, not hashes. Equal windows of one text go as their first, the others are cut at once.
 5. Hits but the first of a window are merged to spans and cut out of the documents.
 
 Words of null, empty and blank texts: none. A text shorter than the window is kept. A null id comes after
@@ -164,7 +164,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
     the first of this task."""
     first: dict[bytes, tuple] = {}
     for batch in batches:
-        rows = []
+        rows, again = [], []
         doc, key = (batch.column(i).to_numpy() for i in (0, 1))
         lists = batch.column(3)
         for i, text in enumerate(texts_as_bytes(batch.column(2))):
@@ -174,6 +174,14 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
             wanted = np.flatnonzero(np.isin(own, lists[i].values.to_numpy()))
             if not len(wanted):
                 continue
+            # within a text only the first of equal windows goes on; their words are compared by hash
+            _, first_here, same = np.unique(shingle_hashes(words, window)[wanted], return_index=True, return_inverse=True)
+            like = wanted[first_here][same]
+            equal = (like != wanted) & (words[wanted[:, None] + np.arange(window)] == words[like[:, None] + np.arange(window)]).all(axis=1)
+            if equal.any():
+                ones = np.ones(int(equal.sum()), dtype=_SIGNED)
+                again.append(_merged(ones * doc[i], ones * key[i], wanted[equal], window))
+                wanted = wanted[~equal]
             raw = text.tobytes()
             known = _known(own[wanted], frequent)
             for s in wanted[known].tolist():
@@ -196,6 +204,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
                 for run in np.split(rest, cut):
                     a, b = int(run[0]), int(run[-1]) + window
                     rows.append((int(own[a]), int(doc[i]), int(key[i]), a, b, b" ".join(raw[starts[a]:ends[b - 1]].split())))
+        for spans in again:
+            rows += [(None, d, k, a, b, None) for d, k, a, b in zip(*(x.tolist() for x in spans))]
         yield _piece_batch(rows)
     rows = []
     for content, (d, s, k) in first.items():
@@ -206,43 +216,47 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
     yield _piece_batch(rows)
 
 
-def _located(pieces: list[tuple[int, int, int, list[bytes]]], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, key, start, stop) of all windows that aren't the first with their words."""
+def _merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, window: int) -> list[np.ndarray]:
+    """Windows to the spans they cover: doc, key, start, stop."""
+    order = np.lexsort((start, key, doc))
+    doc, key, start = doc[order], key[order], start[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] > start[:-1] + window)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return [doc[first], key[first], start[first], start[last] + window]
+
+
+def _located(pieces: list[tuple[int, int, int, list[bytes]]], window: int) -> list[np.ndarray] | None:
+    """Spans of all windows that aren't the first with their words."""
     numbers: dict[bytes, int] = {}
-    texts = [tuple(numbers.setdefault(w, len(numbers)) for w in words) for *_, words in pieces]
-    hashes = [shingle_hashes(mix(np.array(t, dtype=np.uint64)), window) for t in texts]
-    found, count = np.unique(np.concatenate(hashes), return_counts=True)
-    often = found[count > 1]
-    if not len(often):
-        return
+    length = np.array([len(words) for *_, words in pieces])
+    flat = np.fromiter((numbers.setdefault(w, len(numbers)) for *_, words in pieces for w in words), dtype=_SIGNED, count=int(length.sum()))
+    end = np.cumsum(length)
+    piece = np.repeat(np.arange(len(pieces)), length)
+    whole = np.flatnonzero(np.arange(len(flat)) + window <= end[piece])
+    hashes = shingle_hashes(mix(flat.astype(np.uint64)), window)[whole]
+    _, first, count = np.unique(hashes, return_index=True, return_counts=True)
     phrases = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    n = 0
-    for text, own in zip(texts, hashes):
-        for s in np.flatnonzero(_known(own, often)).tolist():
-            phrase = text[s:s + window]
-            if phrases.get(phrase, -1) < 0:
-                phrases.add_word(phrase, n)
-                n += 1
+    for n, s in enumerate(whole[first[count > 1]].tolist()):
+        phrases.add_word(tuple(flat[s:s + window].tolist()), n)
+    if not len(phrases):
+        return None
     phrases.make_automaton()
-    hits = [(p, i, end - window + 1) for i, text in enumerate(texts) for end, p in phrases.iter(text)]
-    first: dict[int, tuple[int, int]] = {}
-    for p, i, s in hits:
-        place = (pieces[i][0], pieces[i][2] + s)
-        if p not in first or place < first[p]:
-            first[p] = place
-    last = None
-    for p, i, s in hits:
-        doc, key, start, _ = pieces[i]
-        if (doc, start + s) <= first[p]:
-            continue
-        if last and last[:2] == (doc, key) and last[2] <= start + s <= last[3]:
-            last = (doc, key, last[2], start + s + window)
-            continue
-        if last:
-            yield last
-        last = (doc, key, start + s, start + s + window)
-    if last:
-        yield last
+    # one stream; a number that no phrase has keeps pieces apart
+    apart = np.insert(flat, end[:-1], len(numbers))
+    hits = np.array(list(phrases.iter(tuple(apart.tolist()))), dtype=_SIGNED).reshape(-1, 2)
+    at, phrase = hits[:, 0] - window + 1, hits[:, 1]
+    of = np.searchsorted(end + np.arange(len(pieces)), at, side="right")
+    doc, key, start = (np.array([x[i] for x in pieces], dtype=_SIGNED)[of] for i in range(3))
+    start = start + at - (end - length + np.arange(len(pieces)))[of]
+    order = np.lexsort((start, doc, phrase))
+    doc, key, start, phrase = doc[order], key[order], start[order], phrase[order]
+    new = np.ones(len(phrase), dtype=bool)
+    new[1:] = phrase[1:] != phrase[:-1]
+    least = np.flatnonzero(new)[np.cumsum(new) - 1]
+    later = (doc != doc[least]) | (start != start[least])
+    return _merged(doc[later], key[later], start[later], window)
 
 
 SPANS = "doc long, key long, start long, stop long"
@@ -250,28 +264,31 @@ SPANS = "doc long, key long, start long, stop long"
 
 def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Pieces sorted by route to spans that are removed; those without text are spans already."""
-    held, words, route, ready = [], 0, None, []
+    held, words, route = [], 0, None
 
-    def done(rows):
-        columns = list(zip(*rows)) if rows else [()] * 4
+    def done(columns):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "key", "start", "stop"])
 
+    def searched():
+        found = _located(held, window) if held else None
+        return [done(found)] if found else []
+
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(6)]
+        ready = []
         for to, doc, key, start, stop, text in zip(*columns):
             if text is None:
                 ready.append((doc, key, start, stop))
                 continue
             if to != route and words > BLOCK:
-                yield done(list(_located(held, window)))
+                yield from searched()
                 held, words = [], 0
             route = to
             held.append((doc, key, start, text.split(b" ")))
             words += len(held[-1][3])
-        yield done(ready)
-        ready = []
-    if held:
-        yield done(list(_located(held, window)))
+        if ready:
+            yield done(zip(*ready))
+    yield from searched()
 
 
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
