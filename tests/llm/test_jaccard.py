@@ -89,7 +89,9 @@ def test_trie_join_equals_brute_force():
             for j in range(i):
                 if den * len(plain[i] & plain[j]) >= num * len(plain[i] | plain[j]):
                     want = [want[i] if x == want[j] else x for x in want]
-        for found in (trie.join(sets, num, den), trie.join(sets, num, den, sides, (0, 1))):
+        halves = [np.flatnonzero(sides == k) for k in (0, 1)]
+        apart = [(h[i], h[j]) for h in halves for i, j in trie.join([sets[x] for x in h], num, den)]
+        for found in (trie.join(sets, num, den), apart + trie.join(sets, num, den, sides)):
             got = list(range(len(sets)))
             for i, j in found:
                 got = [got[i] if x == got[j] else x for x in got]
