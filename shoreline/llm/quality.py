@@ -42,7 +42,7 @@ RULES = (
     Rule("mean_word_chars", 2.0, 12.0),
     Rule("symbols_per_word", None, 0.2),
     Rule("stop_word_share", 0.03, None),
-    Rule("duplicate_line_share", None, 0.3),
+    Rule("duplicate_line_share", None, 0.5),
 )
 
 
