@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shoreline import schemas
 from shoreline.catalog.frames import BATCH_TIME, DATE, DAYS, SampleSources
-from shoreline.catalog.oracles import BASE, DAY, ORACLES
+from shoreline.catalog.oracles import BASE, DAY, DOM, ORACLES
 from shoreline.catalog.queries import (
     LANDED,
     QUERIES,
@@ -104,6 +104,30 @@ def repaired_drop(src: SampleSources) -> DataFrame:
 same_as("repaired_drop", "batch_csv_ingest")
 
 
+@query
+def raw_inferred(src: SampleSources) -> DataFrame:
+    """Raw rows whose schema is taken from the files."""
+    found = tables.read_raw_inferred(src.spark, _raw_lake(src), "inventory", DATE)
+    return found.select("sku", "category", "warehouse", "quantity_on_hand", "reorder_point")
+
+
+ORACLES["raw_inferred"] = f"""{BASE}
+SELECT sku, category, warehouse, quantity_on_hand, reorder_point FROM stock"""
+
+
+@query
+def day_with_missing_source(src: SampleSources) -> DataFrame:
+    """A day on which payments sent nothing: the transactions of the other source remain."""
+    lake = _raw_lake(src, without=["payments"])
+    daily.build_silver(src.spark, lake, DATE, only=["transactions"])
+    written = tables.read_all(src.spark, lake.domain("transactions"))
+    return written.groupBy("transaction_source").agg(F.count("*").alias("rows"))
+
+
+ORACLES["day_with_missing_source"] = f"""{DOM}
+SELECT transaction_source, count(*) AS rows FROM tx_silver WHERE transaction_source = 'transactions' GROUP BY 1"""
+
+
 # --- table layers ------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ Audit times of the run are left out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -645,8 +645,8 @@ def lake_roundtrip_dynamic_overwrite(src: SampleSources) -> DataFrame:
     return publish(tables.read_all(src.spark, path))
 
 
-def _raw_lake(src: SampleSources) -> Lake:
-    """A lake whose raw layer holds all sample sources under one processing date."""
+def _raw_lake(src: SampleSources, without: Sequence[str] = ()) -> Lake:
+    """A lake whose raw layer holds all sample sources, or all but some, under one processing date."""
     lake = Lake(f"{scratch_path(src.spark, 'lake')}/lake")
     frames = {
         "user_events": src.user_events(),
@@ -660,6 +660,8 @@ def _raw_lake(src: SampleSources) -> Lake:
     }
     at = F.lit(BATCH_TIME).cast("timestamp")
     for source, df in frames.items():
+        if source in without:
+            continue
         lineage = {"_source": F.lit(source), "_ingested_at": at}
         known = df.withColumns({c: v for c, v in lineage.items() if c not in df.columns})
         line = F.to_json(
