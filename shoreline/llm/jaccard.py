@@ -5,18 +5,19 @@ The answer is exact but for 64-bit hashes of shingles.
 
 1. Classes. One pass over the texts hashes the sets; equal sets are one class. The same pass counts
    tokens block by block and reports the frequent ones.
-2. Order. All tokens have one order: those that are frequent anywhere come last, then by hash. Any order
-   is right; this one keeps common passages out of the prefixes.
-3. Prefixes. Linked sets share SHARED tokens (or all they need) of the first size - needed + SHARED
-   ones. A second pass sends these as (token, size, class). A task sends a class once, so copies
-   don't pile up.
-4. Candidates. Tokens of at most PAIRED classes give pairs of fitting sizes, and pairs need SHARED of
+2. Order. All tokens have one order: by hash, but those that are frequent anywhere come last, by how
+   frequent they are. Any order is right; this one keeps common passages out of the prefixes.
+3. Prefixes. Linked sets share k tokens (or all they need) of the first size - needed + k ones; k is SHARED
+   and one more for each SPARE tokens, so that a passage in common makes no pair of long texts. A
+   second pass sends these as (token, size, class). A task sends a class once, so copies don't pile up.
+4. Candidates. Tokens of at most PAIRED classes give pairs of fitting sizes, and pairs need k of
    them. Other tokens, and the frequent ones, don't meet in one task at all: the token is a vertex
    that each of its classes is joined to. Components of that graph are clusters; linked sets are in
    one cluster.
 5. Prefix tree. The sets of a cluster are stored in a trie and joined by traversal. A cluster above
-   CHUNK tokens is dealt into chunks and each pair of chunks is joined by itself. A traversal leaves out
-   what is connected already, so a task returns at most one link a set.
+   CHUNK tokens is cut by size, so that linked sets are in one class of sizes or in neighbouring ones, and a class
+   above CHUNK tokens is dealt into chunks; each pair of chunks that may hold links is joined by itself. A
+   traversal leaves out what is connected already, so a task returns at most one link a set.
 6. The links' components give each document the least id it is connected with.
 
 Null, empty and blank texts have no shingles and are linked with nothing. A text with fewer words
@@ -27,11 +28,12 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -41,17 +43,16 @@ from shoreline.llm.text import fresh, small_side
 from shoreline.llm.words import hash_words, mix, shingle_hashes, texts_as_bytes
 from shoreline.session import cut_lineage
 
-#: Tokens of prefixes that linked sets share.
-SHARED = 3
+#: Tokens of prefixes that linked sets share: SHARED and a SPARE-th of the smaller set.
+SHARED, SPARE = 3, 20
 #: Classes of a token that are paired; above, the token is a vertex.
-PAIRED = 32
+PAIRED = 128
 #: Tokens of one chunk of a cluster, 8 bytes each.
-CHUNK = 400_000
-#: A block counts tokens of about so many words; a token is frequent in it with one in RARE of the documents, but four.
-BLOCK_WORDS = 2_000_000
-RARE = 500
-#: Frequent tokens that have a place in the order, 8 bytes each; the rest are ordered by hash.
-ORDERED = 200_000
+CHUNK = 500_000
+#: Tokens are counted in blocks of about so many words; those found LEAST times in one are frequent.
+BLOCK_WORDS, LEAST = 2_000_000, 3
+#: Frequent tokens that have a place in the order, 16 bytes each; the rest are ordered by hash.
+ORDERED = 1_000_000
 
 _SIGNED = np.int64
 
@@ -76,7 +77,7 @@ def _class_of(shingles: np.ndarray) -> tuple[int, int]:
 
 def _frequent(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     tokens, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
-    often = count >= max(4, len(sets) // RARE)
+    often = count >= LEAST
     return tokens[often].view(_SIGNED), count[often].astype(_SIGNED)
 
 
@@ -109,21 +110,22 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int, schema: pa.Schema) -> I
         yield reported(held)
 
 
-def prefix(shingles: np.ndarray, frequent: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first tokens of a set, and which of them are frequent."""
+def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of a set, and which of them are frequent. frequent: hashes in order, and each one's rank."""
     size = len(shingles)
-    length = min(size, size - -(-num * size // den) + SHARED)
-    at = np.searchsorted(frequent, shingles)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == shingles if len(frequent) else np.zeros(size, dtype=bool)
+    length = min(size, size - -(-num * size // den) + SHARED + size // SPARE)
+    hashes, rank = frequent
+    at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+    late = hashes[at] == shingles if len(hashes) else np.zeros(size, dtype=bool)
     rare = shingles[~late][:length]
-    common = shingles[late][:length - len(rare)]
+    common = shingles[late][np.argsort(rank[at[late]])[:length - len(rare)]]
     return np.concatenate([rare, common]), np.arange(length) >= len(rare)
 
 
 PREFIXES = "token long, size long, class long, frequent boolean"
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], n: int, frequent: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], n: int, frequent: tuple[np.ndarray, np.ndarray], num: int, den: int) -> Iterator[pa.RecordBatch]:
     sent = set()
     for batch in batches:
         rows = []
@@ -175,12 +177,11 @@ def _candidates(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         rows, group = rows[:, some], group[some]
         for step in range(1, int(count[some].max()) if some.any() else 0):
             at = np.flatnonzero(group[step:] == group[:-step])
-            small, big = rows[1, at], rows[1, at + step]
-            fits = small * den >= big * num
-            at, total = at[fits], (small + big)[fits]
+            at = at[rows[1, at] * den >= rows[1, at + step] * num]
             if len(at):
-                one, two = rows[2, at], rows[2, at + step]
-                yield edges(np.minimum(one, two), np.maximum(one, two), np.minimum(SHARED, -(-num * total // (num + den))))
+                small, big, one, two = rows[1, at], rows[1, at + step], rows[2, at], rows[2, at + step]
+                enough = np.minimum(SHARED + small // SPARE, -(-num * (small + big) // (num + den)))
+                yield edges(np.minimum(one, two), np.maximum(one, two), enough)
 
     for batch in batches:
         rows = np.stack([batch.column(i).to_numpy().astype(_SIGNED) for i in range(3)])
@@ -206,34 +207,54 @@ def _candidates(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
     yield from settled(kept)
 
 
+#: side: the chunk of a pair of chunks, -1 where all sets are joined with one another.
+BLOCKS = "array<struct<block: long, side: int>>"
+
+
+def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(component, class, rep, size) to class, rep and the blocks in which the set is joined."""
+    # a little wide, so that rounding can't part neighbours
+    step = F.floor(F.log(F.col("size").cast("double")) / (math.log(den / num) + 1e-9))
+    totals = members.groupBy("component").agg(F.sum("size").alias("all"), F.count("*").alias("sets"))
+    members = members.join(totals.where("sets > 1"), "component")
+    whole = members.where(f"all <= {CHUNK}")
+    whole = whole.select("class", "rep", F.col("component").alias("block"), F.lit(-1).alias("side"))
+
+    large = members.where(f"all > {CHUNK}").withColumn("step", step)
+    steps = large.groupBy("component", "step").agg(F.ceil(F.sum("size") / CHUNK).cast("long").alias("chunks"))
+    large = large.join(steps, ["component", "step"]).withColumn("chunk", F.pmod("class", "chunks"))
+    chunks = steps.select("component", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+    one, two = (chunks.select("component", F.struct("step", "chunk").alias(c)) for c in ("one", "two"))
+    near = (F.col("two.step") - F.col("one.step")).isin(0, 1) & (F.col("one") <= F.col("two"))
+    pairs = one.join(two, "component").where(near).withColumn("block", F.xxhash64("component", "one", "two"))
+    alone = F.array(F.struct(F.col("one").alias("at"), F.lit(-1).alias("side")))
+    both = F.array(*[F.struct(F.col(c).alias("at"), F.lit(i).alias("side")) for i, c in enumerate(("one", "two"))])
+    pairs = pairs.select("component", "block", F.explode(F.when(F.col("one") == F.col("two"), alone).otherwise(both)).alias("x"))
+    pairs = pairs.select("component", "block", "x.at.step", "x.at.chunk", "x.side")
+    cut = large.join(pairs, ["component", "step", "chunk"]).select("class", "rep", "block", "side")
+    return whole.unionByName(cut).groupBy("class", "rep").agg(F.collect_list(F.struct("block", "side")).alias("blocks"))
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """(text, class, blocks) to (class, blocks, shingles); of the texts of a repeated id, the one of the class."""
     for batch in batches:
         sets = [shingle_set(text, n) for text in texts_as_bytes(batch.column(0))]
-        # of the texts of a repeated id, the one of the class
-        own = [len(s) > 0 and _class_of(s)[0] == c for s, c in zip(sets, batch.column(2).to_pylist())]
+        own = [len(s) > 0 and _class_of(s)[0] == c for s, c in zip(sets, batch.column(1).to_pylist())]
         batch, sets = batch.filter(pa.array(own, pa.bool_())), [s.view(_SIGNED) for s, right in zip(sets, own) if right]
         ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         values = pa.array(np.concatenate(sets) if sets else np.zeros(0, _SIGNED))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in (1, 2, 3)), pa.ListArray.from_arrays(pa.array(ends), values)],
-            names=["cluster", "class", "chunks", "shingles"])
+            [batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(ends), values)], names=["class", "blocks", "shingles"])
 
 
 def _linked(group: pa.Table, num: int, den: int) -> pa.Table:
-    """Links of one pair of chunks of a cluster."""
-    own = group.column("class").to_numpy()
-    own, at = np.unique(own, return_index=True)
+    """Links of one block."""
+    own, at = np.unique(group.column("class").to_numpy(), return_index=True)
     group = group.take(pa.array(at)).combine_chunks()
     shingles = group.column("shingles").chunk(0)
     ends, values = shingles.offsets.to_numpy(), shingles.values.to_numpy().view(np.uint64)
-    sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
-    one, two, chunks = (int(group.column(c)[0].as_py()) for c in ("one", "two", "chunks"))
-    if one == two:
-        found = trie.join(sets, num, den)
-    else:
-        # each chunk's own links belong to the pair with the next chunk, round about
-        within = [x for x, y in ((one, two), (two, one)) if (x + 1) % chunks == y]
-        found = trie.join(sets, num, den, group.column("chunk").to_numpy(), within)
+    sides = group.column("side").to_numpy()
+    found = trie.join([values[a:b] for a, b in zip(ends[:-1], ends[1:])], num, den, sides if sides.max() >= 0 else None)
     a, b = (np.array([own[x[i]] for x in found], dtype=_SIGNED) for i in (0, 1))
     return pa.table({"a": a, "b": b})
 
@@ -252,9 +273,11 @@ def linked_components(
     signed = described.where(F.col("token").isNull()).select("doc", "size", "class", "check")
 
     counts = described.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("n"))
-    often = counts.orderBy(F.desc("n"), "token").limit(ORDERED).select("token").toArrow()
-    frequent = np.sort(often.column(0).to_numpy().astype(_SIGNED).view(np.uint64))
-    shared = spark.sparkContext.broadcast(frequent)
+    often = counts.orderBy(F.desc("n"), "token").limit(ORDERED).toArrow()
+    tokens, seen = (often.column(i).to_numpy().astype(_SIGNED) for i in (0, 1))
+    order = np.argsort(tokens.view(np.uint64))
+    rank = np.argsort(np.argsort(seen[order], kind="stable"))
+    shared = spark.sparkContext.broadcast((tokens.view(np.uint64)[order], rank))
 
     rows = given.select("text").mapInArrow(lambda x: _prefixes(x, n, shared.value, num, den), PREFIXES)
     # a frequent token's classes need not meet
@@ -266,23 +289,11 @@ def linked_components(
 
     classes = cut_lineage(signed.where("size > 0").groupBy("size", "class", "check").agg(F.min("doc").alias("rep")))
     members = cut_lineage(clusters.join(classes, F.col("vertex") == F.col("class")).select("component", "class", "rep", "size"))
-    sizes = members.groupBy("component").agg(F.sum("size").alias("tokens"), F.count("*").alias("n")).where("n > 1")
-    members = members.join(sizes, "component").select(
-        F.col("component").alias("cluster"), "class", "rep",
-        F.ceil(F.col("tokens") / CHUNK).cast("long").alias("chunks"),
-    )
-    wanted = small_side(members.select("cluster", "class", "rep", "chunks"))
-    found = given.join(wanted, F.col("doc") == F.col("rep")).select("text", "cluster", "class", "chunks")
-    sets = found.mapInArrow(lambda x: _sets(x, n), "cluster long, class long, chunks long, shingles array<long>")
-    chunk = F.pmod(F.col("class"), F.col("chunks"))
-    pairs = F.when(F.col("chunks") == 1, F.array(F.struct(F.lit(0).cast("long").alias("one"), F.lit(0).cast("long").alias("two")))).otherwise(
-        F.transform(
-            F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: k != F.col("chunk")),
-            lambda k: F.struct(F.least(k, F.col("chunk")).alias("one"), F.greatest(k, F.col("chunk")).alias("two")),
-        ))
-    dealt = sets.withColumn("chunk", chunk).withColumn("pair", F.explode(pairs)).select(
-        "cluster", "pair.one", "pair.two", "chunk", "chunks", "class", "shingles")
-    links = dealt.groupBy("cluster", "one", "two").applyInArrow(lambda x: _linked(x, num, den), "a long, b long")
+    blocks = small_side(_blocks(members, num, den))
+    found = given.join(blocks, F.col("doc") == F.col("rep")).select("text", "class", "blocks")
+    sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, blocks {BLOCKS}, shingles array<long>")
+    dealt = sets.withColumn("to", F.explode("blocks")).select("to.block", "to.side", "class", "shingles")
+    links = dealt.groupBy("block").applyInArrow(lambda x: _linked(x, num, den), "a long, b long")
 
     connected = components(links)
     named = classes.join(connected, F.col("class") == F.col("vertex"), "left").withColumn("group", F.coalesce("component", "class"))
@@ -311,8 +322,6 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         return out
     here, nth = fresh(docs, "_again", "_nth")
     twice = small_side(again.select(F.col("doc_id").alias(here)))
-    from pyspark.sql import Window
-
     some = out.join(twice, out[doc_id] == F.col(here), "left_semi")
     rest = out.join(twice, out[doc_id] == F.col(here), "left_anti")
     order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)

@@ -124,10 +124,10 @@ class Trie:
         return out if wanted is None else out[wanted[out]]
 
 
-def join(sets: list[np.ndarray], num: int, den: int, sides: np.ndarray | None = None, within=()) -> list[tuple[int, int]]:
+def join(sets: list[np.ndarray], num: int, den: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Enough links (i, j) between the sets to connect all that are linked, at most one fewer than sets.
 
-    With `sides`, only links between sets of different sides count, and those of a side in `within`.
+    With `sides`, only links between sets of different sides count.
     """
     if len(sets) < 2:
         return []
@@ -138,7 +138,7 @@ def join(sets: list[np.ndarray], num: int, den: int, sides: np.ndarray | None =
     for i in range(len(sets) - 1):
         if (label == label[i]).all():
             break
-        wanted = None if side is None or side[i] in within else side != side[i]
+        wanted = None if side is None else side != side[i]
         for j in trie.links(i, label, wanted, num, den):
             if label[j] != label[i]:
                 out.append((trie.place[i], trie.place[int(j)]))
