@@ -51,6 +51,8 @@ PAIRED = 128
 CHUNK = 500_000
 #: Tokens are counted in blocks of about so many words; those found LEAST times in one are frequent.
 BLOCK_WORDS, LEAST = 2_000_000, 3
+#: Tokens that leave a task at a time.
+SENT = 250_000
 #: Frequent tokens that have a place in the order, 16 bytes each; the rest are ordered by hash.
 ORDERED = 1_000_000
 
@@ -126,9 +128,15 @@ PREFIXES = "token long, size long, class long, frequent boolean"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], n: int, frequent: tuple[np.ndarray, np.ndarray], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    sent = set()
+    sent, rows, held = set(), [], 0
+
+    def packed() -> pa.RecordBatch:
+        token, size, own, late = (np.concatenate(x) for x in zip(*rows))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token.view(_SIGNED)), pa.array(size.astype(_SIGNED)), pa.array(own.astype(_SIGNED)), pa.array(late)],
+            names=["token", "size", "class", "frequent"])
+
     for batch in batches:
-        rows = []
         for text in texts_as_bytes(batch.column(0)):
             shingles = shingle_set(text, n)
             if not len(shingles):
@@ -139,11 +147,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, frequent: tuple[np.ndar
             sent.add(own)
             tokens, late = prefix(shingles, frequent, num, den)
             rows.append((tokens, np.full(len(tokens), len(shingles)), np.full(len(tokens), own), late))
-        if rows:
-            token, size, own, late = (np.concatenate(x) for x in zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(_SIGNED)), pa.array(size.astype(_SIGNED)), pa.array(own.astype(_SIGNED)), pa.array(late)],
-                names=["token", "size", "class", "frequent"])
+            held += len(tokens)
+            if held > SENT:
+                yield packed()
+                rows, held = [], 0
+    if rows:
+        yield packed()
 
 
 #: enough: how many such rows make an edge.
