@@ -2,8 +2,9 @@
 
 A text is folded to lower case, loses copyright lines, gets one spelling for words that have
 several and keeps only letters and digits, with one space between words. Its md5 digest is joined
-with the digests of known licence texts, which go through the same expression. A document is looked
-up whole and line by line, so that a notice within a text is found too.
+with the digests of known licence texts, which go through the same expression (`license_texts` has whole texts
+and notices). A document is looked up whole and line by line, so that a notice within a text is found too,
+if it is on one line.
 
 Null, empty and blank texts match nothing. Rows that repeat are reported each; an empty table
 gives an empty result.
@@ -16,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoreline.llm import license_texts
 from shoreline.llm.text import fold_ascii
 
 #: What one spelling stands for.
@@ -26,11 +28,18 @@ SPELLINGS = (
     ("favour", "favor"),
     ("https", "http"),
 )
-COPYRIGHT_LINES = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+#: The first part keeps lines of running text that happen to begin with the word.
+COPYRIGHT_LINES = (
+    r"((?:^|\n)[ \t]*(?:copyright(?:[-.;)]|,[ \t]+(?:patent|and|or)\b|ed\b|able\b|s\b|[ \t]+(?:the[ \t]+(?:software|library|program)|and|are|disclaimer|doctrine|holder|if"
+    r"|in|interest|is|law|license|licence|notice|of|on|or|owner|ownership|permission|remains|resulting|statement|terms|to|treaty)s?\b)"
+    r"|\(c\)[ \t]+(?:you[ \t]+must|the[ \t]+licenses[ \t]+granted|under[ \t]+patent|representations)\b)[^\n]*)"
+    r"|(?:^|\n)[ \t]*(?:copyright|\(c\)|©)[^\n]*"
+)
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Licence texts and notices by SPDX name.
 KNOWN = (
+    *license_texts.known(),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),

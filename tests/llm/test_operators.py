@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 from llm_rows import ODD, bag
-from shoreline.llm import decontamination, language, licences, mixing, passages, quality, sharding, token_counts, urls
+from shoreline.llm import decontamination, language, licences, license_texts, mixing, passages, quality, sharding, token_counts, urls
 
 ITEMS = "item_id long, text string"
 
@@ -213,6 +215,35 @@ def test_licences(documents):
     assert licences.licences(documents([])).count() == 0
 
 
+def test_whole_licences_in_any_wrap(documents):
+    folder = license_texts.FOLDER
+    want = {p.name: p.name.removesuffix(".txt").removesuffix(".regents") for p in folder.glob("*.txt")}
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0"} <= set(want.values())
+    rows, expected = [], []
+    for name, license in sorted(want.items()):
+        text = (folder / name).read_text()
+        # copyright lines of the text itself stay as they are; all else is wrapped anew
+        for width in (40, 61, 78):
+            parts = [p if re.search(r"(?i)copyright[ (]+c\)|copyright \[|\(c\) *[_1y]", p) else textwrap.fill(p, width, break_long_words=False) for p in re.split(r"\n\s*\n", text)]
+            rows.append((len(rows), "Copyright 2024 Someone\n\n" + "\n\n".join(parts)))
+            expected.append(license)
+    got = {r.doc_id: r.license for r in licences.licences(documents(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == expected
+
+
+def test_licence_titles_headers_and_cuts(documents):
+    mit, gpl, apache = ((license_texts.FOLDER / f"{x}.txt").read_text() for x in ("MIT", "GPL-2.0-only", "Apache-2.0"))
+    header = license_texts.APACHE
+    rows = [
+        (1, "The MIT License (MIT)\n\nCopyright Someone Inc.\n\n" + mit), (2, gpl[:gpl.index("How to Apply")]),
+        (3, gpl.replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA")),
+        (4, apache[:apache.index("END OF TERMS")]), (5, "/*\n * Copyright 2020 A\n */"), (6, textwrap.fill(header, 50)),
+        (7, "x\n// SPDX-License-Identifier: GPL-2.0-or-later\ny"), (8, "a\nAll rights reserved.\nb"), (9, mit + "\nand more")]
+    got = {r.doc_id: (r.license, r.line_licenses) for r in licences.licences(documents(rows)).collect()}
+    assert [got[i][0] for i in (1, 2, 3, 4, 6, 9)] == ["MIT", "GPL-2.0-only", "GPL-2.0-only", "Apache-2.0", "Apache-2.0", None]
+    assert (got[5], got[7], got[8]) == ((None, ""), (None, "GPL-2.0-or-later"), (None, "LicenseRef-All-Rights-Reserved"))
+
+
 # token counts
 
 def test_lengths_by_limit_across_blocks(spark, monkeypatch):
