@@ -16,14 +16,15 @@ The answer is exact but for 64-bit hashes of shingles.
    one cluster.
 5. Prefix tree. The sets of a cluster are stored in a trie and joined by traversal. A cluster above
    CHUNK tokens is cut by size, so that linked sets are in one class of sizes or in neighbouring ones, and a class
-   above CHUNK tokens is dealt into chunks; each pair of chunks that may hold links is joined by itself. A
-   traversal leaves out what is connected already, so a task returns at most one link a set.
-6. The links' components give each document the least id it is connected with.
+   above CHUNK tokens is dealt into chunks; each pair of chunks that may hold links is joined by itself.
+6. `linked_components` gives each document the least id it is connected with. For that a traversal leaves
+   out what is connected already, so a task returns at most one link a set. `links` returns every link
+   between different sets, in parts, and `link_counts` adds them up within the blocks, so that
+   only a row for each set and block leaves a task.
 
 Null, empty and blank texts have no shingles and are linked with nothing. A text with fewer words
 than n is one shingle. Equal texts are linked. Rows that repeat an id are judged each by its own
-text. A class of which all ids are null is not compared and has a null component. An empty table gives an
-empty result.
+text. Null ids are the last; a component that only has null ids is null. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -89,8 +90,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int, schema: pa.Schema) -> I
     def reported(sets):
         tokens, count = _frequent(sets)
         nulls = pa.nulls(len(tokens))
-        columns = [nulls.cast(schema.field(0).type), nulls.cast(pa.int64()), nulls.cast(pa.int64()), nulls.cast(pa.int64()),
-                   pa.array(tokens), pa.array(count)]
+        columns = [nulls.cast(schema.field(0).type), *[nulls.cast(pa.int64())] * 4, pa.array(tokens), pa.array(count)]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     for batch in batches:
@@ -106,7 +106,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int, schema: pa.Schema) -> I
                 held, words = [], 0
         none = pa.nulls(batch.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(schema.field(0).type), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(check, pa.int64()), none, none],
+            [batch.column(0).cast(schema.field(0).type), batch.column(2), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(check, pa.int64()), none, none],
             schema=schema)
     if held:
         yield reported(held)
@@ -221,13 +221,13 @@ BLOCKS = "array<struct<block: long, side: int>>"
 
 
 def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(component, class, rep, size) to class, rep and the blocks in which the set is joined."""
+    """(component, class, at, copies, size) to class, at, copies and the blocks in which the set is joined."""
     # a little wide, so that rounding can't part neighbours
     step = F.floor(F.log(F.col("size").cast("double")) / (math.log(den / num) + 1e-9))
     totals = members.groupBy("component").agg(F.sum("size").alias("all"), F.count("*").alias("sets"))
     members = members.join(totals.where("sets > 1"), "component")
     whole = members.where(f"all <= {CHUNK}")
-    whole = whole.select("class", "rep", F.col("component").alias("block"), F.lit(-1).alias("side"))
+    whole = whole.select("class", "at", "copies", F.col("component").alias("block"), F.lit(-1).alias("side"))
 
     large = members.where(f"all > {CHUNK}").withColumn("step", step)
     steps = large.groupBy("component", "step").agg(F.ceil(F.sum("size") / CHUNK).cast("long").alias("chunks"))
@@ -240,46 +240,90 @@ def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
     both = F.array(*[F.struct(F.col(c).alias("at"), F.lit(i).alias("side")) for i, c in enumerate(("one", "two"))])
     pairs = pairs.select("component", "block", F.explode(F.when(F.col("one") == F.col("two"), alone).otherwise(both)).alias("x"))
     pairs = pairs.select("component", "block", "x.at.step", "x.at.chunk", "x.side")
-    cut = large.join(pairs, ["component", "step", "chunk"]).select("class", "rep", "block", "side")
-    return whole.unionByName(cut).groupBy("class", "rep").agg(F.collect_list(F.struct("block", "side")).alias("blocks"))
+    cut = large.join(pairs, ["component", "step", "chunk"]).select("class", "at", "copies", "block", "side")
+    return whole.unionByName(cut).groupBy("class", "at", "copies").agg(F.collect_list(F.struct("block", "side")).alias("blocks"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(text, class, blocks) to (class, blocks, shingles); of the texts of a repeated id, the one of the class."""
+    """(text, class, copies, blocks) to (class, copies, blocks, shingles), a class once."""
+    sent = set()
     for batch in batches:
-        sets = [shingle_set(text, n) for text in texts_as_bytes(batch.column(0))]
-        own = [len(s) > 0 and _class_of(s)[0] == c for s, c in zip(sets, batch.column(1).to_pylist())]
-        batch, sets = batch.filter(pa.array(own, pa.bool_())), [s.view(_SIGNED) for s, right in zip(sets, own) if right]
+        sets, own = [], []
+        for text, c in zip(texts_as_bytes(batch.column(0)), batch.column(1).to_pylist()):
+            shingles = shingle_set(None if c in sent else text, n)
+            own.append(len(shingles) > 0 and _class_of(shingles)[0] == c)
+            if own[-1]:
+                sent.add(c)
+                sets.append(shingles.view(_SIGNED))
+        batch = batch.filter(pa.array(own, pa.bool_()))
         ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         values = pa.array(np.concatenate(sets) if sets else np.zeros(0, _SIGNED))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(ends), values)], names=["class", "blocks", "shingles"])
+            [*batch.columns[1:], pa.ListArray.from_arrays(pa.array(ends), values)], names=["class", "copies", "blocks", "shingles"])
 
 
-def _linked(group: pa.Table, num: int, den: int) -> pa.Table:
-    """Links of one block."""
+def _of_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
+    """The classes of a block, how many rows each one has, their sets, and the sides if there are two."""
     own, at = np.unique(group.column("class").to_numpy(), return_index=True)
     group = group.take(pa.array(at)).combine_chunks()
     shingles = group.column("shingles").chunk(0)
     ends, values = shingles.offsets.to_numpy(), shingles.values.to_numpy().view(np.uint64)
     sides = group.column("side").to_numpy()
-    found = trie.join([values[a:b] for a, b in zip(ends[:-1], ends[1:])], num, den, sides if sides.max() >= 0 else None)
+    sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    return own, group.column("copies").to_numpy(), sets, sides if sides.max() >= 0 else None
+
+
+def _linked(group: pa.Table, num: int, den: int) -> pa.Table:
+    """Links of one block that connect all that are linked."""
+    own, _, sets, sides = _of_block(group)
+    found = trie.join(sets, num, den, sides)
     a, b = (np.array([own[x[i]] for x in found], dtype=_SIGNED) for i in (0, 1))
     return pa.table({"a": a, "b": b})
 
 
-def linked_components(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 3, num: int = 90, den: int = 100
-) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id connected with it) for each document."""
+def _every_link(group: pa.Table, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """All links of one block, in parts."""
+    own, _, sets, sides = _of_block(group)
+    rows, held = [], 0
+
+    def packed() -> pa.RecordBatch:
+        a, b = (np.concatenate(x).astype(_SIGNED) for x in zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for i, others in trie.every(sets, num, den, sides):
+        rows.append((np.full(len(others), own[i]), own[others]))
+        held += len(others)
+        if held > SENT:
+            yield packed()
+            rows, held = [], 0
+    if rows:
+        yield packed()
+
+
+def _link_sums(group: pa.Table, num: int, den: int) -> pa.Table:
+    """For each class with links in one block, how many rows it is linked with there."""
+    own, copies, sets, sides = _of_block(group)
+    total = np.zeros(len(own), dtype=_SIGNED)
+    for i, others in trie.every(sets, num, den, sides):
+        total[i] += copies[others].sum()
+        total[others] += copies[i]
+    some = total > 0
+    return pa.table({"class": own[some], "n": total[some]})
+
+
+CLASS = ["size", "class", "check"]
+
+
+def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents (doc, key of the text, class), their classes (first, copies), and the sets dealt to blocks."""
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType
-    given = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
-    longs = [StructField(c, LongType()) for c in ("size", "class", "check", "token", "count")]
+    given = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
+    longs = [StructField(c, LongType()) for c in ("key", *CLASS, "token", "count")]
     schema = StructType([StructField("doc", kind), *longs])
     arrow = pa.schema([("doc", _arrow_type(kind)), *[(c.name, pa.int64()) for c in longs]])
-    described = cut_lineage(given.mapInArrow(lambda x: _describe(x, n, arrow), schema))
-    signed = described.where(F.col("token").isNull()).select("doc", "size", "class", "check")
+    described = cut_lineage(given.select("doc", "text", "key").mapInArrow(lambda x: _describe(x, n, arrow), schema))
+    signed = described.where(F.col("token").isNull()).select("doc", "key", *CLASS)
 
     counts = described.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("n"))
     often = counts.orderBy(F.desc("n"), "token").limit(ORDERED).toArrow()
@@ -296,21 +340,66 @@ def linked_components(
     edges = edges.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("enough").alias("enough")).where("n >= enough")
     clusters = components(edges)
 
-    classes = cut_lineage(signed.where("size > 0").groupBy("size", "class", "check").agg(F.min("doc").alias("rep")))
-    members = cut_lineage(clusters.join(classes, F.col("vertex") == F.col("class")).select("component", "class", "rep", "size"))
+    first = F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "key")).alias("first")
+    classes = cut_lineage(signed.where("size > 0").groupBy(*CLASS).agg(first, F.count("*").alias("copies")))
+    named = classes.withColumn("at", F.xxhash64("first.doc", "first.key"))
+    members = cut_lineage(clusters.join(named, F.col("vertex") == F.col("class")).select("component", "class", "at", "copies", "size"))
     blocks = small_side(_blocks(members, num, den))
-    found = given.join(blocks, F.col("doc") == F.col("rep")).select("text", "class", "blocks")
-    sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, blocks {BLOCKS}, shingles array<long>")
-    dealt = sets.withColumn("to", F.explode("blocks")).select("to.block", "to.side", "class", "shingles")
-    links = dealt.groupBy("block").applyInArrow(lambda x: _linked(x, num, den), "a long, b long")
+    found = given.withColumn("at", F.xxhash64("doc", "key")).join(blocks, "at").select("text", "class", "copies", "blocks")
+    sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, copies long, blocks {BLOCKS}, shingles array<long>")
+    return signed, classes, sets.withColumn("to", F.explode("blocks")).select("to.block", "to.side", "class", "copies", "shingles")
 
+
+def _components(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int) -> DataFrame:
+    """doc, key, size, and the first (unnamed, doc, key) of its component, null without shingles."""
+    signed, classes, dealt = _dealt(docs, doc_id, text, n, num, den)
+    links = dealt.groupBy("block").applyInArrow(lambda x: _linked(x, num, den), "a long, b long")
     connected = components(links)
     named = classes.join(connected, F.col("class") == F.col("vertex"), "left").withColumn("group", F.coalesce("component", "class"))
-    named = cut_lineage(named.select("size", "class", "check", "group", "rep"))
-    least = named.groupBy("group").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "group").select("size", "class", "check", "component_id")
-    return signed.join(named, ["size", "class", "check"], "left").select(
-        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+    named = cut_lineage(named.select(*CLASS, "group", "first"))
+    least = named.groupBy("group").agg(F.min("first").alias("least"))
+    return signed.join(named.join(least, "group").select(*CLASS, "least"), CLASS, "left").select("doc", "key", "size", "least")
+
+
+def linked_components(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 3, num: int = 90, den: int = 100
+) -> DataFrame:
+    """doc_id, n_shingles, component_id (the least doc_id connected with it) for each document."""
+    found = _components(docs, doc_id, text, n, num, den)
+    return found.select(
+        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("least.doc", "doc").alias("component_id"))
+
+
+def links(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 3, num: int = 90, den: int = 100
+) -> DataFrame:
+    """Every link between different shingle sets, once: a and b, the least ids with these sets, and a_key and
+    b_key, the xxhash64 of the text that has it. Their number can be the square of a group's; equal sets are one."""
+    _, classes, dealt = _dealt(docs, doc_id, text, n, num, den)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _every_link(pa.Table.from_batches(list(batches)), num, den)
+
+    out = dealt.groupBy("block").applyInArrow(found, "a long, b long")
+    for c in ("a", "b"):
+        side = classes.select(F.col("class").alias(c), F.col("first").alias(f"{c}_first"))
+        out = out.join(side, c).drop(c)
+    low, high = (f("a_first", "b_first") for f in (F.least, F.greatest))
+    out = out.select(low.alias("low"), high.alias("high"))
+    return out.select(
+        F.col("low.doc").alias("a"), F.col("low.key").alias("a_key"), F.col("high.doc").alias("b"), F.col("high.key").alias("b_key"))
+
+
+def link_counts(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 3, num: int = 90, den: int = 100
+) -> DataFrame:
+    """doc_id, n_shingles, n_links (how many other documents it is linked with) for each document."""
+    signed, classes, dealt = _dealt(docs, doc_id, text, n, num, den)
+    sums = dealt.groupBy("block").applyInArrow(lambda x: _link_sums(x, num, den), "class long, n long")
+    sums = sums.groupBy("class").agg(F.sum("n").alias("n"))
+    linked = classes.join(sums, "class", "left").select(*CLASS, (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    return signed.join(linked, CLASS, "left").select(
+        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def _arrow_type(kind) -> pa.DataType:

@@ -41,6 +41,11 @@ SELECT c.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(c.doc_id, coalesce(
 FROM cut c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN least_ l ON l.a = c.doc_id
 """
 
+NGRAM_LINKS = NGRAM_JOIN[:NGRAM_JOIN.index("reach AS")] + """counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT c.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.n, 0)::BIGINT AS n_links
+FROM cut c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN counts l ON l.a = c.doc_id
+"""
+
 _SPELLED = "regexp_replace({}, " + _text(licences.COPYRIGHT_LINES) + r", '\1', 'g')"
 
 

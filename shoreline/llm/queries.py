@@ -61,6 +61,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(table(spark, folder, "documents"), n=3, num=90, den=100)
 
 
+@query
+def op1_ngram_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_counts(table(spark, folder, "documents"), n=3, num=90, den=100)
+
+
 @query
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.licences(table(spark, folder, "documents"))
@@ -90,6 +95,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES.update({
     "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op1_ngram_jaccard_links": oracles.NGRAM_LINKS,
     "op2_license_scan": oracles.LICENSES,
     "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_quality_rules": oracles.QUALITY,

@@ -9,6 +9,8 @@ can't reach the threshold. Rare tokens come first: sets that differ do so early.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 STEP = 32
@@ -81,8 +83,8 @@ class Trie:
         at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.child_start[nodes], count)
         return self.children[at], of
 
-    def links(self, i: int, label: np.ndarray, wanted: np.ndarray | None, num: int, den: int) -> np.ndarray:
-        """Sets after the i-th, not yet under its label, whose overlap is num/den of the union or more."""
+    def links(self, i: int, label: np.ndarray | None, wanted: np.ndarray | None, num: int, den: int) -> np.ndarray:
+        """Sets after the i-th, not yet under its label (if there are labels), whose overlap is num/den of the union or more."""
         probe = self.sets[i]
         n = len(probe)
         fewest, most = -(-num * n // den), den * n // num
@@ -93,7 +95,8 @@ class Trie:
         while len(nodes):
             single = self.low[nodes] == self.high[nodes]
             keep = (self.high[nodes] > i) & (self.longest[nodes] >= fewest) & (self.shortest[nodes] <= most)
-            keep &= ~(single & (label[self.low[nodes]] == label[i]))
+            if label is not None:
+                keep &= ~(single & (label[self.low[nodes]] == label[i]))
             if wanted is not None:
                 keep &= ~(single & ~wanted[self.low[nodes]])
             nodes, overlap, done = nodes[keep], overlap[keep], done[keep]
@@ -124,6 +127,19 @@ class Trie:
         return out if wanted is None else out[wanted[out]]
 
 
+def every(sets: list[np.ndarray], num: int, den: int, sides: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """All links between the sets, each once: a set, and those that it is linked with. `sides` as in `join`."""
+    if len(sets) < 2:
+        return
+    trie = Trie(sets)
+    place = np.array(trie.place)
+    side = None if sides is None else np.asarray(sides)[place]
+    for i in range(len(sets) - 1):
+        found = trie.links(i, None, None if side is None else side != side[i], num, den)
+        if len(found):
+            yield int(place[i]), place[found]
+
+
 def join(sets: list[np.ndarray], num: int, den: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Enough links (i, j) between the sets to connect all that are linked, at most one fewer than sets.
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from brute import components as brute
+from brute import shingles
 from llm_rows import ODD, bag
 from shoreline.llm import graph, jaccard, trie, words
 
@@ -41,6 +42,30 @@ def test_split_clusters_and_vertices_change_nothing(documents, monkeypatch):
     assert bag(got) == bag(brute(rows, 3, 90, 100))
 
 
+def linked_pairs(rows, n, num, den):
+    sets = [shingles(t, n) for _, t in rows]
+    return [(i, j) for i, s in enumerate(sets) for j in range(len(sets)) if i != j and s and sets[j] and den * len(s & sets[j]) >= num * len(s | sets[j])]
+
+
+@pytest.mark.parametrize("chunk", [500_000, 150])
+def test_every_link_is_found(documents, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    base = [f"w{i}" for i in range(60)]
+    # all of these link with each other
+    rows = near_copies(5) + [(900 + i, " ".join(base + [f"x{i}"])) for i in range(6)]
+    rows += [(None, " ".join(base + ["y"])), (None, " ".join(base + ["y"])), (900, " ".join(base + ["z"]))]
+    both = linked_pairs(rows, 3, 90, 100)
+    got = jaccard.link_counts(documents(rows)).collect()
+    assert bag(got) == bag([(d, len(shingles(t, 3)), sum(i == k for i, _ in both)) for k, (d, t) in enumerate(rows)])
+    sets = [shingles(t, 3) for _, t in rows]
+    least = {s: min((d is None, d or 0) for (d, _), x in zip(rows, sets) if x == s) for s in sets}
+    want = {frozenset((sets[i], sets[j])) for i, j in both if sets[i] != sets[j]}
+    ends = [sorted(least[s] for s in pair) for pair in want]
+    found = jaccard.links(documents(rows)).collect()
+    assert len(set(found)) == len(found)
+    assert sorted(sorted([(r.a is None, r.a or 0), (r.b is None, r.b or 0)]) for r in found) == sorted(ends)
+
+
 def test_odd_rows(documents):
     rows = [(i, t) for i, t, *_ in ODD]
     got = jaccard.linked_components(documents(ODD), n=3, num=90, den=100).collect()
