@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType, VariantType
 
 from shoreline.llm import trie
 from shoreline.llm.graph import components
@@ -409,18 +409,25 @@ def _arrow_type(kind) -> pa.DataType:
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The documents, with one of each group of linked ones: that with the least id. Of rows that repeat
-    an id and have words, one stays."""
-    found = cut_lineage(linked_components(docs, doc_id=doc_id, text=text, n=n, num=num, den=den))
-    gone = fresh(docs, "_gone")[0]
-    removed = found.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    out = docs.join(small_side(removed), docs[doc_id] == F.col(gone), "left_anti")
-    again = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    """The documents, with one row of each group of linked ones: that with the least id, null ids last. Rows
+    are told apart by id and text, so that an unlinked text stays if its id is repeated."""
+    found = _components(docs, doc_id, text, n, num, den).where("size > 0")
+    least = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "key")
+    found = cut_lineage(found.groupBy("doc", "key").agg(F.first(least == F.col("least")).alias("stays"), F.count("*").alias("rows")))
+    doc, key, nth = fresh(docs, "_doc", "_key", "_nth")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return small_side(rows.select(F.col("doc").alias(doc), F.col("key").alias(key)))
+
+    here = docs[doc_id].eqNullSafe(F.col(doc)) & (F.xxhash64(docs[text].cast("string")) == F.col(key))
+    out = docs.join(named(found.where("not stays")), here, "left_anti")
+    again = found.where("stays and rows > 1")
     if again.isEmpty():
         return out
-    here, nth = fresh(docs, "_again", "_nth")
-    twice = small_side(again.select(F.col("doc_id").alias(here)))
-    some = out.join(twice, out[doc_id] == F.col(here), "left_semi")
-    rest = out.join(twice, out[doc_id] == F.col(here), "left_anti")
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)
+    here = out[doc_id].eqNullSafe(F.col(doc)) & (F.xxhash64(out[text].cast("string")) == F.col(key))
+    twice = named(again)
+    rest, some = (out.join(twice, here, how) for how in ("left_anti", "left_semi"))
+    # only the first is asked for, so a task sends one row of each key at most
+    plain = [c.name for c in docs.schema if not isinstance(c.dataType, (ArrayType, MapType, StructType, VariantType))]
+    order = Window.partitionBy(doc_id, F.xxhash64(F.col(text).cast("string"))).orderBy(F.xxhash64(*plain))
     return rest.unionByName(some.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth))

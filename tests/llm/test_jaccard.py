@@ -93,6 +93,14 @@ def test_one_of_each_keeps_columns_and_one_row(documents):
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4, 4]
 
 
+def test_one_of_each_tells_texts_of_an_id_apart(documents):
+    x, y, p, q, z = ("a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z a b", "nothing else is like this one")
+    rows = [(2, x), (5, x), (5, y), (6, p), (6, q), (6, q), (5, ""), (6, None), (None, x), (None, z), (None, z)]
+    got = jaccard.one_of_each(documents(rows))
+    assert bag([(r.doc_id, r.text) for r in got.collect()]) == bag([(2, x), (5, y), (6, p), (6, q), (5, ""), (6, None), (None, z)])
+    assert jaccard.one_of_each(documents([(None, x), (None, x), (None, y)])).count() == 2
+
+
 def test_trie_join_equals_brute_force():
     rng = np.random.default_rng(1)
     for trial in range(60):
