@@ -1,7 +1,8 @@
 """Language identification by compression.
 
-For each language a bounded sample of labelled texts (SAMPLE of them, chosen by hash, whole
-texts up to DICTIONARY bytes together) is a raw-content zstandard dictionary. A text is
+For each language a bounded sample of labelled texts (SAMPLE of them, chosen by hash) is a raw-content
+zstandard dictionary of at most about DICTIONARY bytes. Short texts are in it whole; of a longer one only the first DICTIONARY
+characters are read, and its beginning is taken, an equal share of what the short ones leave. A text is
 folded to lower-case words of letters, cut into pieces of PIECE bytes and compressed with each dictionary;
 the language with the fewest bytes in total wins, the first in name order among equals. The score is the share
 by which the winner is smaller than the next one; a score below MARGIN is a rejection.
