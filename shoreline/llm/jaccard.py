@@ -54,6 +54,8 @@ CHUNK = 500_000
 BLOCK_WORDS, LEAST = 2_000_000, 3
 #: Tokens that leave a task at a time.
 SENT = 250_000
+#: Blocks of sets that are broadcast, some 32 bytes each.
+ENTRIES = 2_000_000
 #: Frequent tokens that have a place in the order, 16 bytes each; the rest are ordered by hash.
 ORDERED = 1_000_000
 
@@ -244,6 +246,13 @@ def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
     return whole.unionByName(cut).groupBy("class", "at", "copies").agg(F.collect_list(F.struct("block", "side")).alias("blocks"))
 
 
+def _narrow(blocks: DataFrame) -> DataFrame:
+    """Broadcast if the entries of the arrays allow; few rows can have many."""
+    blocks = cut_lineage(blocks)
+    entries = blocks.agg(F.sum(F.size("blocks"))).first()[0] or 0
+    return F.broadcast(blocks) if entries <= ENTRIES else blocks
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(text, class, copies, blocks) to (class, copies, blocks, shingles), a class once."""
     sent = set()
@@ -344,7 +353,7 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int)
     classes = cut_lineage(signed.where("size > 0").groupBy(*CLASS).agg(first, F.count("*").alias("copies")))
     named = classes.withColumn("at", F.xxhash64("first.doc", "first.key"))
     members = cut_lineage(clusters.join(named, F.col("vertex") == F.col("class")).select("component", "class", "at", "copies", "size"))
-    blocks = small_side(_blocks(members, num, den))
+    blocks = _narrow(_blocks(members, num, den))
     found = given.withColumn("at", F.xxhash64("doc", "key")).join(blocks, "at").select("text", "class", "copies", "blocks")
     sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, copies long, blocks {BLOCKS}, shingles array<long>")
     return signed, classes, sets.withColumn("to", F.explode("blocks")).select("to.block", "to.side", "class", "copies", "shingles")

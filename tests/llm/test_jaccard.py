@@ -66,6 +66,16 @@ def test_every_link_is_found(documents, monkeypatch, chunk):
     assert sorted(sorted([(r.a is None, r.a or 0), (r.b is None, r.b or 0)]) for r in found) == sorted(ends)
 
 
+def test_blocks_are_broadcast_by_their_entries(spark, documents, monkeypatch):
+    rows = spark.range(2).selectExpr("id as at", "array_repeat(named_struct('block', id, 'side', -1), 5) as blocks")
+    for most, hinted in ((10, True), (9, False)):
+        monkeypatch.setattr(jaccard, "ENTRIES", most)
+        assert ("broadcast" in jaccard._narrow(rows)._jdf.queryExecution().logical().toString()) == hinted
+    monkeypatch.setattr(jaccard, "ENTRIES", 0)
+    docs = near_copies(2, groups=3)
+    assert bag(jaccard.linked_components(documents(docs)).collect()) == bag(brute(docs, 3, 90, 100))
+
+
 def test_odd_rows(documents):
     rows = [(i, t) for i, t, *_ in ODD]
     got = jaccard.linked_components(documents(ODD), n=3, num=90, den=100).collect()
