@@ -1,4 +1,4 @@
-"""Compare published queries with their DuckDB twins, row for row."""
+"""Compare published queries with their DuckDB twins, row for row, and look at plans."""
 
 from __future__ import annotations
 
@@ -39,3 +39,7 @@ def difference(df, folder: str, sql: str) -> str | None:
     return (f"{sum(got.values())} vs {sum(want.values())} rows; "
             f"only spark: {list((got - want).items())[:3]}; "
             f"only oracle: {list((want - got).items())[:3]}")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

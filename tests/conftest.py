@@ -41,7 +41,3 @@ def frame(spark):
         return df.selectExpr(*[f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in zip(names, types)])
 
     return make
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

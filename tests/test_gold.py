@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import pytest
 
-from conftest import plan_of
+from compare import plan_of
 from shoreline import schemas
 from shoreline.operators.shape import align, empty
 from shoreline.plans import gold, gold_wide

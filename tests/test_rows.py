@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from compare import plan_of
 from shoreline.operators import rows
 
 SCHEMA = "id string, v int, _ingested_at timestamp, _kafka_offset bigint"

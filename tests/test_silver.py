@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import plan_of
+from compare import plan_of
 from shoreline import schemas
 from shoreline.operators.shape import align, empty
 from shoreline.plans import silver, silver_wide
