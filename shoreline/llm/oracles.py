@@ -166,3 +166,71 @@ rated AS (
 )
 SELECT doc_id, size, source_size, target, ((floor(rate) + (draw < rate - floor(rate))::INT) * size)::BIGINT AS taken, source FROM rated
 """
+
+FILL_IN_MIDDLE = r"""
+WITH given AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS digest
+    FROM documents),
+drawn AS (
+    SELECT *, [CAST('0x' || substr(digest, 1 + 8 * i, 8) AS BIGINT) FOR i IN [0, 1, 2, 3]] AS h FROM given),
+cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+           CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+                THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+parts AS (
+    SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+# the checksum goes byte by byte over each distinct word, with the table of the reflected polynomial
+IMPORTANCE = r"""
+WITH RECURSIVE rounds AS (
+    SELECT i, 0 AS r, i AS c FROM range(256) AS t(i)
+    UNION ALL
+    SELECT i, r + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM rounds WHERE r < 8),
+steps AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM rounds WHERE r = 8),
+doc_words AS MATERIALIZED (
+    SELECT rowid AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+target_words AS MATERIALIZED (
+    SELECT unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS word
+    FROM benchmark),
+doc_terms AS MATERIALIZED (
+    SELECT row, word, count(*) AS n FROM (SELECT row, unnest(w) AS word FROM doc_words) GROUP BY ALL),
+vocabulary AS MATERIALIZED (
+    SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM doc_terms UNION SELECT word FROM target_words)),
+hashed AS (
+    SELECT word, h, 0 AS pos, 4294967295 AS c FROM vocabulary
+    UNION ALL
+    SELECT word, h, pos + 1, xor(c >> 8, (SELECT t FROM steps)[
+        CAST(xor(c & 255, CAST('0x' || substr(h, 2 * pos + 1, 2) AS BIGINT)) AS INT) + 1])
+    FROM hashed WHERE 2 * pos < length(h)),
+buckets AS MATERIALIZED (
+    SELECT word, xor(c, 4294967295) % 10000 AS bucket FROM hashed WHERE 2 * pos = length(h)),
+s AS (SELECT bucket, sum(n) AS s FROM doc_terms JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target_words JOIN buckets USING (word) GROUP BY bucket),
+sums AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS all_s, coalesce((SELECT sum(t) FROM t), 0) AS all_t),
+gain AS MATERIALIZED (
+    SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE
+           / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (
+    SELECT row, sum(n * gain) AS weight FROM doc_terms JOIN buckets USING (word) JOIN gain USING (bucket) GROUP BY row),
+scores AS (
+    SELECT d.doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+           CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5)::DOUBLE
+               / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM doc_words d LEFT JOIN weights USING (row)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+           10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS drawn
+    FROM scores)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM placed"""

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from shoreline.llm import (
     decontamination,
+    importance,
+    infill,
     jaccard,
     language,
     licences,
     mixing,
     oracles,
     passages,
+    personal,
     quality,
     sharding,
     token_counts,
@@ -93,7 +96,31 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.by_limit(token_counts.histogram(table(spark, folder, "documents")))
 
 
+@query
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.digests(personal.spans(table(spark, folder, "documents").select("doc_id", "text")))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.scored(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    out = infill.infilled(table(spark, folder, "documents").select("doc_id", "text"))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 ORACLES.update({
+    "op12_importance_resampling": oracles.IMPORTANCE,
+    "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
     "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
     "op1_ngram_jaccard_links": oracles.NGRAM_LINKS,
     "op2_license_scan": oracles.LICENSES,
