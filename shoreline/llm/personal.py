@@ -141,11 +141,13 @@ def train(rows: DataFrame, name: str = "candidates") -> list[list[int]]:
     return log_odds({(r.kind, r.feature): (r.yes, r.no) for r in sums}, {k: tuple(v) for k, v in totals.items()})
 
 
-def spans(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """`docs` with spans: the base ones and those that the classifier adds, by kind, then start, as
-    structs of kind, start, end and base. The candidates are written once to the shared folder."""
+def spans(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`docs`, or the columns of it to keep, with spans: the base ones and those that the classifier adds, by kind, then start, as
+    structs of kind, start, end and base. Candidates and kept columns are written once to the shared folder; leave
+    out the text where only the spans are asked for."""
     at, of = fresh(docs, "candidates", "spans")
-    rows = cut_lineage(found(docs, text=text))
+    kept_columns = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
+    rows = cut_lineage(found(docs, text=text).select(*kept_columns, at))
     weights = F.from_json(F.lit(json.dumps(train(rows, at))), "array<array<bigint>>")
 
     def is_data(c: Column) -> Column:

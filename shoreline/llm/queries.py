@@ -98,7 +98,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
-    return personal.digests(personal.spans(table(spark, folder, "documents").select("doc_id", "text")))
+    return personal.digests(personal.spans(table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"]))
 
 
 @query
