@@ -2,10 +2,14 @@
 
     <lake>/raw/zone=bronze/source=<s>/dt=<d>/hour=<h>/batch=<b>/part-*
     <lake>/raw/zone=dead_letter/source=<s>/dt=<d>/hour=<h>/batch=<b>/part-*
-    <lake>/silver/domain=<domain>/dt=<d>/part-*
-    <lake>/gold/kpi=<kpi>/dt=<d>/part-*
+    <lake>/silver/domain=<domain>/...
+    <lake>/gold/kpi=<kpi>/...
 
 Tables in the wide form lie beside those in silver_wide and gold_wide.
+
+Each date of a table, and each batch that was landed again or rolled, is one version folder named by the last commit
+(`commits`); readers here follow it. Micro-batches of a stream and dates that were written in the plain layout
+(dt=<d>/part-*) count as long as no commit names them.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 
 from shoreline import schemas
 from shoreline.operators.shape import empty, storage_type
+from shoreline.sources import commits
+from shoreline.sources.commits import Folder
 
 RAW_PARTITIONS = ["zone", "source", "dt", "hour", "batch"]
 # Upper bound of rows per raw file; about 128 MB at a few hundred bytes per record.
@@ -41,6 +47,10 @@ class Lake:
     def raw(self) -> str:
         return f"{self.root}/raw"
 
+    def raw_log(self, source: str, date: str) -> str:
+        """Where the commits of a source's date lie; versions are folders of the raw layer."""
+        return f"{self.raw}/{commits.LOG}/source={source}/dt={date}"
+
     def raw_zone(self, zone: str, source: str) -> str:
         return f"{self.raw}/zone={zone}/source={source}"
 
@@ -57,7 +67,7 @@ class Lake:
         return f"{self.root}/gold{self.form}/kpi={name}"
 
 
-def _load_or_none(reader: DataFrameReader, fmt: str, path: str) -> DataFrame | None:
+def _load_or_none(reader: DataFrameReader, fmt: str, path: str | list[str]) -> DataFrame | None:
     """Load a path; ``None`` when it or any file in it is missing. Other failures are raised."""
     try:
         return reader.format(fmt).load(path)
@@ -71,6 +81,34 @@ def _load_or_none(reader: DataFrameReader, fmt: str, path: str) -> DataFrame | N
 # --- raw layer -------------------------------------------------------------------
 
 
+def raw_folders(spark: SparkSession, lake: Lake, zone: str, source: str, date: str) -> list[str] | None:
+    """Folders of one zone, source and date that count, relative to the raw layer; None where no commit says
+    so and the date's folder counts as it is."""
+    slots = commits.current(spark, lake.raw_log(source, date))
+    if slots is None:
+        return None
+    at = f"zone={zone}/source={source}/dt={date}"
+    plain = [p for p in Folder(spark, lake.raw).glob(f"{at}/hour=*/batch=*") if slot_of(p) not in slots]
+    return plain + [f for f in commits.folders_of(slots) if f"/{at}/" in f]
+
+
+def slot_of(folder: str) -> str:
+    """The slot of a batch folder: its hour and batch, in both zones."""
+    return "/".join(folder.split("/")[-2:])
+
+
+def _read_zone(
+    spark: SparkSession, lake: Lake, zone: str, source: str, date: str, reader: DataFrameReader
+) -> DataFrame | None:
+    folders = raw_folders(spark, lake, zone, source, date)
+    if folders is None:
+        at = lake.raw_zone(zone, source)
+        return _load_or_none(reader.option("basePath", at), "json", f"{at}/dt={date}")
+    if not folders:
+        return None
+    return _load_or_none(reader, "json", [f"{lake.raw}/{f}" for f in folders])
+
+
 def read_raw(
     spark: SparkSession,
     lake: Lake,
@@ -80,12 +118,11 @@ def read_raw(
 ) -> DataFrame | None:
     """Rows of one source and date with their declared types; ``None`` without data.
 
-    Only the files below that date are listed, and only the named fields are parsed.
+    Only the files of that date are listed, and only the named fields are parsed.
     """
     known = schemas.raw_columns(source)
     wanted = {name: known[name] for name in (columns or known)}
-    reader = spark.read.option("basePath", lake.bronze(source)).schema(schemas.ddl(wanted))
-    found = _load_or_none(reader, "json", f"{lake.bronze(source)}/dt={date}")
+    found = _read_zone(spark, lake, "bronze", source, date, spark.read.schema(schemas.ddl(wanted)))
     return None if found is None else found.select(*wanted)
 
 
@@ -105,9 +142,8 @@ def read_raw_inferred(
     spark: SparkSession, lake: Lake, source: str, date: str, sampling_ratio: float = 1.0
 ) -> DataFrame | None:
     """Same rows with the schema taken from the data (an extra pass over the files)."""
-    reader = spark.read.option("basePath", lake.bronze(source))
-    reader = reader.option("samplingRatio", sampling_ratio)
-    return _load_or_none(reader, "json", f"{lake.bronze(source)}/dt={date}")
+    reader = spark.read.option("samplingRatio", sampling_ratio)
+    return _read_zone(spark, lake, "bronze", source, date, reader)
 
 
 def read_product_orders(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
@@ -137,11 +173,25 @@ def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
 
 def replace_raw_batch(rows: DataFrame, lake: Lake, source: str, date: str, hour: str, batch: str) -> None:
     """Land lines (``value``, ``zone``) of one source and hour as one batch, in place of all rows
-    it had in either zone: a zone that gets no rows is emptied."""
-    for zone in ("bronze", "dead_letter"):
-        path = f"{lake.raw_zone(zone, source)}/dt={date}/hour={hour}/batch={batch}"
-        lines = rows.where(F.col("zone") == zone).select("value")
-        lines.write.mode("overwrite").option("maxRecordsPerFile", RAW_ROWS_PER_FILE).text(path)
+    it had in either zone. One job writes both zones; one commit then puts them in place, so a failure
+    leaves the batch as it was."""
+    version = commits.new_version()
+    _write_lines(rows.withColumns({
+        "source": F.lit(source), "dt": F.lit(date), "hour": F.lit(hour), "batch": F.lit(batch),
+    }), f"{lake.raw}/{version}")
+    slot = f"hour={hour}/batch={batch}"
+    commits.commit(rows.sparkSession, lake.raw_log(source, date), {
+        slot: {"folders": written_batches(rows.sparkSession, lake, version)}})
+
+
+def _write_lines(rows: DataFrame, path: str) -> None:
+    lines = rows.select("value", *RAW_PARTITIONS).write.option("maxRecordsPerFile", RAW_ROWS_PER_FILE)
+    lines.partitionBy(*RAW_PARTITIONS).text(path)
+
+
+def written_batches(spark: SparkSession, lake: Lake, version: str) -> list[str]:
+    """The batch folders of one version, relative to the raw layer."""
+    return Folder(spark, lake.raw).glob(f"{version}/zone=*/source=*/dt=*/hour=*/batch=*")
 
 
 DEAD_LETTER: schemas.Columns = {
@@ -155,33 +205,61 @@ DEAD_LETTER: schemas.Columns = {
 }
 
 
+def raw_dates(spark: SparkSession, lake: Lake, source: str, zone: str = "bronze") -> list[str]:
+    """Dates of a source that have or had rows, from folder names."""
+    folder = Folder(spark, lake.raw)
+    found = folder.names(f"zone={zone}/source={source}") + folder.names(f"{commits.LOG}/source={source}")
+    return sorted({name.removeprefix("dt=") for name in found if name.startswith("dt=")})
+
+
 def read_dead_letter(spark: SparkSession, lake: Lake, source: str) -> DataFrame | None:
+    """All dead letters of a source; ``None`` for a source without any date."""
+    folders = []
+    for date in raw_dates(spark, lake, source, "dead_letter"):
+        found = raw_folders(spark, lake, "dead_letter", source, date)
+        folders += [f"zone=dead_letter/source={source}/dt={date}"] if found is None else found
+    if not folders:
+        known = Folder(spark, lake.raw).names(f"{commits.LOG}/source={source}")
+        return empty(spark, DEAD_LETTER) if known else None
     reader = spark.read.schema(schemas.ddl(DEAD_LETTER))
-    return _load_or_none(reader, "json", lake.dead_letter(source))
+    found = _load_or_none(reader, "json", [f"{lake.raw}/{f}" for f in folders])
+    return None if found is None else found.select(*DEAD_LETTER)
 
 
 # --- table layers -----------------------------------------------------------------
 
 
 def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> None:
-    """Replace the dates present in ``df``; all other dates stay as they are."""
+    """Replace the dates present in ``df``, all at once; all other dates stay as they are."""
+    version = commits.new_version()
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    df.write.option("compression", "snappy").partitionBy("dt").parquet(f"{path}/{version}")
+    table = Folder(df.sparkSession, path)
+    dates = [name for name in table.names(version) if name.startswith("dt=")]
+    for date in dates:
+        table.move(f"{version}/{date}", f"{date}/{version}")
+    commits.commit(df.sparkSession, path, {d: {"folders": [f"{d}/{version}"]} for d in dates})
+    table.delete(version)
+
 
+def write_date(
+    df: DataFrame, path: str, date: str, sort_by: list[str] | None = None, notes: dict | None = None
+) -> None:
+    """Replace one date by the rows of ``df``, which are all of that date; no rows empty it.
 
-def write_date(df: DataFrame, path: str, date: str, sort_by: list[str] | None = None) -> None:
-    """Replace one date by the rows of ``df``, which are all of that date; no rows empty it."""
+    The old rows count until the new ones are written whole. ``notes`` are kept with the date.
+    """
+    at = f"dt={date}/{commits.new_version()}"
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    writer = df.drop("dt").write.mode("overwrite").option("compression", "snappy")
-    writer.parquet(f"{path}/dt={date}")
+    df.drop("dt").write.option("compression", "snappy").parquet(f"{path}/{at}")
+    commits.commit(df.sparkSession, path, {f"dt={date}": {**(notes or {}), "folders": [at]}})
+
+
+def notes_of(spark: SparkSession, path: str, date: str) -> dict | None:
+    """What was noted when the date was written; None for a date that no commit names."""
+    return (commits.current(spark, path) or {}).get(f"dt={date}")
 
 
 def clear_date(spark: SparkSession, path: str, date: str) -> None:
@@ -212,8 +290,15 @@ def read_range(
     many dates the table has; absent dates are skipped. Files without one of the given columns
     are refused; one footer is read for that."""
     last = datetime.date.fromisoformat(last_date)
-    wanted = ",".join(str(last - datetime.timedelta(days=n)) for n in range(days))
-    dates = f"{path}/dt={{{wanted}}}"
+    wanted = [f"dt={last - datetime.timedelta(days=n)}" for n in range(days)]
+    slots = commits.current(spark, path)
+    dates: str | list[str] = f"{path}/{{{','.join(wanted)}}}"
+    if slots is not None:
+        named, plain = commits.folders_of(slots, wanted), set(wanted) - set(slots)
+        named += [d for d in Folder(spark, path).names() if d in plain]
+        if not named:
+            return None
+        dates = [f"{path}/{d}" for d in named]
     reader = spark.read.option("basePath", path)
     if columns:
         found = _load_or_none(reader, "parquet", dates)
@@ -235,10 +320,17 @@ def read_all(
     spark: SparkSession, path: str, columns: schemas.Columns | None = None
 ) -> DataFrame | None:
     """All dates of a table."""
-    reader = spark.read
+    slots = commits.current(spark, path)
+    dates: str | list[str] = path
+    if slots is not None:
+        plain = [d for d in Folder(spark, path).names() if d.startswith("dt=") and d not in slots]
+        dates = [f"{path}/{d}" for d in commits.folders_of(slots) + plain]
+        if not dates:
+            return None
+    reader = spark.read.option("basePath", path)
     if columns:
         reader = reader.schema(schemas.ddl(_stored(columns)))
-    return _load_or_none(reader, "parquet", path)
+    return _load_or_none(reader, "parquet", dates)
 
 
 def _stored(columns: schemas.Columns) -> schemas.Columns:

@@ -265,4 +265,4 @@ def test_previous_day_is_a_date():
 def test_snappy_is_used(spark, frame, tmp_path):
     path = tmp_path / "t"
     tables.write_table(dated(frame, [(1, 1, DAY)]).withColumn("s", F.lit("x")), str(path))
-    assert list(path.glob("dt=*/part-*.snappy.parquet"))
+    assert list(path.glob("dt=*/_versions/*/part-*.snappy.parquet"))
