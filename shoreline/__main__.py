@@ -16,13 +16,14 @@ from shoreline.session import build_session, size_session
 from shoreline.sources.drops import land_drop
 from shoreline.sources.lake import Lake, read_all
 from shoreline.streaming.ingest import start_raw_ingest
+from shoreline.streaming.rolling import RollPolicy, roll_all
 from shoreline.streaming.records import file_records, kafka_records
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="shoreline")
     parser.add_argument("job", choices=[
-        "ingest", "land", "silver", "gold", "day", "load", "validate", "verify"])
+        "ingest", "roll", "vacuum", "land", "late", "silver", "gold", "day", "load", "validate", "verify"])
     parser.add_argument("--lake", required=True, help="root folder of the lake")
     parser.add_argument("--date", default=os.environ.get("PROCESSING_DATE"))
     parser.add_argument("--domain", nargs="+", choices=list(schemas.DOMAINS), help="for silver")
@@ -35,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--files", help="folder of topic=<name> folders, for ingest")
     parser.add_argument("--checkpoint", help="checkpoint folder, for ingest")
     parser.add_argument("--available-now", action="store_true", help="ingest what is there, stop")
+    parser.add_argument("--roll", action="store_true", help="roll small files while ingesting")
+    parser.add_argument("--keep-days", type=float, default=7, help="age of what vacuum deletes")
     parser.add_argument("--source", choices=list(schemas.BATCH_SOURCES), help="for land")
     parser.add_argument("--drop", help="path of the drop, for land")
     parser.add_argument("--drop-id", help="name of the drop, else its path, for land")
@@ -58,8 +61,13 @@ def main(argv: list[str] | None = None) -> int:
         records = kafka_records(spark, given.kafka) if given.kafka else file_records(
             spark, given.files)
         running = start_raw_ingest(
-            records, lake, given.checkpoint, available_now=given.available_now)
+            records, lake, given.checkpoint, available_now=given.available_now,
+            policy=RollPolicy() if given.roll else None)
         running.awaitTermination()
+    elif given.job == "roll":
+        print(roll_all(spark, lake, quality.RAW_SOURCES, [given.date] if given.date else None))
+    elif given.job == "vacuum":
+        daily.vacuum(spark, lake, given.keep_days * 86400)
     elif given.job == "land":
         land_drop(spark, given.drop, given.source, lake, date, given.drop_id)
     elif given.job == "silver":

@@ -26,6 +26,8 @@ from shoreline.operators.shape import empty, storage_type
 from shoreline.sources import commits
 from shoreline.sources.commits import Folder
 
+#: Marks of the batches that are whole.
+LANDED = "_landed"
 RAW_PARTITIONS = ["zone", "source", "dt", "hour", "batch"]
 # Upper bound of rows per raw file; about 128 MB at a few hundred bytes per record.
 RAW_ROWS_PER_FILE = 400_000
@@ -92,6 +94,15 @@ def raw_folders(spark: SparkSession, lake: Lake, zone: str, source: str, date: s
     return plain + [f for f in commits.folders_of(slots) if f"/{at}/" in f]
 
 
+def raw_inputs(spark: SparkSession, lake: Lake, source: str, date: str) -> list[str]:
+    """What a source's date is made of: its batches as they were landed, whether they were rolled since or not.
+    A drop that was landed again counts as another one."""
+    slots = commits.current(spark, lake.raw_log(source, date)) or {}
+    plain = Folder(spark, lake.raw).glob(f"zone=*/source={source}/dt={date}/hour=*/batch=*")
+    loose = {slot_of(p) for p in plain} - set(slots)
+    return sorted(loose.union(*(slot.get("of", ()) for slot in slots.values())))
+
+
 def slot_of(folder: str) -> str:
     """The slot of a batch folder: its hour and batch, in both zones."""
     return "/".join(folder.split("/")[-2:])
@@ -158,7 +169,7 @@ def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
     """Land JSON lines (``value`` plus the partition columns) under a batch name.
 
     Landing the same batch again replaces exactly that batch, so a retried
-    micro-batch leaves no second copy.
+    micro-batch leaves no second copy. A mark says that it is whole; only then may it be rolled.
     """
     (
         rows.withColumn("batch", F.lit(batch))
@@ -169,6 +180,7 @@ def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
         .partitionBy(*RAW_PARTITIONS)
         .text(lake.raw)
     )
+    Folder(rows.sparkSession, f"{lake.raw}/{LANDED}").create(batch, "")
 
 
 def replace_raw_batch(rows: DataFrame, lake: Lake, source: str, date: str, hour: str, batch: str) -> None:
@@ -181,7 +193,7 @@ def replace_raw_batch(rows: DataFrame, lake: Lake, source: str, date: str, hour:
     }), f"{lake.raw}/{version}")
     slot = f"hour={hour}/batch={batch}"
     commits.commit(rows.sparkSession, lake.raw_log(source, date), {
-        slot: {"folders": written_batches(rows.sparkSession, lake, version)}})
+        slot: {"folders": written_batches(rows.sparkSession, lake, version), "of": [f"{slot}@{version}"]}})
 
 
 def _write_lines(rows: DataFrame, path: str) -> None:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from concurrent.futures import Future
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoreline.operators.envelope import STREAM_JOB, stream_rows
 from shoreline.sources.lake import Lake, write_raw
+from shoreline.streaming.rolling import RollPolicy, roll
 
 COMMIT_INTERVAL = "60 seconds"
 
@@ -21,6 +23,7 @@ def start_raw_ingest(
     routes: dict[str, str] | None = None,
     job: str = STREAM_JOB,
     available_now: bool = False,
+    policy: RollPolicy | None = None,
 ) -> StreamingQuery:
     """Route, wrap and land all topics with one query, bad lines in the dead-letter zone.
 
@@ -28,12 +31,24 @@ def start_raw_ingest(
     source and few hours. A micro-batch is written under its own batch name by
     replacing it, so the retry of a failed batch leaves one copy. The name holds the id that
     Spark keeps in the checkpoint: a restart finds its batches, another ingest never does.
-    The interval bounds the age of a file, the row limit of the writer its size.
+    The row limit of the writer bounds the size of a file. With a policy, small files are rolled: after each
+    micro-batch the sources and dates that it or an earlier one wrote to are looked at, until nothing of
+    them is left to roll. What a stopped query leaves is rolled by the ``roll`` job.
     """
     started: Future[str] = Future()
+    waiting: set[tuple[str, str]] = set()
 
     def land(rows: DataFrame, batch_id: int) -> None:
-        write_raw(rows, lake, f"{name}-{started.result()}-{batch_id:09d}")
+        batch = f"{name}-{started.result()}-{batch_id:09d}"
+        if policy is None:
+            write_raw(rows, lake, batch)
+            return
+        touched = Observation()
+        write_raw(rows.observe(touched, F.collect_set(F.struct("source", "dt")).alias("at")), lake, batch)
+        waiting.update(tuple(x) for x in touched.get["at"])
+        for source, date in sorted(waiting):
+            if roll(rows.sparkSession, lake, source, date, policy):
+                waiting.discard((source, date))
 
     writer = (
         stream_rows(records, routes, job)

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import difference
 from shoreline.catalog.oracles import ORACLES
-from shoreline.catalog.jobs import QUERIES
+from shoreline.catalog.history import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
