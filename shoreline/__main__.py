@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--files", help="folder of topic=<name> folders, for ingest")
     parser.add_argument("--checkpoint", help="checkpoint folder, for ingest")
     parser.add_argument("--available-now", action="store_true", help="ingest what is there, stop")
+    parser.add_argument("--history", action="store_true", help="retention by first days ever")
     parser.add_argument("--roll", action="store_true", help="roll small files while ingesting")
     parser.add_argument("--keep-days", type=float, default=7, help="age of what vacuum deletes")
     parser.add_argument("--source", choices=list(schemas.BATCH_SOURCES), help="for land")
@@ -52,9 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     lake = Lake(given.lake)
     date = given.date or daily.previous_day()
     if not given.input_bytes and given.job in ("silver", "gold", "day", "validate"):
-        size_session(
-            spark, *[f"{lake.bronze(s)}/dt={date}" for s in quality.BRONZE_CHECKED],
-            *[f"{lake.domain(d)}/dt={date}" for d in schemas.DOMAINS])
+        size_session(spark, *daily.read_by(spark, lake, date, given.wide, given.retention_days))
     properties = {"user": os.environ.get("SERVING_USER", ""),
                   "password": os.environ.get("SERVING_PASSWORD", "")}
     if given.job == "ingest":
@@ -65,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
             policy=RollPolicy() if given.roll else None)
         running.awaitTermination()
     elif given.job == "roll":
-        print(roll_all(spark, lake, quality.RAW_SOURCES, [given.date] if given.date else None))
+        print(roll_all(spark, lake, schemas.RAW_SOURCES, [given.date] if given.date else None))
     elif given.job == "vacuum":
         daily.vacuum(spark, lake, given.keep_days * 86400)
     elif given.job == "land":
@@ -76,12 +75,17 @@ def main(argv: list[str] | None = None) -> int:
         quality.ledger(spark, counts).show()
     elif given.job == "gold":
         counts = daily.build_gold(
-            spark, lake, date, given.wide, given.retention_days, given.kpi, given.allow_missing)
+            spark, lake, date, given.wide, given.retention_days, given.kpi, given.allow_missing, given.history)
         quality.ledger(spark, counts).show()
     elif given.job == "day":
         serving = (given.url, properties) if given.url else None
         daily.run_day(
-            spark, lake, date, given.wide, given.retention_days, serving, given.allow_missing).show()
+            spark, lake, date, given.wide, given.retention_days, serving, given.allow_missing, given.history).show()
+    elif given.job == "late":
+        for day, counts in daily.rebuild_late(
+                spark, lake, wide=given.wide, retention_days=given.retention_days, history=given.history).items():
+            print(day)
+            quality.ledger(spark, counts).show()
     elif given.job == "load":
         print(daily.load_serving(spark, lake, date, given.url, properties))
     elif given.job == "validate":

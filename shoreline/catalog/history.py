@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from shoreline import schemas
 from shoreline.catalog.frames import DAYS, SampleSources
 from shoreline.catalog.jobs import QUERIES, same_as
-from shoreline.catalog.oracles import BASE, DAY, ORACLES
-from shoreline.catalog.queries import LANDED, _event_stream, publish, query
+from shoreline.catalog.oracles import BASE, DAY, DOM, ORACLES
+from shoreline.catalog.queries import LANDED, _event_stream, _events, publish, query
+from shoreline.plans import daily
+from shoreline.plans.activity import Activity
 from shoreline.session import scratch_path
+from shoreline.sources import commits
 from shoreline.sources import lake as tables
 from shoreline.sources.lake import Lake
 from shoreline.streaming import ingest, rolling
@@ -108,3 +111,98 @@ def rolled_files(src: SampleSources) -> DataFrame:
 
 ORACLES["rolled_files"] = f"""
 SELECT source, dt, hour, 1 AS files FROM ({ORACLES["stream_ingest_available_now"]}) GROUP BY ALL"""
+
+# --- days built one by one -----------------------------------------------------------------------
+
+
+def _merged_days(src: SampleSources, block_days: int = 8) -> Activity:
+    """The domain events by day of the event, each day merged into the state by itself, odd days first; then the
+    first day once more."""
+    lake = Lake(f"{scratch_path(src.spark, 'activity')}/lake")
+    path = lake.domain("events")
+    tables.write_table(_events(src).withColumn("dt", F.to_date("timestamp")), path)
+    dates = sorted(slot.removeprefix("dt=") for slot in commits.current(src.spark, path))
+    state = Activity(src.spark, lake, block_days)
+    for date in [*dates[1::2], *dates[::2], dates[0]]:
+        state.merge_day(tables.read_partition(src.spark, path, date), date)
+    return state
+
+
+@query
+def first_seen_day_by_day(src: SampleSources) -> DataFrame:
+    """Each user's first day ever, from days that were merged one by one."""
+    return publish(_merged_days(src).first_seen())
+
+
+ORACLES["first_seen_day_by_day"] = f"""{DOM}
+SELECT user_id, strftime(min(CAST(timestamp AS DATE)), {DAY}) AS first_date
+FROM ev_silver WHERE user_id IS NOT NULL GROUP BY user_id"""
+
+
+@query
+def retention_day_by_day(src: SampleSources) -> DataFrame:
+    """The retention grid from bitmaps of active days."""
+    return publish(_merged_days(src).retention())
+
+
+same_as("retention_day_by_day", "retention_grid")
+
+# --- late deliveries -------------------------------------------------------------------------------
+
+
+def _late_lake(src: SampleSources) -> tuple[Lake, list[str]]:
+    """Event records of which a quarter comes late. The table of the second day is built in between; then the late ones
+    of that day land. Of other days nothing is late."""
+    root = scratch_path(src.spark, "late")
+    lake = Lake(f"{root}/lake")
+    records = _event_stream(src).topic_lines(DAYS)
+    second = str(src.events.agg(F.date_add(F.to_date(F.min("ts")), 1)).first()[0])
+    late = F.col("value").contains(f'"timestamp":"{second}"') & (F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
+    dates = [second]
+    for i, part in enumerate((~late, late)):
+        ingest.start_raw_ingest(
+            records.where(part), lake, f"{root}/checkpoint-{i}", name="ingest", available_now=True).awaitTermination()
+        if i == 0:
+            dates.append(sorted(d for d in tables.raw_dates(src.spark, lake, "user_events") if d > second)[0])
+            daily.build_silver(src.spark, lake, second, only=["events"])
+    return lake, dates
+
+
+@query
+def late_dates(src: SampleSources) -> DataFrame:
+    """Which dates of the events table are late in the run of the day after."""
+    lake, (_, after) = _late_lake(src)
+    daily.build_silver(src.spark, lake, after, only=["events"])
+    return daily.change_ledger(src.spark, lake, ["events"]).select("dt", "status", "batches_built", "batches_now")
+
+
+ORACLES["late_dates"] = f"""{BASE},
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM ev WHERE event_type = 'click'),
+marked AS (SELECT d, CAST((SELECT min(ts) FROM ev) AS DATE) + 1 AS second FROM days),
+named AS (SELECT *, min(d) FILTER (d > second) OVER () AS after FROM marked)
+SELECT strftime(d, {DAY}) AS dt, CASE d WHEN second THEN 'late' WHEN after THEN 'current' ELSE 'unbuilt' END AS status,
+       CAST(CASE WHEN d IN (second, after) THEN 1 END AS INTEGER) AS batches_built,
+       CAST(CASE WHEN d = second THEN 2 ELSE 1 END AS INTEGER) AS batches_now
+FROM named"""
+
+
+@query
+def late_delivery(src: SampleSources) -> DataFrame:
+    """Both days after the late dates were built anew, and whether that changed the day's table."""
+    lake, dates = _late_lake(src)
+    path = lake.domain("events")
+    daily.build_silver(src.spark, lake, dates[1], only=["events"])
+    rolling.roll_all(src.spark, lake, ["user_events"], dates, rolling.RollPolicy(idle=0))
+    before = commits.current(src.spark, path)
+    daily.rebuild_late(src.spark, lake)
+    after = commits.current(src.spark, path)
+    changed = [slot.removeprefix("dt=") for slot in after if after[slot] != before.get(slot)]
+    rows = tables.read_all(src.spark, path)
+    return publish(rows.select("event_id", "user_id", "event_type", "dt")).withColumn("rebuilt", F.col("dt").isin(changed))
+
+
+ORACLES["late_delivery"] = f"""{BASE},
+marked AS (SELECT *, CAST(ts AS DATE) AS d, CAST((SELECT min(ts) FROM ev) AS DATE) + 1 AS second FROM ev WHERE event_type = 'click')
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+       strftime(d, {DAY}) AS dt, d = second AS rebuilt
+FROM marked WHERE d IN (second, (SELECT min(d) FROM marked WHERE d > second))"""

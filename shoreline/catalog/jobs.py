@@ -23,7 +23,7 @@ from shoreline.catalog.queries import (
 from shoreline.operators import shape
 from shoreline.plans import daily
 from shoreline.session import scratch_path
-from shoreline.sources import drops
+from shoreline.sources import drops, serving
 from shoreline.sources import lake as tables
 from shoreline.sources.lake import Lake
 from shoreline.streaming import ingest
@@ -178,12 +178,32 @@ def _job(name: str, twin: str, digits: int = 4, **table: str) -> None:
 
 
 _job("job_transactions", "silver_transactions", domain="transactions")
+_job("job_events", "silver_events", domain="events")
+_job("job_customers", "silver_customers", digits=6, domain="customers")
 _job("job_inventory", "silver_inventory", domain="inventory")
 _job("job_daily_revenue", "daily_revenue", kpi="daily_revenue")
 _job("job_user_retention", "retention_grid", kpi="user_retention")
+_job("job_inventory_turnover", "inventory_by_category", kpi="inventory_turnover")
 _job("job_sensor_anomaly", "sensor_anomaly_by_day", kpi="iot_anomaly_summary")
 
 
+@query
+def serving_rows(src: SampleSources) -> DataFrame:
+    """What a load sends of the revenue that the job wrote, when every other day is loaded already."""
+    lake = _raw_lake(src)
+    daily.build_silver(src.spark, lake, DATE, only=["transactions", "events"])
+    daily.build_gold(src.spark, lake, DATE, only=["daily_revenue"])
+    contract = schemas.CONTRACTS["daily_revenue"]
+    written = tables.read_partition(src.spark, lake.kpi("daily_revenue"), DATE)
+    even = F.day("revenue_date") % 2 == 0
+    loaded = serving.to_serving(written, contract).where(even).select(*contract.key)
+    return publish(serving.rows_to_load(written, contract, loaded))
+
+
+ORACLES["serving_rows"] = f"""
+SELECT * FROM ({ORACLES["serving_daily_revenue"]}) WHERE CAST(right(revenue_date, 2) AS INTEGER) % 2 = 1"""
+
+
 @query
 def forms_side_by_side(src: SampleSources) -> DataFrame:
     """A canonical and a wide day on one lake; the canonical revenue is what it was."""

@@ -134,28 +134,31 @@ class Activity:
         days = self._seen_before(last).unionByName(self._first_days([(last, blocks[last])]))
         return _least(days).select("user_id", F.date_from_unix_date("first_day").alias("first_date"))
 
-    def user_days(self, since: str | None = None) -> DataFrame:
-        """user_id, activity_date, events, from the blocks since a date."""
+    def user_days(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        """user_id, activity_date, events, from the blocks between two dates, both included."""
         found = self.spark.createDataFrame([], "user_id string, activity_date date, events bigint")
         low = day_number(since) if since else None
+        high = day_number(until) if until else None
         for start, slot in self.blocks().items():
-            if low is not None and start + self.block_days <= low:
+            if (low is not None and start + self.block_days <= low) or (high is not None and start > high):
                 continue
             places = F.filter(F.sequence(F.lit(0), F.lit(self.block_days - 1)), lambda i: F.getbit("bits", i) == 1)
             each = F.explode(F.arrays_zip(places.alias("place"), F.col("counts").alias("events")))
             rows = self._read(self.table, slot, STATE).select("user_id", each.alias("x")).select(
                 "user_id", F.date_from_unix_date(F.lit(start) + F.col("x.place")).alias("activity_date"), "x.events")
-            found = found.unionByName(rows if low is None else rows.where(F.col("activity_date") >= since))
-        return found
+            found = found.unionByName(rows)
+        if since:
+            found = found.where(F.col("activity_date") >= since)
+        return found.where(F.col("activity_date") <= until) if until else found
 
-    def retention(self, since: str | None = None) -> DataFrame:
-        """Cohort by day grid as `gold.user_retention`, with cohorts of first days ever; of the days since a date if given.
+    def retention(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        """Cohort by day grid as `gold.user_retention`, with cohorts of first days ever; of the days between two dates if given.
 
         A cohort's size is the number of users first seen on its day, whether that day is in the grid or not.
         """
         first = self.first_seen().withColumnRenamed("first_date", "cohort_date")
         sizes = first.groupBy("cohort_date").agg(F.count("*").alias("cohort_size"))
-        grid = self.user_days(since).join(first, "user_id").groupBy(
+        grid = self.user_days(since, until).join(first, "user_id").groupBy(
             "cohort_date", F.datediff("activity_date", "cohort_date").alias("days_since_cohort")
         ).agg(F.count("*").alias("active_users"), F.sum("events").alias("total_events"))
         return grid.join(sizes, "cohort_date").select(

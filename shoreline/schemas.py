@@ -161,6 +161,8 @@ UNKNOWN_SOURCE = "unknown"
 
 BATCH_SOURCES = {"orders": "csv", "inventory": "csv", "crm": "json", "payments": "json"}
 
+RAW_SOURCES = [*dict.fromkeys(TOPIC_SOURCES.values()), *BATCH_SOURCES, UNKNOWN_SOURCE]
+
 PRIMARY_KEYS = {
     "user_events": "event_id",
     "clickstream": "request_id",

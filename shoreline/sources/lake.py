@@ -291,6 +291,16 @@ def _check_columns(found: DataFrame, columns: schemas.Columns, path: str) -> Non
         raise MissingColumns(f"{path} has no column {', '.join(absent)}")
 
 
+def range_folders(spark: SparkSession, path: str, last_date: str, days: int = 1) -> list[str]:
+    """Folders of the last ``days`` dates up to ``last_date`` that count."""
+    last = datetime.date.fromisoformat(last_date)
+    wanted = [f"dt={last - datetime.timedelta(days=n)}" for n in range(days)]
+    slots = commits.current(spark, path) or {}
+    table = Folder(spark, path)
+    plain = [d for d in wanted if d not in slots and table.exists(d)]
+    return [f"{path}/{d}" for d in commits.folders_of(slots, wanted) + plain]
+
+
 def read_range(
     spark: SparkSession,
     path: str,
@@ -301,16 +311,9 @@ def read_range(
     """The last ``days`` dates up to ``last_date``. Only their folders are listed, however
     many dates the table has; absent dates are skipped. Files without one of the given columns
     are refused; one footer is read for that."""
-    last = datetime.date.fromisoformat(last_date)
-    wanted = [f"dt={last - datetime.timedelta(days=n)}" for n in range(days)]
-    slots = commits.current(spark, path)
-    dates: str | list[str] = f"{path}/{{{','.join(wanted)}}}"
-    if slots is not None:
-        named, plain = commits.folders_of(slots, wanted), set(wanted) - set(slots)
-        named += [d for d in Folder(spark, path).names() if d in plain]
-        if not named:
-            return None
-        dates = [f"{path}/{d}" for d in named]
+    dates = range_folders(spark, path, last_date, days)
+    if not dates:
+        return None
     reader = spark.read.option("basePath", path)
     if columns:
         found = _load_or_none(reader, "parquet", dates)

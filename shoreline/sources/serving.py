@@ -31,6 +31,12 @@ def not_loaded(df: DataFrame, loaded: DataFrame, contract: Contract) -> DataFram
     return df.join(loaded, list(contract.key), "left_anti").select(*contract.columns)
 
 
+def rows_to_load(kpi: DataFrame, contract: Contract, loaded: DataFrame | None = None) -> DataFrame:
+    """The rows that a load sends: in the serving table's form, without those whose keys are loaded."""
+    rows = to_serving(kpi, contract)
+    return rows if loaded is None else not_loaded(rows, loaded, contract)
+
+
 def load_jdbc(
     kpi: DataFrame,
     contract: Contract,
@@ -46,9 +52,7 @@ def load_jdbc(
     broken = [row.asDict() for row in violations(kpi, contract).where("violations > 0").collect()]
     if broken:
         raise ContractViolation(f"{contract.table}: {broken}")
-    rows = to_serving(kpi, contract)
-    if loaded is not None:
-        rows = not_loaded(rows, loaded, contract)
+    rows = rows_to_load(kpi, contract, loaded)
     if rows.isEmpty():
         return False
     settings = {"batchsize": str(INSERT_BATCH), "numPartitions": str(CONNECTIONS), **properties}

@@ -1,0 +1,108 @@
+"""The change ledger and what follows from it."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from shoreline.plans import daily
+from shoreline.sources import commits, drops
+from shoreline.sources import lake as tables
+from shoreline.sources.lake import Lake
+from shoreline.streaming import rolling
+
+FIRST, SECOND = "2026-04-16", "2026-04-17"
+
+
+@pytest.fixture
+def land(frame, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+
+    def run(batch, date, *ids, source="user_events"):
+        rows = [(json.dumps({
+            "event_id": f"e{i}", "user_id": f"u{i}", "event_type": "click", "timestamp": f"{date}T10:00:00Z",
+            "_ingested_at": f"{date}T10:05:00Z", "_source": source}), "bronze", source, date, "10") for i in ids]
+        tables.write_raw(frame(rows, "value string,zone string,source string,dt string,hour string"), lake, batch)
+
+    run.lake = lake
+    return run
+
+
+def ledger(spark, lake):
+    found = daily.change_ledger(spark, lake, ["events"]).collect()
+    return {r.dt: (r.status, r.batches_built, r.batches_now) for r in found}
+
+
+def ids(spark, lake, date):
+    return sorted(r.event_id for r in tables.read_partition(spark, lake.domain("events"), date).collect())
+
+
+def test_only_late_dates_are_built_anew(spark, land):
+    lake = land.lake
+    land("b1", FIRST, 1, 2)
+    land("b2", SECOND, 3)
+    assert ledger(spark, lake) == {FIRST: ("unbuilt", None, 1), SECOND: ("unbuilt", None, 1)}
+    daily.build_silver(spark, lake, FIRST, only=["events"])
+    daily.build_gold(spark, lake, FIRST, only=["user_retention"])
+    daily.build_silver(spark, lake, SECOND, only=["events"])
+    assert {s for s, *_ in ledger(spark, lake).values()} == {"current"}
+    assert daily.rebuild_late(spark, lake) == {}
+    land("b3", FIRST, 4)
+    assert ledger(spark, lake) == {FIRST: ("late", 1, 2), SECOND: ("current", 1, 1)}
+    before = commits.current(spark, lake.domain("events"))
+    # the KPI that was built from the date follows, no other
+    assert daily.rebuild_late(spark, lake) == {
+        FIRST: {("silver", "events"): 3, ("gold", "user_retention"): 1}}
+    after = commits.current(spark, lake.domain("events"))
+    assert ids(spark, lake, FIRST) == ["e1", "e2", "e4"] and after[f"dt={SECOND}"] == before[f"dt={SECOND}"]
+    assert tables.read_all(spark, lake.kpi("user_retention")).first().active_users == 3
+    assert {s for s, *_ in ledger(spark, lake).values()} == {"current"}
+
+
+def test_a_repeated_batch_and_rolled_files_are_not_late_a_new_drop_is(spark, land, tmp_path):
+    lake = land.lake
+    land("b1", FIRST, 1)
+    land("b2", FIRST, 2)
+    daily.build_silver(spark, lake, FIRST, only=["events"])
+    land("b2", FIRST, 2)
+    assert rolling.roll(spark, lake, "user_events", FIRST, rolling.RollPolicy(idle=0)) == 2
+    assert ledger(spark, lake)[FIRST] == ("current", 2, 2)
+    (tmp_path / "crm.json").write_text(json.dumps([{"customer_id": "c1", "email": "a"}]))
+    drops.land_drop(spark, str(tmp_path / "crm.json"), "crm", lake, FIRST)
+    daily.build_silver(spark, lake, FIRST, only=["customers"])
+    statuses = lambda: [r.status for r in daily.change_ledger(spark, lake, ["customers"]).collect()]
+    assert statuses() == ["current"]
+    drops.land_drop(spark, str(tmp_path / "crm.json"), "crm", lake, FIRST)
+    assert statuses() == ["late"]
+
+
+def test_retention_with_a_history(spark, land):
+    lake = land.lake
+    land("b1", FIRST, 1, 2)
+    land("b2", SECOND, 2, 3)
+    for date in (FIRST, SECOND):
+        daily.build_silver(spark, lake, date, only=["events"])
+        daily.build_gold(spark, lake, date, only=["user_retention"], history=True)
+    rows = tables.read_partition(spark, lake.kpi("user_retention"), SECOND).collect()
+    assert sorted((str(r.cohort_date), r.days_since_cohort, r.cohort_size, r.active_users) for r in rows) == [
+        (FIRST, 1, 2, 1), (SECOND, 0, 1, 1)]
+    # a late event of the first day makes its user one of that cohort
+    land("b3", FIRST, 3)
+    daily.rebuild_late(spark, lake, history=True)
+    daily.build_gold(spark, lake, SECOND, only=["user_retention"], history=True)
+    rows = tables.read_partition(spark, lake.kpi("user_retention"), SECOND).collect()
+    assert [(str(r.cohort_date), r.cohort_size, r.active_users) for r in rows] == [(FIRST, 3, 2)]
+
+
+def test_what_a_job_reads_follows_the_commits(spark, land):
+    lake = land.lake
+    land("b1", FIRST, 1)
+    land("b2", FIRST, 2)
+    daily.build_silver(spark, lake, FIRST, only=["events"])
+    rolling.roll(spark, lake, "user_events", FIRST, rolling.RollPolicy(idle=0))
+    found = [p for p in daily.read_by(spark, lake, SECOND, retention_days=2) if "user_events" in p or "events/" in p]
+    assert any("silver/domain=events" in p and FIRST in p for p in found)
+    assert sum("_versions" in p and "source=user_events" in p for p in daily.read_by(spark, lake, FIRST)) == 1
+    assert daily.vacuum(spark, lake, 3600) == 0
+    assert daily.vacuum(spark, lake, -3600) >= 2 and ids(spark, lake, FIRST) == ["e1", "e2"]
