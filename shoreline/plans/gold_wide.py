@@ -10,7 +10,7 @@ from shoreline.functions import measures
 from shoreline.functions.temporal import calendar_days, day_of
 from shoreline.operators.rows import purchases, successful
 from shoreline.operators.shape import align, round_columns, stamp
-from shoreline.plans.gold import cell_moments, cells_with_baseline, type_moments
+from shoreline.plans.gold import cells_with_baseline, with_baseline
 
 # Levels of grouping_id() over (payment_method, currency).
 BY_METHOD, BY_CURRENCY, OVERALL = 1, 2, 3
@@ -113,9 +113,8 @@ def _limits() -> dict[str, Column]:
 
 def bounded_readings(readings: DataFrame) -> DataFrame:
     """Every reading with its three-sigma bounds, side and distance in sigmas."""
-    baseline = type_moments(cell_moments(readings)).withColumns(_limits())
     side = measures.anomaly_side("value", "lower_bound", "upper_bound")
-    return readings.join(baseline, "sensor_type").select(
+    return with_baseline(readings).withColumns(_limits()).select(
         "*",
         side.alias("anomaly_type"),
         (side != "normal").alias("is_anomaly"),

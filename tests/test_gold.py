@@ -134,6 +134,15 @@ def test_sensor_plans_start_no_job_and_broadcast_a_small_baseline(spark, frame):
     assert "BroadcastHashJoin" in plan_of(plans[2])
 
 
+def test_sensor_plans_read_the_readings_twice(spark, frame, tmp_path):
+    readings(frame).write.parquet(str(tmp_path / "r"))
+    rows = spark.read.parquet(str(tmp_path / "r"))
+    for plan in (gold.sensor_anomaly(rows), gold_wide.sensor_anomaly_by_location(rows),
+                 gold.score_readings(rows), gold_wide.bounded_readings(rows)):
+        plan.collect()
+        assert plan_of(plan).split("== Initial Plan ==")[0].count("FileScan parquet") == 2
+
+
 def test_sensor_rows_of_the_event_table(frame):
     events = align(frame([("e1", "iot_sensors", 12), ("e2", "clickstream", 5)],
                          "event_id string,event_source string,latency_ms int"), schemas.EVENTS)
