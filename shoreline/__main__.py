@@ -16,6 +16,7 @@ from shoreline.session import build_session, size_session
 from shoreline.sources.drops import land_drop
 from shoreline.sources.lake import Lake, read_all
 from shoreline.streaming.ingest import start_raw_ingest
+from shoreline.streaming.lateness import Lateness
 from shoreline.streaming.rolling import RollPolicy, roll_all
 from shoreline.streaming.records import file_records, kafka_records
 
@@ -37,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--checkpoint", help="checkpoint folder, for ingest")
     parser.add_argument("--available-now", action="store_true", help="ingest what is there, stop")
     parser.add_argument("--history", action="store_true", help="retention by first days ever")
+    parser.add_argument("--late-to-dead-letter", action="store_true", help="keep late rows apart, for ingest")
     parser.add_argument("--roll", action="store_true", help="roll small files while ingesting")
     parser.add_argument("--keep-days", type=float, default=7, help="age of what vacuum deletes")
     parser.add_argument("--source", choices=list(schemas.BATCH_SOURCES), help="for land")
@@ -61,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
             spark, given.files)
         running = start_raw_ingest(
             records, lake, given.checkpoint, available_now=given.available_now,
-            policy=RollPolicy() if given.roll else None)
+            policy=RollPolicy() if given.roll else None,
+            lateness=Lateness() if given.late_to_dead_letter else None)
         running.awaitTermination()
     elif given.job == "roll":
         print(roll_all(spark, lake, schemas.RAW_SOURCES, [given.date] if given.date else None))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from shoreline import schemas
 from shoreline.catalog.frames import DAYS, SampleSources
 from shoreline.catalog.jobs import QUERIES, same_as
-from shoreline.catalog.oracles import BASE, DAY, DOM, ORACLES
+from shoreline.catalog.oracles import BASE, DAY, DOM, LINES, ORACLES, SOURCES, STAMP, _with
 from shoreline.catalog.queries import LANDED, _event_stream, _events, publish, query
 from shoreline.plans import daily
 from shoreline.plans.activity import Activity
@@ -20,6 +21,8 @@ from shoreline.sources import commits
 from shoreline.sources import lake as tables
 from shoreline.sources.lake import Lake
 from shoreline.streaming import ingest, rolling
+from shoreline.streaming.lateness import MICRO, Lateness, ProgressLog, is_idle, watermark
+from shoreline.streaming.records import file_records
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -206,3 +209,75 @@ marked AS (SELECT *, CAST(ts AS DATE) AS d, CAST((SELECT min(ts) FROM ev) AS DAT
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
        strftime(d, {DAY}) AS dt, d = second AS rebuilt
 FROM marked WHERE d IN (second, (SELECT min(d) FROM marked WHERE d > second))"""
+
+# --- late rows and silent sources ------------------------------------------------------------------
+
+#: Fixed by the catalog: when each event arrives, and once more. Events are on time by halves of their month, but every
+#: tenth comes with the second half; every seventh arrives again with that half. Sign-ups stop after the first.
+ARRIVAL = "CASE WHEN event_id % 10 = 0 THEN 1 WHEN day(ts) <= 15 THEN 0 ELSE 1 END"
+
+
+def _late_ingest(src: SampleSources) -> tuple[Lake, str]:
+    """Two arrivals of event records, taken by one ingest that is stopped in between."""
+    root = scratch_path(src.spark, "lateness")
+    lake = Lake(f"{root}/lake")
+    lines = src.topic_lines().withColumnRenamed("offset", "event_id").join(
+        src.events.selectExpr("event_id", "event_type", f"{ARRIVAL} AS first"), "event_id")
+    each = lines.selectExpr("value", "topic", "event_type", "explode(IF(event_id % 7 = 0, array(first, 1), array(first))) AS arrival")
+    each = each.where("arrival = 0 OR event_type <> 'signup'")
+    running = None
+    for i in (0, 1):
+        each.where(F.col("arrival") == i).select("value", "topic").write.mode("append").partitionBy("topic").text(f"{root}/in")
+        running = ingest.start_raw_ingest(
+            file_records(src.spark, f"{root}/in"), lake, f"{root}/checkpoint", available_now=True, lateness=Lateness())
+        running.awaitTermination()
+    return lake, f"ingest-{running.id}"
+
+
+@query
+def late_rows(src: SampleSources) -> DataFrame:
+    """Every delivery by where it went: good lines, broken ones, late ones; nothing is lost."""
+    lake, _ = _late_ingest(src)
+    out = None
+    for source in _sources():
+        parts = [(tables.read_dead_letter(src.spark, lake, source), "_error_reason")]
+        parts += [(src.spark.read.schema("_raw string").json(f"{lake.bronze(source)}"), None)] if tables.raw_dates(
+            src.spark, lake, source) else []
+        for df, reason in parts:
+            if df is not None:
+                rows = df.select(F.lit(source).alias("source"), "_raw", (F.col(reason) if reason else F.lit("ok")).alias("outcome"))
+                out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("source", "outcome", "_raw").agg(F.count("*").alias("deliveries"))
+
+
+ARRIVED = f"""{_with(SOURCES, LINES)},
+arrived AS (
+  SELECT source, outcome, line, ts, event_type, unnest(CASE WHEN event_id % 7 = 0 THEN [first, 1] ELSE [first] END) AS arrival
+  FROM (SELECT *, {ARRIVAL.replace('day(ts)', 'extract(day FROM ts)')} AS first FROM routed)),
+kept AS (SELECT * FROM arrived WHERE arrival = 0 OR event_type <> 'signup')"""
+
+ORACLES["late_rows"] = f"""{ARRIVED},
+limits AS (SELECT source, max(ts) AS latest FROM kept WHERE arrival = 0 AND outcome = 'ok' GROUP BY source)
+SELECT source, CASE WHEN outcome = 'ok' AND arrival = 1 AND ts < latest - INTERVAL 30 SECOND THEN 'late_record' ELSE outcome END
+       AS outcome, line AS _raw, count(*) AS deliveries
+FROM kept LEFT JOIN limits USING (source) GROUP BY 1, 2, 3"""
+
+
+@query
+def silent_sources(src: SampleSources) -> DataFrame:
+    """Latest event of each source, whether it was silent in the last batch, and the watermark without silent ones."""
+    lake, name = _late_ingest(src)
+    progress = ProgressLog(src.spark, lake, name).before()
+    lateness = Lateness(idle=0)
+    last = max(h.seen for h in progress.values())
+    now = datetime.datetime.fromtimestamp(last / MICRO, datetime.timezone.utc)
+    reached = round(watermark(progress, lateness, now).timestamp() * MICRO)
+    rows = [(s, h.latest, is_idle(h, last, lateness), reached) for s, h in sorted(progress.items())]
+    found = src.spark.createDataFrame(rows, "source string, latest bigint, silent boolean, watermark bigint")
+    return publish(found.withColumns({c: F.timestamp_micros(c) for c in ("latest", "watermark")}))
+
+
+ORACLES["silent_sources"] = f"""{ARRIVED},
+heard AS (SELECT source, max(ts) FILTER (outcome = 'ok') AS latest, max(arrival) = 0 AS silent FROM kept GROUP BY source)
+SELECT source, strftime(latest, {STAMP}) AS latest, silent,
+       strftime((SELECT min(latest) FILTER (NOT silent) FROM heard) - INTERVAL 30 SECOND, {STAMP}) AS watermark FROM heard"""

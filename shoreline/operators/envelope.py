@@ -87,6 +87,14 @@ def stream_rows(
     Works on static and streaming frames alike. In a stream the ingest time is the
     time logged for the micro-batch, so a replay writes the same rows.
     """
+    moment = ingested_at if ingested_at is not None else F.current_timestamp()
+    return parsed_rows(parse_records(records), moment, routes, job)
+
+
+def parsed_rows(
+    parsed: DataFrame, ingested_at: Column, routes: dict[str, str] | None = None, job: str = STREAM_JOB
+) -> DataFrame:
+    """Raw-layer rows of records that are parsed already."""
     lineage = {
         "_source": source_of(F.col("topic"), routes),
         "_kafka_topic": F.col("topic"),
@@ -94,8 +102,7 @@ def stream_rows(
         "_kafka_offset": F.col("offset").cast("bigint"),
         "_job": F.lit(job),
     }
-    moment = ingested_at if ingested_at is not None else F.current_timestamp()
-    return _raw_rows(parse_records(records), lineage, moment)
+    return _raw_rows(parsed, lineage, ingested_at)
 
 
 def with_batch_envelope(

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoreline.operators.envelope import STREAM_JOB, stream_rows
+from shoreline.operators.envelope import STREAM_JOB, parse_records, parsed_rows, stream_rows
+from shoreline.schemas import TOPIC_SOURCES, UNKNOWN_SOURCE
 from shoreline.sources.lake import Lake, write_raw
+from shoreline.streaming.lateness import Lateness, ProgressLog, advanced, mark_late, observed
 from shoreline.streaming.rolling import RollPolicy, roll
 
 COMMIT_INTERVAL = "60 seconds"
+#: Column of the time that is logged for a micro-batch.
+BATCH_TIME = "_batch_time"
 
 
 def start_raw_ingest(
@@ -24,6 +28,7 @@ def start_raw_ingest(
     job: str = STREAM_JOB,
     available_now: bool = False,
     policy: RollPolicy | None = None,
+    lateness: Lateness | None = None,
 ) -> StreamingQuery:
     """Route, wrap and land all topics with one query, bad lines in the dead-letter zone.
 
@@ -33,29 +38,38 @@ def start_raw_ingest(
     Spark keeps in the checkpoint: a restart finds its batches, another ingest never does.
     The row limit of the writer bounds the size of a file. With a policy, small files are rolled: after each
     micro-batch the sources and dates that it or an earlier one wrote to are looked at, until nothing of
-    them is left to roll. What a stopped query leaves is rolled by the ``roll`` job.
+    them is left to roll. What a stopped query leaves is rolled by the ``roll`` job. With a lateness, rows
+    that come later than their source allows go to the dead-letter zone too; without one, none is late.
     """
     started: Future[str] = Future()
     waiting: set[tuple[str, str]] = set()
+    sources = [*dict.fromkeys((routes or TOPIC_SOURCES).values()), UNKNOWN_SOURCE]
 
-    def land(rows: DataFrame, batch_id: int) -> None:
+    def land(batch_rows: DataFrame, batch_id: int) -> None:
+        spark = batch_rows.sparkSession
         batch = f"{name}-{started.result()}-{batch_id:09d}"
-        if policy is None:
-            write_raw(rows, lake, batch)
-            return
+        progress = heard = None
+        rows = batch_rows
+        if lateness is not None:
+            log = ProgressLog(spark, lake, f"{name}-{started.result()}")
+            progress = log.before(batch_id)
+            parsed, heard = observed(parse_records(batch_rows), sources, F.col(BATCH_TIME), lateness, routes)
+            rows = parsed_rows(mark_late(parsed, progress, lateness, routes), F.col(BATCH_TIME), routes, job)
         touched = Observation()
-        write_raw(rows.observe(touched, F.collect_set(F.struct("source", "dt")).alias("at")), lake, batch)
-        waiting.update(tuple(x) for x in touched.get["at"])
-        for source, date in sorted(waiting):
-            if roll(rows.sparkSession, lake, source, date, policy):
-                waiting.discard((source, date))
+        if policy is not None:
+            rows = rows.observe(touched, F.collect_set(F.struct("source", "dt")).alias("at"))
+        write_raw(rows, lake, batch)
+        if heard is not None:
+            log.note(batch_id, advanced(progress, heard.get, sources))
+        if policy is not None:
+            waiting.update(tuple(x) for x in touched.get["at"])
+            for source, date in sorted(waiting):
+                if roll(spark, lake, source, date, policy):
+                    waiting.discard((source, date))
 
-    writer = (
-        stream_rows(records, routes, job)
-        .writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(land)
-    )
+    # what is late is known when the batch begins, so then the rows are wrapped within it
+    given = stream_rows(records, routes, job) if lateness is None else records.withColumn(BATCH_TIME, F.current_timestamp())
+    writer = given.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(land)
     trigger = {"availableNow": True} if available_now else {"processingTime": COMMIT_INTERVAL}
     running = writer.trigger(**trigger).start()
     started.set_result(str(running.id))
