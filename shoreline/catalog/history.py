@@ -210,6 +210,40 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_i
        strftime(d, {DAY}) AS dt, d = second AS rebuilt
 FROM marked WHERE d IN (second, (SELECT min(d) FROM marked WHERE d > second))"""
 
+# --- schemas from data -------------------------------------------------------------------------------
+
+
+@query
+def raw_type_conflicts(src: SampleSources) -> DataFrame:
+    """Fields whose type changes: a value that is a number in the first half of the month and text in the second, and
+    one that is both on each day."""
+    lake = Lake(f"{scratch_path(src.spark, 'types')}/lake")
+    early = F.day("ts") <= 15
+    line = F.when(early, F.to_json(F.struct("event_id", F.round("value", 2).alias("amount"), F.col("k").alias("code")))).otherwise(
+        F.to_json(F.struct("event_id", F.col("event_type").alias("amount"), F.col("k").cast("string").alias("code"))))
+    line = F.when(early & (F.col("event_id") % 2 == 0), F.replace(line, F.lit('"code":'), F.lit('"code":[1],"was":'))).otherwise(line)
+    tables.write_raw(src.events.select(
+        line.alias("value"), F.lit("bronze").alias("zone"), F.lit("iot_sensors").alias("source"),
+        F.date_format("ts", DAYS).alias("dt"), F.lit("00").alias("hour")), lake, "sample")
+    lines = tables.raw_lines(src.spark, lake, "iot_sensors", tables.raw_dates(src.spark, lake, "iot_sensors"))
+    found = tables.type_conflicts(tables.field_types(lines))
+    # how many digits the numbers of a day have is not the point
+    kind = F.regexp_replace("type", r"DECIMAL\(.*\)", "DECIMAL")
+    return found.groupBy("field", kind.alias("type")).agg(
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), F.sum("dates").alias("dates"))
+
+
+ORACLES["raw_type_conflicts"] = f"""{BASE},
+typed AS (
+  SELECT CAST(ts AS DATE) AS d, unnest([
+    {{'field': 'amount', 'type': CASE WHEN extract(day FROM ts) <= 15 THEN 'DECIMAL' ELSE 'STRING' END}},
+    {{'field': 'code', 'type': CASE WHEN extract(day FROM ts) > 15 THEN 'STRING'
+       WHEN event_id % 2 = 0 THEN 'ARRAY<BIGINT>' ELSE 'BIGINT' END}}]) AS x FROM ev),
+daily AS (SELECT d, x.field AS field, CASE WHEN count(DISTINCT x.type) > 1 THEN 'VARIANT' ELSE min(x.type) END AS type
+          FROM typed GROUP BY d, x.field)
+SELECT field, type, strftime(min(d), {DAY}) AS first_date, strftime(max(d), {DAY}) AS last_date, count(*) AS dates
+FROM daily GROUP BY field, type"""
+
 # --- late rows and silent sources ------------------------------------------------------------------
 
 #: Fixed by the catalog: when each event arrives, and once more. Events are on time by halves of their month, but every

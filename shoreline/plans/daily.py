@@ -41,7 +41,8 @@ def _write_counted(
         counts[layer, name] = 0
         return
     counter = quality.RowCounter()
-    tables.write_date(counter.watch(df, name), path, date, sort_by, notes)
+    tables.write_date(
+        counter.watch(df, name), path, date, sort_by, lambda: {**(notes or {}), "latest": counter.latest(name)})
     counts[layer, name] = counter.counts()[name]
 
 

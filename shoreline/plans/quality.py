@@ -7,16 +7,16 @@ from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline import schemas
 from shoreline.functions.measures import percent
 from shoreline.operators.rows import all_present
-from shoreline.sources.lake import Lake, read_all, read_partition, read_raw
+from shoreline.sources.lake import Footers, Lake, read_all, read_footers, read_partition, read_raw
 
-# A frame, nothing, or the reason why there is none.
-Table = DataFrame | str | None
+# A frame, what the footers say, nothing, or the reason why there is none.
+Table = DataFrame | Footers | str | None
 
 REPORT: schemas.Columns = {
     "layer": "string",
@@ -47,6 +47,10 @@ def attempt(read: Callable[[], DataFrame | None]) -> Table:
         return str(error).strip().splitlines()[0]
 
 
+def _moment(micros: int | None) -> Column:
+    return F.timestamp_micros(F.lit(micros).cast("bigint"))
+
+
 def _table_row(
     spark: SparkSession,
     layer: str,
@@ -59,6 +63,10 @@ def _table_row(
     if df is None or isinstance(df, str):
         given = [(layer, name, "missing" if df is None else "error", 0, None, df)]
         return spark.createDataFrame(given, schemas.ddl(REPORT))
+    if isinstance(df, Footers) and not required and any(c in df.columns for c in times):
+        return df.counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.lit("ok").alias("status"), "row_count",
+            _moment(df.latest).alias("latest"), F.lit(None).cast("string").alias("error"))
     absent = [c for c in required if c not in df.columns]
     time = next((c for c in times if c in df.columns), None)
     if time is None and "_ingested_at" not in times:
@@ -134,7 +142,8 @@ def lake_verdict(report: DataFrame) -> DataFrame:
 def validate_lake(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
     """Report over all layers of a lake for one date."""
     def partition(path: str) -> Table:
-        return attempt(lambda: read_partition(spark, path, date))
+        # an hourly check of a large table should not read it
+        return attempt(lambda: read_footers(spark, path, date) or read_partition(spark, path, date))
 
     bronze = {s: attempt(partial(read_raw, spark, lake, s, date)) for s in BRONZE_CHECKED}
     silver = {d: partition(lake.domain(d)) for d in schemas.DOMAINS}
@@ -164,6 +173,13 @@ def profile_kpi(spark: SparkSession, kpi: str, df: Table) -> DataFrame:
     if df is None or isinstance(df, str):
         given = [(kpi, "missing" if df is None else "error", 0, None, None, None, df)]
         return spark.createDataFrame(given, schemas.ddl(PROFILE))
+    if isinstance(df, Footers):
+        counted = df.counts.agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), _moment(df.latest).alias("latest"),
+            F.count_if(F.col("row_count") > 0).alias("date_partitions"))
+        return counted.select(
+            F.lit(kpi).alias("kpi"), F.lit("ok").alias("status"), "row_count", F.lit(len(df.columns)).alias("column_count"),
+            "latest", "date_partitions", F.lit(None).cast("string").alias("error"))
     time = next((c for c in AUDIT_TIMES if c in df.columns), None)
     latest = F.max(time) if time else F.lit(None).cast("timestamp")
     dates = F.count_distinct("dt") if "dt" in df.columns else F.lit(None).cast("bigint")
@@ -184,7 +200,10 @@ def profile_kpi(spark: SparkSession, kpi: str, df: Table) -> DataFrame:
 
 def verify_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Profile of every KPI table, all dates."""
-    found = {k: attempt(partial(read_all, spark, lake.kpi(k))) for k in schemas.KPIS}
+    def table(path: str) -> Table:
+        return attempt(lambda: read_footers(spark, path) or read_all(spark, path))
+
+    found = {k: table(lake.kpi(k)) for k in schemas.KPIS}
     rows = [profile_kpi(spark, k, df) for k, df in found.items()]
     report = rows[0]
     for row in rows[1:]:
@@ -248,7 +267,12 @@ class RowCounter:
     def watch(self, df: DataFrame, name: str) -> DataFrame:
         observation = Observation(name)
         self._observations[name] = observation
-        return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        time = next((F.unix_micros(c) for c in AUDIT_TIMES if dict(df.dtypes).get(c) == "timestamp"), F.lit(None).cast("bigint"))
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.max(time).alias("latest"))
+
+    def latest(self, name: str) -> int | None:
+        """The latest audit time, in microseconds; only valid after the action."""
+        return self._observations[name].get["latest"]
 
     def counts(self) -> dict[str, int]:
         """Counts so far; only valid after the action that runs the plan."""

@@ -15,10 +15,13 @@ Each date of a table, and each batch that was landed again or rolled, is one ver
 from __future__ import annotations
 
 import datetime
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoreline import schemas
@@ -149,12 +152,66 @@ def read_raw_or_empty(
     return found if found is not None else empty(spark, {n: known[n] for n in (columns or known)})
 
 
-def read_raw_inferred(
-    spark: SparkSession, lake: Lake, source: str, date: str, sampling_ratio: float = 1.0
+def raw_lines(
+    spark: SparkSession, lake: Lake, source: str, dates: list[str], zone: str = "bronze"
 ) -> DataFrame | None:
-    """Same rows with the schema taken from the data (an extra pass over the files)."""
-    reader = spark.read.option("samplingRatio", sampling_ratio)
-    return _read_zone(spark, lake, "bronze", source, date, reader)
+    """Lines of a zone's dates that count, as ``value`` and ``dt``; ``None`` without any folder."""
+    folders = []
+    for date in dates:
+        found = raw_folders(spark, lake, zone, source, date)
+        at = f"zone={zone}/source={source}/dt={date}"
+        folders += ([at] if Folder(spark, lake.raw).exists(at) else []) if found is None else found
+    if not folders:
+        return None
+    lines = spark.read.option("recursiveFileLookup", True).text([f"{lake.raw}/{f}" for f in folders])
+    return lines.select("value", F.regexp_extract(F.input_file_name(), r"/dt=([^/]+)/", 1).alias("dt"))
+
+
+def field_types(lines: DataFrame) -> DataFrame:
+    """dt, field, type, rows of JSON lines (``value``, ``dt``): the type that holds all values of a field on a date.
+
+    One scan: each line is parsed once, its fields are reduced per task to a type each. Values of types that
+    nothing holds together make a VARIANT; lines that are no objects have no fields.
+    """
+    parsed = lines.select("dt", F.try_parse_json("value").alias("_line"))
+    each = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_line").outer()))
+    return each.where(F.col("key").isNotNull()).groupBy("dt", F.col("key").alias("field")).agg(
+        F.schema_of_variant_agg("value").alias("type"), F.count("*").alias("rows"))
+
+
+def type_conflicts(types: DataFrame) -> DataFrame:
+    """field, type, first_date, last_date, dates of the fields that have more than one type, whether on one date or over
+    dates. NULL alone (VOID) fits every type."""
+    known = types.where("type <> 'VOID'").groupBy("field", "type").agg(
+        F.min("dt").alias("first_date"), F.max("dt").alias("last_date"), F.count("*").alias("dates"))
+    several = F.count("*").over(Window.partitionBy("field")) > 1
+    return known.withColumn("_odd", several | (F.col("type") == "VARIANT")).where("_odd").drop("_odd")
+
+
+def _column_type(types: list[str]) -> str:
+    """The column type for the types that a field has over the dates."""
+    def stored(name: str) -> str:
+        # whole numbers beyond a long stay exact, other numbers are doubles
+        name = re.sub(r"DECIMAL\((\d+),\s*(\d+)\)", lambda m: m[0] if m[2] == "0" else "DOUBLE", name)
+        return name.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+
+    found = {stored(t) for t in types if t != "VOID"}
+    if found <= {"BIGINT", "DOUBLE"} and len(found) == 2:
+        return "DOUBLE"
+    return found.pop() if len(found) == 1 else "VARIANT" if found else "STRING"
+
+
+def read_raw_inferred(spark: SparkSession, lake: Lake, source: str, date: str) -> DataFrame | None:
+    """Same rows with the schema taken from all of the data, by `field_types`. A field whose values have types that nothing
+    holds together is a VARIANT, so no value is lost."""
+    lines = raw_lines(spark, lake, source, [date])
+    if lines is None:
+        return None
+    found: dict[str, list[str]] = {}
+    for row in field_types(lines).collect():
+        found.setdefault(row.field, []).append(row.type)
+    schema = ", ".join(f"`{field.replace('`', '``')}` {_column_type(types)}" for field, types in sorted(found.items()))
+    return _read_zone(spark, lake, "bronze", source, date, spark.read.schema(schema)) if schema else None
 
 
 def read_product_orders(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
@@ -256,17 +313,19 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
 
 
 def write_date(
-    df: DataFrame, path: str, date: str, sort_by: list[str] | None = None, notes: dict | None = None
+    df: DataFrame, path: str, date: str, sort_by: list[str] | None = None,
+    notes: Callable[[], dict] | None = None,
 ) -> None:
     """Replace one date by the rows of ``df``, which are all of that date; no rows empty it.
 
-    The old rows count until the new ones are written whole. ``notes`` are kept with the date.
+    The old rows count until the new ones are written whole. ``notes`` are asked for then and kept with the date.
     """
     at = f"dt={date}/{commits.new_version()}"
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     df.drop("dt").write.option("compression", "snappy").parquet(f"{path}/{at}")
-    commits.commit(df.sparkSession, path, {f"dt={date}": {**(notes or {}), "folders": [at]}})
+    commits.commit(df.sparkSession, path, {
+        f"dt={date}": {**(notes() if notes else {}), "folders": [at]}})
 
 
 def notes_of(spark: SparkSession, path: str, date: str) -> dict | None:
@@ -281,6 +340,35 @@ def clear_date(spark: SparkSession, path: str, date: str) -> None:
         write_date(spark.createDataFrame([], found.schema), path, date)
 
 
+class Footers(NamedTuple):
+    """What is known of dates of a table without reading a row: rows by date as a frame, columns, the latest audit time in
+    microseconds."""
+
+    counts: DataFrame
+    columns: list[str]
+    latest: int | None
+
+
+def read_footers(spark: SparkSession, path: str, date: str | None = None) -> Footers | None:
+    """All dates of a table or one; ``None`` unless each was written with its audit time noted.
+
+    The count is answered by the files' footers: the scan gets the aggregation and reads no column.
+    """
+    slots = commits.current(spark, path) or {}
+    chosen = slots if date is None else {k: v for k, v in slots.items() if k == f"dt={date}"}
+    plain = [d for d in Folder(spark, path).names() if d.startswith("dt=") and d not in slots] if date is None else []
+    if not chosen or plain or any("latest" not in slot for slot in chosen.values()):
+        return None
+    footers = spark.newSession()
+    # only this reader of Parquet files hands aggregations down
+    others = [f for f in footers.conf.get("spark.sql.sources.useV1SourceList").split(",") if f != "parquet"]
+    footers.conf.set("spark.sql.sources.useV1SourceList", ",".join(others))
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    found = footers.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in commits.folders_of(chosen)])
+    latest = max((s["latest"] for s in chosen.values() if s["latest"] is not None), default=None)
+    return Footers(found.groupBy("dt").agg(F.count("*").alias("row_count")), found.columns, latest)
+
+
 class MissingColumns(ValueError):
     """Files that lack columns their readers need."""
 

@@ -266,3 +266,40 @@ def test_snappy_is_used(spark, frame, tmp_path):
     path = tmp_path / "t"
     tables.write_table(dated(frame, [(1, 1, DAY)]).withColumn("s", F.lit("x")), str(path))
     assert list(path.glob("dt=*/_versions/*/part-*.snappy.parquet"))
+
+
+def test_checks_of_written_tables_read_footers_only(spark, filled):
+    daily.run_day(spark, filled, DAY)
+    for path in (filled.domain("events"), filled.kpi("daily_revenue")):
+        found = tables.read_footers(spark, path, DAY)
+        plan = found.counts._jdf.queryExecution().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan
+        whole = quality._table_row(spark, "x", "t", tables.read_partition(spark, path, DAY), (), quality.AUDIT_TIMES).first()
+        assert quality._table_row(spark, "x", "t", found, (), quality.AUDIT_TIMES).first() == whole
+    kpi = filled.kpi("daily_revenue")
+    profile = lambda found: quality.profile_kpi(spark, "k", found).first()
+    assert profile(tables.read_footers(spark, kpi)) == profile(tables.read_all(spark, kpi))
+    # an emptied date has no rows; without notes the data are read
+    tables.clear_date(spark, kpi, DAY)
+    assert tables.read_footers(spark, kpi) is None
+    assert quality.verify_gold(spark, filled).where("kpi = 'daily_revenue'").first().row_count == 0
+
+
+def test_types_of_fields_that_change(spark, frame, tmp_path):
+    lake = Lake(str(tmp_path))
+    days = {DAY: [{"a": 1, "b": None, "c": {"x": 1}}, {"a": 2.5, "b": "s", "c": {"x": 2, "y": True}}],
+            "2026-04-18": [{"a": "text", "d": [1, 2]}, {"a": [1], "d": None}]}
+    for date, records in days.items():
+        tables.write_raw(raw_rows(frame, "crm", records, date=date), lake, date)
+    lines = tables.raw_lines(spark, lake, "crm", list(days))
+    types = {(r.dt, r.field): r.type for r in tables.field_types(lines).collect()}
+    assert types[DAY, "c"] == "OBJECT<x: BIGINT, y: BOOLEAN>" and types[DAY, "b"] == "STRING"
+    assert types["2026-04-18", "a"] == "VARIANT" and types["2026-04-18", "d"] == "ARRAY<BIGINT>"
+    conflicts = {(r.field, r.first_date) for r in tables.type_conflicts(tables.field_types(lines)).collect()}
+    assert conflicts == {("a", DAY), ("a", "2026-04-18")}
+    first = tables.read_raw_inferred(spark, lake, "crm", DAY).orderBy("a").collect()
+    assert [(r.a, r.b, r.c.x, r.c.y) for r in first] == [(1.0, None, 1, None), (2.5, "s", 2, True)]
+    second = tables.read_raw_inferred(spark, lake, "crm", "2026-04-18")
+    # neither value is lost
+    assert sorted(second.selectExpr("to_json(a) AS a").collect()) == [('"text"',), ("[1]",)]
+    assert tables.field_types(lines)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
