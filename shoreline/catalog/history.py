@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shoreline import schemas
 from shoreline.catalog.frames import DAYS, SampleSources
 from shoreline.catalog.jobs import QUERIES, same_as
-from shoreline.catalog.oracles import BASE, DAY, DOM, LINES, ORACLES, SOURCES, STAMP, _with
+from shoreline.catalog.oracles import BASE, DAY, DAY_LINES, DOM, ORACLES, SOURCES, STAMP, _with
 from shoreline.catalog.queries import LANDED, _event_stream, _events, publish, query
 from shoreline.plans import daily
 from shoreline.plans.activity import Activity
@@ -255,7 +255,7 @@ def _late_ingest(src: SampleSources) -> tuple[Lake, str]:
     """Two arrivals of event records, taken by one ingest that is stopped in between."""
     root = scratch_path(src.spark, "lateness")
     lake = Lake(f"{root}/lake")
-    lines = src.topic_lines().withColumnRenamed("offset", "event_id").join(
+    lines = src.topic_lines(DAYS).withColumnRenamed("offset", "event_id").join(
         src.events.selectExpr("event_id", "event_type", f"{ARRIVAL} AS first"), "event_id")
     each = lines.selectExpr("value", "topic", "event_type", "explode(IF(event_id % 7 = 0, array(first, 1), array(first))) AS arrival")
     each = each.where("arrival = 0 OR event_type <> 'signup'")
@@ -284,9 +284,10 @@ def late_rows(src: SampleSources) -> DataFrame:
     return out.groupBy("source", "outcome", "_raw").agg(F.count("*").alias("deliveries"))
 
 
-ARRIVED = f"""{_with(SOURCES, LINES)},
+# the lines carry days, so event times are midnights
+ARRIVED = f"""{_with(SOURCES, DAY_LINES)},
 arrived AS (
-  SELECT source, outcome, line, ts, event_type, unnest(CASE WHEN event_id % 7 = 0 THEN [first, 1] ELSE [first] END) AS arrival
+  SELECT source, outcome, line, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS ts, event_type, unnest(CASE WHEN event_id % 7 = 0 THEN [first, 1] ELSE [first] END) AS arrival
   FROM (SELECT *, {ARRIVAL.replace('day(ts)', 'extract(day FROM ts)')} AS first FROM routed)),
 kept AS (SELECT * FROM arrived WHERE arrival = 0 OR event_type <> 'signup')"""
 
