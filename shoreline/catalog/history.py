@@ -19,6 +19,7 @@ from shoreline.plans.activity import Activity
 from shoreline.session import scratch_path
 from shoreline.sources import commits
 from shoreline.sources import lake as tables
+from shoreline.sources.commits import Folder
 from shoreline.sources.lake import Lake
 from shoreline.streaming import ingest, rolling
 from shoreline.streaming.lateness import MICRO, Lateness, ProgressLog, is_idle, watermark
@@ -77,7 +78,11 @@ def _counting_folders(src: SampleSources, lake: Lake) -> list[tuple[str, str, st
     out = []
     for source in _sources():
         for date in tables.raw_dates(src.spark, lake, source):
-            for folder in tables.raw_folders(src.spark, lake, "bronze", source, date) or ():
+            found = tables.raw_folders(src.spark, lake, "bronze", source, date)
+            if found is None:
+                # one file from the start: nothing was rolled
+                found = Folder(src.spark, lake.raw).glob(f"zone=bronze/source={source}/dt={date}/hour=*/batch=*")
+            for folder in found:
                 hour = folder.split("hour=")[1].split("/")[0]
                 out.append((source, date, hour, f"{lake.raw}/{folder}"))
     return out
