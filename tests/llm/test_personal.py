@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from llm_rows import ODD, bag
 from shoreline.llm import labelers, personal
 from shoreline.llm.labelers import CARD, EMAIL, IP, KINDS, PHONE
+from shoreline.llm.queries import QUERIES
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 PLAIN = [re.compile(x) for x in (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -127,3 +131,20 @@ def test_masked(documents):
 
 def test_kinds():
     assert (EMAIL, IP, CARD, PHONE) == tuple(map(KINDS.index, ("email", "ip", "card", "phone")))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_query_over_the_whole_table(spark):
+    """Base spans equal the plain patterns; every span lies in its text, in order, and added ones are no base spans."""
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op11_pii"](spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(text)
+    for r in rows:
+        base = plain_base(text[r.doc_id])
+        listed = [f"{KINDS[k]}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == kind for k, _, _ in base) for kind in range(4))
+        found = r.spans.split(",") if r.spans else []
+        assert set(listed) <= set(found) and len(found) == len(listed) + r.n_added
+        places = [(KINDS.index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in found)]
+        assert places == sorted(places) and all(0 <= a < b <= len(text[r.doc_id]) for _, a, b in places)
