@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
+import xxhash
+
 GAP = re.compile("[\x20\x09-\x0d]+")
 
 
@@ -89,3 +92,34 @@ def base_quality(text):
     lines = [x for x in (text or "").split("\n") if words(x)]
     failed = len(w) < 20 or 100 * len(repeat) > 30 * len(w)
     return (len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeat), failed)
+
+
+def signed(value, bits=64):
+    return value - (1 << bits) if value >> (bits - 1) else value
+
+
+def spark_hash(data, seed=42):
+    return xxhash.xxh64_intdigest(data, seed=seed)
+
+
+def sharded(docs, splitters, ranges):
+    """(id, size, shard, slot) of each document by a given plan, and how many rows are numbered together."""
+    of = {at: (shards, firsts) for at, shards, firsts in ranges}
+    groups = {}
+    for doc, text in docs:
+        data = (text or "").encode()
+        key = signed(spark_hash(data))
+        at = bisect.bisect_right(list(splitters), key)
+        # the id's text, then the number 9 as four bytes that are hashed with the first hash as seed
+        draw = spark_int_hash(9, spark_hash(str(doc).encode())) >> 11
+        part = draw * len(of[at][0]) >> 53
+        groups.setdefault((at, part), []).append((key, doc, len(data) + 1))
+    out = []
+    for (at, part), rows in groups.items():
+        shards, firsts = of[at]
+        out += [(doc, size, shards[part], firsts[part] + nth) for nth, (_, doc, size) in enumerate(sorted(rows))]
+    return out, [len(rows) for rows in groups.values()]
+
+
+def spark_int_hash(value, seed):
+    return xxhash.xxh64_intdigest(value.to_bytes(4, "little"), seed=seed)

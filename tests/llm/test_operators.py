@@ -153,6 +153,31 @@ def test_sharding_keeps_groups_and_cuts_what_does_not_fit(documents):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_sharding_equals_brute_force_and_splits_hot_keys(documents):
+    rows = [(i, "") for i in range(3000)] + [(5000 + i, f"own {i} " * (i % 40)) for i in range(2000)] + [(i, "twice " * 9) for i in (1, 1, 2)]
+    records = documents(rows).select(
+        F.col("doc_id").alias("id"), sharding.key_of(F.col("text")).alias("key"), sharding.size_of(F.col("text")).alias("size"))
+    made = sharding.plan(records, 8)
+    got = sharding.placed(records, made).collect()
+    want, numbered = brute.sharded(rows, made.splitters, made.ranges)
+    assert bag((r.id, r.size, r.shard, r.slot) for r in got) == bag(want)
+    # the empty texts are one range of 3000 rows; numbered in parts, but kept together
+    assert max(numbered) <= 6 * len(rows) / (8 * sharding.RANGES_PER_SHARD)
+    assert len({r.shard for r in got if r.size == 1}) == 1
+    load = Counter()
+    for r in got:
+        load[r.shard] += r.size
+    assert max(load.values()) < 1.05 * min(load.values())
+
+
+def test_sharding_deals_equal_rows_of_one_id(documents):
+    got = sharding.shard_rows(documents([(7, "same")] * 300 + [(i, f"t{i}") for i in range(100)])).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert len(got) == 400 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_sharding_odd_rows(documents):
     got = sharding.shard_rows(documents(ODD)).collect()
     assert bag((r.doc_id, r.size) for r in got) == bag((i, len((t or "").encode()) + 1) for i, t, *_ in ODD)
