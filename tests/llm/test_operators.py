@@ -82,12 +82,31 @@ def test_contamination_equals_brute_force(spark, documents):
 
 
 def test_contamination_beyond_the_broadcast_bound(spark, documents, monkeypatch):
-    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", -1)
     docs = [(1, "a b c d e f"), (2, "a b"), (2, "a b"), (3, None)]
     got = decontamination.contamination(documents(docs), spark.createDataFrame([(1, "b c d"), (2, "a")], ITEMS), window=3).collect()
     assert sorted((r.doc_id, r.n_hit) for r in got) == [(1, 4), (2, 1), (2, 1), (3, 0)]
 
 
+def test_contamination_across_blocks_and_of_shared_prompts(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK", 3)
+    pick = random.Random(8)
+    prompt = "answer the question that follows"
+    items = [(i, f"{prompt} q{i % 7} r{i % 5} s{i % 3}") for i in range(60)] + [(100, "q1 r1"), (101, "s1")]
+    pool = [t for _, t in items] + ["q1", "r1 s1", "other words here", prompt]
+    docs = [(i, " ".join(pick.choices(pool, k=pick.randrange(0, 5)))) for i in range(60)] + [(7, "same " + prompt)] * 5 + [(900, None)]
+    got = decontamination.contamination(documents(docs), spark.createDataFrame(items, ITEMS), window=5).collect()
+    rows = [(r.doc_id, r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in got]
+    assert bag(rows) == bag(brute.contamination(docs, items, 5))
+
+
+def test_a_window_with_a_known_hash_and_other_words_is_no_hit(spark, documents, monkeypatch):
+    # one hash for all windows
+    monkeypatch.setattr(decontamination.F, "xxhash64", lambda *c: F.lit(0).cast("long"))
+    got = decontamination.contamination(documents([(1, "a b c d"), (2, "b a d c")]), spark.createDataFrame([(1, "b c")], ITEMS), window=2).collect()
+    assert sorted((r.doc_id, r.n_hit) for r in got) == [(1, 2), (2, 0)]
+
+
 def test_decontaminate_keeps_clean_rows_and_columns(spark, documents):
     docs = clashing(documents([(1, "a b c"), (1, "clean text"), (2, "a b c x"), (2, None), (3, "")]))
     benchmark = spark.createDataFrame([(1, "a b c")], ITEMS)
