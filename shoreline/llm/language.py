@@ -2,7 +2,8 @@
 
 For each language a bounded sample of labelled texts (SAMPLE of them, chosen by hash) is a raw-content
 zstandard dictionary of at most about DICTIONARY bytes. Short texts are in it whole; of a longer one only the first DICTIONARY
-characters are read, and its beginning is taken, an equal share of what the short ones leave. A text is
+characters are read, and its beginning is taken, an equal share of what the short ones leave. All languages
+together send READ dictionaries each to the driver, however many texts are long. A text is
 folded to lower-case words of letters, cut into pieces of PIECE bytes and compressed with each dictionary;
 the language with the fewest bytes in total wins, the first in name order among equals. The score is the share
 by which the winner is smaller than the next one; a score below MARGIN is a rejection.
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.llm.text import fresh, small_side
+from shoreline.session import cut_lineage
 
 #: Labelled texts of a language that are learned at most, one for each bucket of a hash.
 SAMPLE = 128
@@ -31,6 +33,8 @@ DICTIONARY = 112_000
 #: Bytes that are compressed at a time.
 PIECE = 4_096
 LEVEL = 8
+#: Characters of a language's texts that are folded for its dictionary, in dictionaries: folding leaves fewer.
+READ = 4
 MARGIN = 0.002
 UNKNOWN = "und"
 
@@ -48,8 +52,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def level(lengths: list[int], total: int) -> int:
+    """The greatest length to which all can be cut so that they hold at most `total` together."""
+    for nth, length in enumerate(sorted(lengths)):
+        share = total // (len(lengths) - nth)
+        if length > share:
+            return share
+        total -= length
+    return max(lengths)
+
+
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language, from `docs`; at most SAMPLE * DICTIONARY bytes each reach the driver."""
+    """A dictionary for each language, from `docs`; at most READ * DICTIONARY characters each reach the driver."""
     labelled = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     own = F.xxhash64(F.col("id").cast("string"), F.lit(5))
@@ -57,15 +71,24 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
         F.min(F.struct(own.alias("order"), "id")).alias("x"))
     chosen = small_side(chosen.select(F.col("lang").alias("of"), "x.order", F.col("x.id").alias("of_id")))
     texts = labelled.join(chosen, (F.col("id") == F.col("of_id")) & (F.col("lang") == F.col("of")))
-    rows = texts.select("lang", "order", F.substring("text", 1, DICTIONARY).alias("text")).distinct().collect()
-    learned: dict[str, list[bytes]] = {}
-    for row in sorted(rows, key=lambda r: (r.lang, r.order, r.text)):
-        learned.setdefault(row.lang, []).append(folded(row.text))
+    texts = cut_lineage(texts.select("lang", "order", F.substring("text", 1, DICTIONARY).alias("text")).distinct())
+    lengths: dict[str, list[int]] = {}
+    for row in texts.select("lang", F.length("text").alias("length")).toLocalIterator():
+        lengths.setdefault(row.lang, []).append(row.length)
+    if not lengths:
+        return {}
+    most = texts.sparkSession.createDataFrame([(k, level(v, READ * DICTIONARY)) for k, v in lengths.items()], "lang string, most int")
+    # one row a language
+    texts = texts.join(F.broadcast(most), "lang")
+    rows = texts.select("lang", "order", F.expr("substring(text, 1, most)").alias("text")).toLocalIterator()
+    learned: dict[str, list[tuple[int, bytes]]] = {}
+    for row in rows:
+        learned.setdefault(row.lang, []).append((row.order, folded(row.text)))
     out = {}
     for name, parts in learned.items():
         # short texts stay whole; what they leave free is shared by the long ones
         left, content = DICTIONARY, []
-        for nth, part in enumerate(sorted(parts, key=len)):
+        for nth, (_, part) in enumerate(sorted(parts, key=lambda p: (len(p[1]), p))):
             take = part[: left // (len(parts) - nth)]
             content.append(take)
             left -= len(take)

@@ -225,6 +225,16 @@ def test_language_odd_rows(documents):
     assert {r.lang_pred for r in language.identify(documents([(1, "no label")])).collect()} == {"und"}
 
 
+def test_language_sends_a_bounded_sample_to_the_driver(documents, monkeypatch):
+    assert [language.level(x, 100) for x in ([10, 20], [10, 200], [60, 70, 80], [5])] == [20, 90, 33, 5]
+    monkeypatch.setattr(language, "DICTIONARY", 1000)
+    folded, seen = language.folded, []
+    monkeypatch.setattr(language, "folded", lambda text: seen.append(text) or folded(text))
+    learned = language.train(documents([(i, f"word{i % 7} und " * 300, "de") for i in range(90)] + [(900, "a short one", "en")]))
+    assert sum(map(len, seen)) <= 2 * language.READ * 1000
+    assert 900 <= len(learned["de"]) <= 1000 + 90 and learned["en"] == b"a short one"
+
+
 # quality
 
 def test_quality_counts_equal_brute_force(documents):
