@@ -14,10 +14,13 @@ The answer is exact but for 64-bit hashes of shingles.
    them. Other tokens, and the frequent ones, don't meet in one task at all: the token is a vertex
    that each of its classes is joined to. Components of that graph are clusters; linked sets are in
    one cluster.
-5. Prefix tree. The sets of a cluster are stored in a trie and joined by traversal. A cluster above
+5. Clusters above CHUNK tokens are formed anew. The tokens of their sets are counted exactly and ordered by
+   these counts, so texts that only have common tokens in common part, however many tokens are common. A token that a
+   task sees in more than PAIRED sets is sent on by token and set; only one row of each task tells the others.
+6. Prefix tree. The sets of a cluster are stored in a trie and joined by traversal. A cluster above
    CHUNK tokens is cut by size, so that linked sets are in one class of sizes or in neighbouring ones, and a class
    above CHUNK tokens is dealt into chunks; each pair of chunks that may hold links is joined by itself.
-6. `linked_components` gives each document the least id it is connected with. For that a traversal leaves
+7. `linked_components` gives each document the least id it is connected with. For that a traversal leaves
    out what is connected already, so a task returns at most one link a set. `links` returns every link
    between different sets, in parts, and `link_counts` adds them up within the blocks, so that
    only a row for each set and block leaves a task.
@@ -50,6 +53,8 @@ SHARED, SPARE = 3, 20
 PAIRED = 128
 #: Tokens of one chunk of a cluster, 8 bytes each.
 CHUNK = 500_000
+#: Tokens that a task looks through at a time for those in more than PAIRED sets.
+LOOKED = 1_000_000
 #: Tokens are counted in blocks of about so many words; those found LEAST times in one are frequent.
 BLOCK_WORDS, LEAST = 2_000_000, 3
 #: Tokens that leave a task at a time.
@@ -81,9 +86,13 @@ def _class_of(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _frequent(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    tokens, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
-    often = count >= LEAST
-    return tokens[often].view(_SIGNED), count[often].astype(_SIGNED)
+    """Tokens that are in LEAST sets or more, and in how many. Sorted in place, so that a block is held twice at most."""
+    tokens = np.concatenate([np.zeros(0, np.uint64), *sets])
+    tokens.sort()
+    often = np.flatnonzero(tokens[LEAST - 1:] == tokens[:len(tokens) - LEAST + 1])
+    found = distinct(tokens[often])
+    count = np.searchsorted(tokens, found, side="right") - np.searchsorted(tokens, found, side="left")
+    return found.view(_SIGNED), count.astype(_SIGNED)
 
 
 def _describe(batches: Iterator[pa.RecordBatch], n: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -218,6 +227,132 @@ def _candidates(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
     yield from settled(kept)
 
 
+TOKENS = "token long, class long, size long, spread boolean"
+
+
+def _all_tokens(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """(text, class) to all tokens of each class once. Tokens in more than PAIRED sets are spread: their rows need
+    not meet, and a row without a class stands for them."""
+    sent, held, words = set(), [], 0
+
+    def packed() -> pa.RecordBatch:
+        size = np.array([len(s) for _, s in held])
+        token = np.concatenate([s for _, s in held])
+        own, size = (np.repeat(np.array(x, dtype=_SIGNED), size) for x in ([c for c, _ in held], size))
+        found, count = np.unique(token, return_counts=True)
+        hot = found[count > PAIRED]
+        spread = np.concatenate([np.isin(token, hot), np.zeros(len(hot), dtype=bool)])
+        token, size = np.concatenate([token, hot]), np.concatenate([size, np.zeros(len(hot), dtype=_SIGNED)])
+        own = pa.chunked_array([pa.array(own), pa.nulls(len(hot), pa.int64())]).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token.view(_SIGNED)), own, pa.array(size), pa.array(spread)], names=["token", "class", "size", "spread"])
+
+    for batch in batches:
+        for text, c in zip(texts_as_bytes(batch.column(0)), batch.column(1).to_pylist()):
+            shingles = shingle_set(None if c in sent else text, n)
+            if not len(shingles) or _class_of(shingles)[0] != c:
+                continue
+            sent.add(c)
+            held.append((c, shingles))
+            words += len(shingles)
+            if words > LOOKED:
+                yield packed()
+                held, words = [], 0
+    if held:
+        yield packed()
+
+
+#: place: in how many sets the token is, PAIRED + 1 for more. Tokens of one set only come as their number.
+COUNTED = "class long, size long, token long, place long, single long"
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by spread, token and class, nulls first, to the place of each token of each class."""
+    kept = np.zeros((4, 0), dtype=_SIGNED)
+    large = None
+
+    def placed(rows, place):
+        one = place == 1
+        own, first, count = np.unique(rows[1, one], return_index=True, return_counts=True)
+        zeros = np.zeros(int((~one).sum()), dtype=_SIGNED)
+        columns = [np.concatenate([rows[1, ~one], own]), np.concatenate([rows[2, ~one], rows[2, one][first]])]
+        token = pa.chunked_array([pa.array(rows[0, ~one]), pa.nulls(len(own), pa.int64())]).combine_chunks()
+        columns += [token, np.concatenate([place[~one], np.ones(len(own), dtype=_SIGNED)]), np.concatenate([zeros, count])]
+        names = ["class", "size", "token", "place", "single"]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    def beyond(rows):
+        rows = rows[:, rows[3] == 1]
+        return placed(rows, np.full(rows.shape[1], PAIRED + 1))
+
+    def settled(rows):
+        first = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
+        group = np.cumsum(first) - 1
+        named = rows[3] == 1
+        place = np.bincount(group)[group]
+        # a token that some task has spread has a nameless row in front
+        place = np.where(~named[first][group], PAIRED + 1, np.minimum(place, PAIRED + 1))
+        return placed(rows[:, named], place[named])
+
+    for batch in batches:
+        named = batch.column(1).is_valid().to_numpy(zero_copy_only=False).astype(_SIGNED)
+        rows = np.stack([batch.column(i).fill_null(0).to_numpy().astype(_SIGNED) for i in range(3)] + [named])
+        spread = batch.column(3).to_numpy(zero_copy_only=False)
+        if spread.any():
+            yield beyond(rows[:, spread])
+            rows = rows[:, ~spread]
+        rows = np.concatenate([kept, rows], axis=1)
+        if rows.shape[1] > 1:
+            rows = rows[:, np.concatenate([[True], (rows[[0, 1, 3], 1:] != rows[[0, 1, 3], :-1]).any(axis=0)])]
+        if large is not None:
+            more = rows[0] == large
+            if more.any():
+                yield beyond(rows[:, more])
+                rows = rows[:, ~more]
+        open_ = rows[0] == rows[0, -1] if rows.shape[1] else np.zeros(0, dtype=bool)
+        if not open_.all():
+            yield settled(rows[:, ~open_])
+        kept = rows[:, open_]
+        if kept.shape[1] > PAIRED + 1:
+            large = kept[0, 0]
+            yield beyond(kept)
+            kept = kept[:, :0]
+    if kept.shape[1]:
+        yield settled(kept)
+
+
+def _edges(prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """Prefix tokens (PREFIXES) to edges between classes, or between classes and tokens, that hold all links."""
+    # a frequent token's classes need not meet
+    rows = prefixes.repartition(F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token")))
+    rows = rows.sortWithinPartitions("frequent", "token", "size", "class")
+    edges = rows.mapInArrow(lambda x: _candidates(x, num, den), CANDIDATES)
+    return edges.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("enough").alias("enough")).where("n >= enough")
+
+
+def _formed_anew(given: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The members, those of clusters above CHUNK tokens in smaller clusters where their tokens' exact counts allow it."""
+    total = members.groupBy("component").agg(F.sum("size").alias("all")).where(f"all > {CHUNK}").select("component")
+    total = cut_lineage(total)
+    if total.isEmpty():
+        return members
+    large = small_side(members.join(total, "component").select("class", "at"))
+    texts = given.withColumn("at", F.xxhash64("doc", "key")).join(large, "at").select("text", "class")
+    rows = texts.mapInArrow(lambda x: _all_tokens(x, n), TOKENS)
+    rows = rows.repartition(F.when(F.col("spread"), F.xxhash64("token", "class")).otherwise(F.col("token")))
+    rows = rows.sortWithinPartitions("spread", "token", F.col("class").asc_nulls_first()).mapInArrow(_counted, COUNTED)
+    # one row of a text's tokens at most, as its own set has them
+    sets = rows.groupBy("class", "size").agg(
+        F.sum("single").alias("single"), F.array_sort(F.collect_set(F.when(F.col("token").isNotNull(), F.struct("place", "token")))).alias("more"))
+    length = f"least(size, size - ({num} * size + {den} - 1) div {den} + {SHARED} + size div {SPARE})"
+    sets = sets.withColumn("to", F.explode(F.expr(f"slice(more, 1, cast(greatest(0, {length} - single) as int))")))
+    prefixes = sets.select("to.token", "size", "class", (F.col("to.place") > PAIRED).alias("frequent"))
+    clusters = components(_edges(prefixes, num, den)).withColumnRenamed("component", "smaller")
+    again = members.join(total, "component", "left_semi").drop("component").join(clusters, F.col("class") == F.col("vertex"))
+    again = again.select(F.col("smaller").alias("component"), "class", "at", "copies", "size")
+    return cut_lineage(members.join(total, "component", "left_anti").unionByName(again))
+
+
 #: side: the chunk of a pair of chunks, -1 where all sets are joined with one another.
 BLOCKS = "array<struct<block: long, side: int>>"
 
@@ -342,17 +477,13 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int)
     shared = spark.sparkContext.broadcast((tokens.view(np.uint64)[order], rank))
 
     rows = given.select("text").mapInArrow(lambda x: _prefixes(x, n, shared.value, num, den), PREFIXES)
-    # a frequent token's classes need not meet
-    rows = rows.repartition(F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token")))
-    rows = rows.sortWithinPartitions("frequent", "token", "size", "class")
-    edges = rows.mapInArrow(lambda x: _candidates(x, num, den), CANDIDATES)
-    edges = edges.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("enough").alias("enough")).where("n >= enough")
-    clusters = components(edges)
+    clusters = components(_edges(rows, num, den))
 
     first = F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "key")).alias("first")
     classes = cut_lineage(signed.where("size > 0").groupBy(*CLASS).agg(first, F.count("*").alias("copies")))
     named = classes.withColumn("at", F.xxhash64("first.doc", "first.key"))
     members = cut_lineage(clusters.join(named, F.col("vertex") == F.col("class")).select("component", "class", "at", "copies", "size"))
+    members = _formed_anew(given, members, n, num, den)
     blocks = _narrow(_blocks(members, num, den))
     found = given.withColumn("at", F.xxhash64("doc", "key")).join(blocks, "at").select("text", "class", "copies", "blocks")
     sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, copies long, blocks {BLOCKS}, shingles array<long>")

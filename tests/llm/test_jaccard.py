@@ -42,6 +42,69 @@ def test_split_clusters_and_vertices_change_nothing(documents, monkeypatch):
     assert bag(got) == bag(brute(rows, 3, 90, 100))
 
 
+def test_common_tokens_dont_run_clusters_together(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRED", 4)
+    monkeypatch.setattr(jaccard, "ORDERED", 0)
+    pick = random.Random(7)
+    common = [" ".join(f"c{i}w{k}" for k in range(8)) for i in range(30)]
+    rows = []
+    for i in range(120):
+        parts = pick.sample(common, 5) + [f"own{i}a{k} own{i}b{k} own{i}c{k} own{i}d{k}" for k in range(6)]
+        pick.shuffle(parts)
+        rows += [(10 * i + k, " ".join([*parts, *["end"] * k])) for k in range(1 + i % 3)]
+    largest = []
+    blocks = jaccard._blocks
+
+    def seen(members, num, den):
+        largest.append(members.groupBy("component").count().agg({"count": "max"}).first()[0])
+        return blocks(members, num, den)
+
+    monkeypatch.setattr(jaccard, "_blocks", seen)
+    for chunk in (10**9, 200):
+        monkeypatch.setattr(jaccard, "CHUNK", chunk)
+        got = jaccard.linked_components(documents(rows).repartition(3), n=3, num=90, den=100).collect()
+        assert bag(got) == bag(brute(rows, 3, 90, 100))
+    assert largest[0] > 100 and largest[1] == 3
+
+
+@pytest.mark.parametrize("looked,batch", [(10**6, 1000), (40, 7)])
+def test_counted_tokens(monkeypatch, looked, batch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "PAIRED", 3)
+    monkeypatch.setattr(jaccard, "LOOKED", looked)
+    pick = random.Random(looked)
+    texts = [" ".join(f"t{min(pick.randrange(40), pick.randrange(40))}" for _ in range(12)) for _ in range(25)]
+    sets = {jaccard._class_of(s)[0]: s for s in (jaccard.shingle_set(np.frombuffer(t.encode(), np.uint8), 1) for t in texts)}
+    own = [jaccard._class_of(jaccard.shingle_set(np.frombuffer(t.encode(), np.uint8), 1))[0] for t in texts]
+    rows = []
+    # two tasks, of which the second repeats some texts
+    for part in (slice(0, 15), slice(12, 25)):
+        given = pa.record_batch([pa.array(texts[part]), pa.array(own[part])], names=["text", "class"])
+        rows += [r for b in jaccard._all_tokens(iter([given]), 1) for r in b.to_pylist()]
+    rows.sort(key=lambda r: (r["spread"], r["token"], r["class"] is not None, r["class"] or 0))
+    columns = pa.Table.from_pylist(rows, schema=pa.schema([("token", pa.int64()), ("class", pa.int64()), ("size", pa.int64()), ("spread", pa.bool_())]))
+    out = [r for b in jaccard._counted(iter(columns.to_batches(max_chunksize=batch))) for r in b.to_pylist()]
+    count = {}
+    for s in sets.values():
+        for t in s.view(np.int64).tolist():
+            count[t] = count.get(t, 0) + 1
+    want = {(c, t, min(count[t], 4)) for c, s in sets.items() for t in s.view(np.int64).tolist() if count[t] > 1}
+    assert {(r["class"], r["token"], r["place"]) for r in out if r["token"] is not None} == want
+    for c, s in sets.items():
+        assert sum(r["single"] for r in out if r["class"] == c) == sum(count[t] == 1 for t in s.view(np.int64).tolist())
+        assert {r["size"] for r in out if r["class"] == c} <= {len(s)}
+
+
+def test_frequent_tokens_of_a_block():
+    pick = random.Random(2)
+    for size in (0, 1, 2, 5, 60):
+        sets = [np.unique(np.array([pick.randrange(9) for _ in range(6)], dtype=np.uint64)) for _ in range(size)]
+        tokens, count = jaccard._frequent(sets)
+        every = [t for s in sets for t in s.tolist()]
+        assert dict(zip(tokens.tolist(), count.tolist())) == {t: every.count(t) for t in set(every) if every.count(t) >= jaccard.LEAST}
+
+
 def linked_pairs(rows, n, num, den):
     sets = [shingles(t, n) for _, t in rows]
     return [(i, j) for i, s in enumerate(sets) for j in range(len(sets)) if i != j and s and sets[j] and den * len(s & sets[j]) >= num * len(s | sets[j])]
