@@ -9,11 +9,11 @@ with a smaller id, or before in the same one. Windows are judged on the input.
    that are equal have equal anchors, so only windows over a recurring anchor can recur. About one
    anchor in eight words is sent, 16 bytes each.
 3. Windows over recurring anchors go, as short pieces of text, to the shard of their anchor.
-   Anchors that are frequent somewhere are not sent for confirming, and their windows go one by
-   one, by content; equal ones of a task are reduced to the first before that. So a passage in a third of
-   all documents doesn't meet in one task.
-4. A shard takes pieces in blocks of BLOCK words and whole anchors, compiles the windows that recur there
-   into an Aho-Corasick automaton over word numbers, and streams the pieces through it. Hits are exact: words
+   Anchors that are frequent somewhere don't meet for confirming. Their windows, and those over anchors that
+   the confirming shuffle counts more than HOT times, go one by one, by content; equal ones of a task are
+   reduced to the first before that. So neither a passage in a third of all documents nor one in a thousandth of them meets in one task.
+4. A shard takes pieces in blocks of BLOCK words and whole anchors, of at most HOT places each, keeps the first
+   of equal windows that go by content, compiles the windows that recur there into an Aho-Corasick automaton over word numbers, and streams the pieces through it. Hits are exact: words
    are compared, not hashes. Equal windows of one text go as their first, the others are cut at once.
 5. Hits but the first of a window are merged to spans and cut out of the documents.
 
@@ -38,8 +38,12 @@ from shoreline.session import cut_lineage
 
 WINDOW = 20
 ANCHOR = 6
-#: Words that one automaton is made from, but for a single anchor with more.
+#: Words that one automaton is made from, and those of one more anchor.
 BLOCK = 100_000
+#: Places of an anchor that meet in one block; windows over anchors with more go by content.
+HOT = 1_000
+#: Windows by content of which a task knows the first at a time.
+FIRSTS = 100_000
 #: Anchors counted at a time, and the share of documents and the count that make one frequent.
 COUNTED = 500_000
 RARE, LEAST = 500, 4
@@ -103,7 +107,7 @@ def _known(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def _sent(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc, key, text) to (anchor, doc, key, known); an anchor that recurs in its document comes twice."""
+    """(doc, key, text) to (anchor, doc, key, known); an anchor comes as often as it occurs, up to one more than HOT."""
     for batch in batches:
         parts = []
         doc, key = (batch.column(i).to_numpy() for i in (0, 1))
@@ -112,7 +116,7 @@ def _sent(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray)
             if len(words) < window:
                 continue
             found, count = np.unique(_anchor_hashes(words, np.unique(anchors(words, window))), return_counts=True)
-            found = np.repeat(found, np.minimum(count, 2))
+            found = np.repeat(found, np.minimum(count, HOT + 1))
             parts.append((found, np.full(len(found), doc[i]), np.full(len(found), key[i])))
         if parts:
             columns = [np.concatenate(x).astype(_SIGNED) for x in zip(*parts)]
@@ -121,28 +125,45 @@ def _sent(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray)
 
 
 def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by known and anchor to those that are known or not the only one of their anchor."""
-    kept = None
+    """Rows sorted by known and anchor to those that are known or not the only one of their anchor. hot: whether
+    it is known or has more than HOT rows."""
+    kept = np.zeros((3, 0), dtype=_SIGNED)
+    large = None
+
+    def out(rows, hot):
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(hot)], names=["anchor", "doc", "key", "hot"])
+
+    def settled(rows):
+        group = np.cumsum(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])) - 1
+        count = np.bincount(group)[group]
+        return out(rows[:, count > 1], count[count > 1] > HOT)
+
+    def surely(rows):
+        return out(rows, np.ones(rows.shape[1], dtype=bool))
+
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if kept is not None:
-            table = pa.concat_tables([kept, table]).combine_chunks()
-        anchor, known = (table.column(c).to_numpy() for c in ("anchor", "known"))
-        if len(anchor) < 2:
-            kept = table
-            continue
-        same = (anchor[1:] == anchor[:-1]) & (known[1:] == known[:-1])
-        keep = known.copy()
-        keep[1:] |= same
-        keep[:-1] |= same
-        # the last row waits for its successor; if its like have gone out, it is marked by staying known
-        keep[-1] = False
-        yield from table.filter(pa.array(keep)).select(["anchor", "doc", "key"]).to_batches()
-        kept = table.slice(len(anchor) - 1)
-        if same[-1]:
-            yield from kept.select(["anchor", "doc", "key"]).to_batches()
-    if kept is not None and kept.column("known")[0].as_py():
-        yield from kept.select(["anchor", "doc", "key"]).to_batches()
+        rows = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        known = batch.column(3).to_numpy(zero_copy_only=False)
+        if known.any():
+            yield surely(rows[:, known])
+            rows = rows[:, ~known]
+        if large is not None:
+            more = rows[0] == large
+            if more.any():
+                yield surely(rows[:, more])
+                rows = rows[:, ~more]
+        rows = np.concatenate([kept, rows], axis=1)
+        # the last anchor waits for more of its rows, up to HOT
+        open_ = rows[0] == rows[0, -1] if rows.shape[1] else np.zeros(0, dtype=bool)
+        if not open_.all():
+            yield settled(rows[:, ~open_])
+        kept = rows[:, open_]
+        if kept.shape[1] > HOT:
+            large = kept[0, 0]
+            yield surely(kept)
+            kept = kept[:, :0]
+    if kept.shape[1]:
+        yield settled(kept)
 
 
 PIECES = "route long, doc long, key long, start long, stop long, text binary"
@@ -159,14 +180,24 @@ def _route(content: bytes, window: int) -> int:
     return int(shingle_hashes(hash_words(np.frombuffer(content, np.uint8)), window)[0].view(_SIGNED))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc, key, text, recurring anchors) to pieces of text with a route, and to spans (without one) of windows that aren't
+def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """(doc, key, text, recurring anchors, hot ones) to pieces of text with a route, and to spans (without one) of windows that aren't
     the first of this task."""
     first: dict[bytes, tuple] = {}
+
+    def firsts():
+        rows = []
+        for content, (d, s, k) in first.items():
+            rows.append((_route(content, window), d, k, s, s + window, content))
+            if len(rows) == 10_000:
+                yield _piece_batch(rows)
+                rows = []
+        yield _piece_batch(rows)
+
     for batch in batches:
         rows, again = [], []
         doc, key = (batch.column(i).to_numpy() for i in (0, 1))
-        lists = batch.column(3)
+        lists, hot = batch.column(3), batch.column(4)
         for i, text in enumerate(texts_as_bytes(batch.column(2))):
             words, starts, ends = hash_words(text, spans=True)
             at = anchors(words, window)
@@ -183,7 +214,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
                 again.append(_merged(ones * doc[i], ones * key[i], wanted[equal], window))
                 wanted = wanted[~equal]
             raw = text.tobytes()
-            known = _known(own[wanted], frequent)
+            known = np.isin(own[wanted], hot[i].values.to_numpy())
             for s in wanted[known].tolist():
                 content = b" ".join(raw[starts[s]:ends[s + window - 1]].split())
                 here, other = (int(doc[i]), s, int(key[i])), first.get(content)
@@ -207,13 +238,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray
         for spans in again:
             rows += [(None, d, k, a, b, None) for d, k, a, b in zip(*(x.tolist() for x in spans))]
         yield _piece_batch(rows)
-    rows = []
-    for content, (d, s, k) in first.items():
-        rows.append((_route(content, window), d, k, s, s + window, content))
-        if len(rows) == 10_000:
-            yield _piece_batch(rows)
-            rows = []
-    yield _piece_batch(rows)
+        if len(first) > FIRSTS:
+            yield from firsts()
+            first.clear()
+    yield from firsts()
 
 
 def _merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, window: int) -> list[np.ndarray]:
@@ -263,8 +291,10 @@ SPANS = "doc long, key long, start long, stop long"
 
 
 def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Pieces sorted by route to spans that are removed; those without text are spans already."""
+    """Pieces sorted by route to spans that are removed; those without text are spans already. Of equal pieces of one
+    window the first place is held, the others are spans at once."""
     held, words, route = [], 0, None
+    single: dict[bytes, int] = {}
 
     def done(columns):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "key", "start", "stop"])
@@ -280,10 +310,23 @@ def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             if text is None:
                 ready.append((doc, key, start, stop))
                 continue
-            if to != route and words > BLOCK:
-                yield from searched()
-                held, words = [], 0
+            if to != route:
+                single.clear()
+                if words > BLOCK:
+                    yield from searched()
+                    held, words = [], 0
             route = to
+            if stop - start == window:
+                at = single.setdefault(text, len(held))
+                if at < len(held):
+                    here, other = (doc, start), (held[at][0], held[at][2])
+                    if here > other:
+                        ready.append((doc, key, start, stop))
+                        continue
+                    if here < other:
+                        ready.append((*held[at][:3], held[at][2] + window))
+                        held[at] = (doc, key, start, held[at][3])
+                        continue
             held.append((doc, key, start, text.split(b" ")))
             words += len(held[-1][3])
         if ready:
@@ -336,14 +379,15 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     sent = unique.mapInArrow(lambda x: _sent(x, window, frequent.value), "anchor long, doc long, key long, known boolean")
     sent = sent.repartition(F.when(F.col("known"), F.xxhash64("anchor", "doc")).otherwise(F.col("anchor")))
-    again = sent.sortWithinPartitions("known", "anchor").mapInArrow(_recurring, "anchor long, doc long, key long")
-    again = cut_lineage(again.groupBy("doc", "key").agg(F.collect_set("anchor").alias("anchors")))
-    numbers = again.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    again = sent.sortWithinPartitions("known", "anchor").mapInArrow(_recurring, "anchor long, doc long, key long, hot boolean")
+    again = cut_lineage(again.groupBy("doc", "key").agg(
+        F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot")))
+    numbers = again.agg(F.sum(F.size("anchors") + F.size("hot"))).first()[0] or 0
     again = again.withColumnsRenamed({"doc": "of", "key": "of_key"})
     again = F.broadcast(again) if numbers <= NARROW else again
     # rows that repeat id and text are one place
     found = unique.join(again, (F.col("doc") == F.col("of")) & (F.col("key") == F.col("of_key")))
-    pieces = found.select("doc", "key", "text", "anchors").mapInArrow(lambda x: _pieces(x, window, frequent.value), PIECES)
+    pieces = found.select("doc", "key", "text", "anchors", "hot").mapInArrow(lambda x: _pieces(x, window), PIECES)
     pieces = pieces.repartition(F.coalesce("route", F.xxhash64("doc", "start"))).sortWithinPartitions("route")
     spans = pieces.mapInArrow(lambda x: _spans(x, window), SPANS)
 

@@ -9,6 +9,7 @@ import re
 import textwrap
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,10 +47,12 @@ def passages_of(seed):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("known", [True, False])
-def test_substring_dedup_equals_brute_force(documents, monkeypatch, known):
+@pytest.mark.parametrize("known,hot", [(True, 1000), (False, 1000), (False, 3)])
+def test_substring_dedup_equals_brute_force(documents, monkeypatch, known, hot):
     monkeypatch.setattr(passages, "ANCHOR", 3)
     monkeypatch.setattr(passages, "BLOCK", 40)
+    monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "FIRSTS", hot)
     if not known:
         monkeypatch.setattr(passages, "KNOWN", 0)
     rows = passages_of(int(known)) + [(1000 + i, t) for i, t, *_ in ODD if i is not None]
@@ -57,6 +60,53 @@ def test_substring_dedup_equals_brute_force(documents, monkeypatch, known):
     assert bag((r.doc_id, r.n_words, r.n_removed, r.text or "") for r in got.collect()) == bag(brute.without_repeats(rows, 7))
 
 
+@pytest.mark.parametrize("batch", [13, 10_000])
+def test_a_hot_anchor_fills_no_block(monkeypatch, batch):
+    import pyarrow as pa
+
+    for name, value in (("ANCHOR", 3), ("BLOCK", 100), ("HOT", 10), ("FIRSTS", 25)):
+        monkeypatch.setattr(passages, name, value)
+    pick = random.Random(4)
+    # an anchor that is in many texts, mostly among other words, and at times within a whole passage
+    around = [f"p{i}" for i in range(4)]
+    texts = []
+    for i in range(400):
+        own = [f"d{i}w{k}" for k in range(8)]
+        texts.append(" ".join(own[:4] + (around if pick.random() < 0.2 else own[4:]) + ["hot", "anchor", "here"] + (around if pick.random() < 0.5 else [f"e{i}"])))
+    docs = pa.record_batch([pa.array(range(400)), pa.array(range(400)), pa.array(texts)], names=["doc", "key", "text"])
+    # the anchor is the run with the least hash
+    low = passages._anchor_hashes
+    runs = passages.shingle_hashes
+    hot = runs(passages.hash_words(np.frombuffer(b"hot anchor here", np.uint8)), 3)[0]
+    monkeypatch.setattr(passages, "shingle_hashes", lambda w, n: np.where(runs(w, n) == hot, np.uint64(1), runs(w, n)) if n == 3 else runs(w, n))
+    assert low(passages.hash_words(np.frombuffer(b"hot anchor here", np.uint8)), np.array([0]))[0] == 1
+
+    def sorted_by(batches, *columns):
+        table = pa.Table.from_batches(list(batches)).sort_by([(c, "ascending") for c in columns]).combine_chunks()
+        return table.to_batches(max_chunksize=batch)
+
+    again = sorted_by(passages._recurring(iter(sorted_by(passages._sent(iter([docs]), 7, np.zeros(0, np.int64)), "known", "anchor"))), "doc")
+    lists = {}
+    for r in (r for b in again for r in b.to_pylist()):
+        lists.setdefault(r["doc"], (set(), set()))[0].add(r["anchor"])
+        if r["hot"]:
+            lists[r["doc"]][1].add(r["anchor"])
+    assert sum(1 in hot for _, hot in lists.values()) == 400
+    found = pa.record_batch(
+        [pa.array(list(lists)), pa.array(list(lists)), pa.array([texts[d] for d in lists]),
+         *(pa.array([sorted(x[i]) for x in lists.values()], pa.list_(pa.int64())) for i in (0, 1))], names=["doc", "key", "text", "anchors", "hot"])
+    largest = []
+    located = passages._located
+    monkeypatch.setattr(passages, "_located", lambda held, window: largest.append(sum(len(x[3]) for x in held)) or located(held, window))
+    pieces = sorted_by(passages._pieces(iter([found]), 7), "route")
+    gone = {}
+    for r in (r for b in passages._spans(iter(pieces), 7) for r in b.to_pylist()):
+        gone.setdefault(r["doc"], set()).update(range(r["start"], r["stop"]))
+    want = {d: n for d, _, n, _ in brute.without_repeats(list(enumerate(texts)), 7) if n}
+    assert {d: len(x) for d, x in gone.items()} == want
+    assert len(want) > 50 and max(largest) <= 100 + 10 * 11
+
+
 def test_substring_dedup_of_repeated_ids_and_nothing(documents):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(4, text), (4, text), (5, "x " + text), (None, text), (6, None), (7, text + " " + text)]
