@@ -389,21 +389,31 @@ def _narrow(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(text, class, copies, blocks) to (class, copies, blocks, shingles), a class once."""
+    """(text, class, copies, blocks) to (class, copies, blocks, shingles), a class once. Sets leave in parts of
+    about SENT tokens, however many texts come at a time."""
     sent = set()
     for batch in batches:
-        sets, own = [], []
-        for text, c in zip(texts_as_bytes(batch.column(0)), batch.column(1).to_pylist()):
+        sets, rows, held = [], [], 0
+
+        def packed(batch=batch):
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            values = pa.array(np.concatenate(sets).view(_SIGNED))
+            own = batch.select(["class", "copies", "blocks"]).take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays(
+                [*own.columns, pa.ListArray.from_arrays(pa.array(ends), values)], names=["class", "copies", "blocks", "shingles"])
+
+        for i, (text, c) in enumerate(zip(texts_as_bytes(batch.column(0)), batch.column(1).to_pylist())):
             shingles = shingle_set(None if c in sent else text, n)
-            own.append(len(shingles) > 0 and _class_of(shingles)[0] == c)
-            if own[-1]:
-                sent.add(c)
-                sets.append(shingles.view(_SIGNED))
-        batch = batch.filter(pa.array(own, pa.bool_()))
-        ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        values = pa.array(np.concatenate(sets) if sets else np.zeros(0, _SIGNED))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], pa.ListArray.from_arrays(pa.array(ends), values)], names=["class", "copies", "blocks", "shingles"])
+            if not len(shingles) or _class_of(shingles)[0] != c:
+                continue
+            sent.add(c)
+            sets.append(shingles), rows.append(i)
+            held += len(shingles)
+            if held > SENT:
+                yield packed()
+                sets, rows, held = [], [], 0
+        if sets:
+            yield packed()
 
 
 def _of_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
