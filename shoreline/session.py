@@ -26,6 +26,8 @@ JOB_CONF = {
 MB = 1024 * 1024
 TASK_BYTES = 512 * MB
 LEAST_PARTITIONS = 200
+# A task that writes a few folders keeps a file of each open instead of sorting its rows by folder; beyond that it sorts.
+UNSORTED_WRITES = {"spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
@@ -78,6 +80,15 @@ def build_session(
     return builder.getOrCreate()
 
 
+def with_settings(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session with the settings of this one and further ones. Frames that are read through it run under them."""
+    session = spark.newSession()
+    for key, value in {**spark.conf.getAll, **conf}.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 

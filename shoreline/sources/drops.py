@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoreline.operators.envelope import BATCH_HOUR, CORRUPT, batch_rows
 from shoreline.schemas import BATCH_SOURCES, PAYLOADS, ddl
+from shoreline.session import UNSORTED_WRITES, with_settings
 from shoreline.sources.lake import Lake, replace_raw_batch
 
 
@@ -52,6 +53,8 @@ def land_drop(
     A drop is known by its path, or by ``drop_id``. Landing it again replaces its rows, good and
     bad; other drops of the day stay.
     """
-    rows = batch_rows(read_drop(spark, path, source), source, date)
+    # the rows of a drop go to two folders, one for each zone
+    drop = read_drop(with_settings(spark, **UNSORTED_WRITES), path, source)
+    rows = batch_rows(drop, source, date)
     batch = f"drop-{drop_id}" if drop_id else drop_batch(path)
     replace_raw_batch(rows, lake, source, date, BATCH_HOUR, batch)

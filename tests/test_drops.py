@@ -75,3 +75,17 @@ def test_a_named_drop_may_move(spark, tmp_path):
         path = crm(tmp_path, name, json.dumps([{"customer_id": name}]))
         drops.land_drop(spark, path, "crm", lake, DAY, drop_id="crm-1")
     assert [r.customer_id for r in tables.read_raw(spark, lake, "crm", DAY).collect()] == ["b.json"]
+
+
+def test_rows_of_a_drop_are_not_sorted_by_zone(spark, tmp_path, monkeypatch):
+    names = list(schemas.PAYLOADS["orders"])
+    (tmp_path / "orders.csv").write_text(",".join(names) + "\no1,c1,p1,2,10.5,21.0,0,done,2026-04-01,x\n")
+    landed = []
+    monkeypatch.setattr(drops, "replace_raw_batch", lambda rows, *_: landed.append(rows))
+    drops.land_drop(spark, str(tmp_path / "orders.csv"), "orders", Lake(str(tmp_path / "lake")), DAY)
+    session = landed[0].sparkSession
+    landed[0].createOrReplaceTempView("landed_rows")
+    session.sql(f"CREATE TABLE zones (value string, zone string) USING text PARTITIONED BY (zone) LOCATION '{tmp_path}/zones'")
+    plan = session.sql("EXPLAIN INSERT INTO zones SELECT value, zone FROM landed_rows").first()[0]
+    session.sql("DROP TABLE zones")
+    assert "WriteFiles" in plan and "Sort" not in plan
