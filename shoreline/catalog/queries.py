@@ -17,7 +17,7 @@ from shoreline.functions import measures
 from shoreline.functions.temporal import event_bucket
 from shoreline.operators import contracts, envelope, orders, rows, shape
 from shoreline.plans import daily, gold, gold_wide, quality, silver, silver_wide
-from shoreline.session import scratch_path
+from shoreline.session import UNSORTED_WRITES, scratch_path, with_settings
 from shoreline.sources import drops
 from shoreline.sources import lake as tables
 from shoreline.sources.lake import Lake
@@ -648,6 +648,7 @@ def lake_roundtrip_dynamic_overwrite(src: SampleSources) -> DataFrame:
 def _raw_lake(src: SampleSources, without: Sequence[str] = ()) -> Lake:
     """A lake whose raw layer holds all sample sources, or all but some, under one processing date."""
     lake = Lake(f"{scratch_path(src.spark, 'lake')}/lake")
+    src = SampleSources(with_settings(src.spark, **UNSORTED_WRITES), src.folder)
     frames = {
         "user_events": src.user_events(),
         "clickstream": src.clickstream(),
@@ -670,7 +671,7 @@ def _raw_lake(src: SampleSources, without: Sequence[str] = ()) -> Lake:
         tables.write_raw(known.select(
             line.alias("value"), F.lit("bronze").alias("zone"), F.lit(source).alias("source"),
             F.lit(DATE).alias("dt"), F.lit("00").alias("hour"),
-        ), lake, f"sample-{source}")
+        ), lake, f"sample-{source}", packed=True)
     return lake
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from shoreline import schemas
 from shoreline.operators.shape import empty, storage_type
+from shoreline.session import MB, with_settings
 from shoreline.sources import commits
 from shoreline.sources.commits import Folder
 
@@ -34,6 +35,9 @@ LANDED = "_landed"
 RAW_PARTITIONS = ["zone", "source", "dt", "hour", "batch"]
 # Upper bound of rows per raw file; about 128 MB at a few hundred bytes per record.
 RAW_ROWS_PER_FILE = 400_000
+# Bytes of compressed lines that a task reads; unpacked they are about ten times as many.
+PACKED_BYTES = 16 * MB
+PACKED = ".gz"
 
 
 @dataclass(frozen=True)
@@ -112,15 +116,24 @@ def slot_of(folder: str) -> str:
 
 
 def _read_zone(
-    spark: SparkSession, lake: Lake, zone: str, source: str, date: str, reader: DataFrameReader
+    spark: SparkSession, lake: Lake, zone: str, source: str, date: str, schema: str
 ) -> DataFrame | None:
     folders = raw_folders(spark, lake, zone, source, date)
-    if folders is None:
-        at = lake.raw_zone(zone, source)
-        return _load_or_none(reader.option("basePath", at), "json", f"{at}/dt={date}")
-    if not folders:
-        return None
-    return _load_or_none(reader, "json", [f"{lake.raw}/{f}" for f in folders])
+
+    def load(session: SparkSession) -> DataFrame | None:
+        reader = session.read.schema(schema)
+        if folders is None:
+            at = lake.raw_zone(zone, source)
+            return _load_or_none(reader.option("basePath", at), "json", f"{at}/dt={date}")
+        if not folders:
+            return None
+        return _load_or_none(reader, "json", [f"{lake.raw}/{f}" for f in folders])
+
+    found = load(spark)
+    if found is None or not any(name.endswith(PACKED) for name in found.inputFiles()):
+        return found
+    # tasks are filled by stored bytes; fewer of these keep a task's lines as many as without compression
+    return load(with_settings(spark, **{"spark.sql.files.maxPartitionBytes": str(PACKED_BYTES)}))
 
 
 def read_raw(
@@ -136,7 +149,7 @@ def read_raw(
     """
     known = schemas.raw_columns(source)
     wanted = {name: known[name] for name in (columns or known)}
-    found = _read_zone(spark, lake, "bronze", source, date, spark.read.schema(schemas.ddl(wanted)))
+    found = _read_zone(spark, lake, "bronze", source, date, schemas.ddl(wanted))
     return None if found is None else found.select(*wanted)
 
 
@@ -211,7 +224,7 @@ def read_raw_inferred(spark: SparkSession, lake: Lake, source: str, date: str) -
     for row in field_types(lines).collect():
         found.setdefault(row.field, []).append(row.type)
     schema = ", ".join(f"`{field.replace('`', '``')}` {_column_type(types)}" for field, types in sorted(found.items()))
-    return _read_zone(spark, lake, "bronze", source, date, spark.read.schema(schema)) if schema else None
+    return _read_zone(spark, lake, "bronze", source, date, schema) if schema else None
 
 
 def read_product_orders(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
@@ -222,11 +235,12 @@ def read_product_orders(spark: SparkSession, lake: Lake, date: str) -> DataFrame
     )
 
 
-def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
+def write_raw(rows: DataFrame, lake: Lake, batch: str, packed: bool = False) -> None:
     """Land JSON lines (``value`` plus the partition columns) under a batch name.
 
     Landing the same batch again replaces exactly that batch, so a retried
-    micro-batch leaves no second copy. A mark says that it is whole; only then may it be rolled.
+    micro-batch leaves no second copy. A mark says that it is whole; only then may it be rolled. ``packed`` is for
+    batches that fill files: these are gzip files, which the row limit keeps small, and are not rolled.
     """
     (
         rows.withColumn("batch", F.lit(batch))
@@ -234,6 +248,7 @@ def write_raw(rows: DataFrame, lake: Lake, batch: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", RAW_ROWS_PER_FILE)
+        .option("compression", "gzip" if packed else "none")
         .partitionBy(*RAW_PARTITIONS)
         .text(lake.raw)
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shoreline.sources import commits
 from shoreline.sources.commits import Folder
-from shoreline.sources.lake import LANDED, RAW_PARTITIONS, Lake, raw_dates, slot_of, written_batches
+from shoreline.sources.lake import LANDED, PACKED, RAW_PARTITIONS, Lake, raw_dates, slot_of, written_batches
 
 ZONES = ("bronze", "dead_letter")
 
@@ -44,7 +44,7 @@ class Batch:
 
 
 def batches(spark: SparkSession, lake: Lake, source: str, date: str) -> dict[str, list[Batch]]:
-    """The batches of each hour that count and are whole."""
+    """The batches of each hour that count and are whole, but for those that were landed as compressed files."""
     raw = Folder(spark, lake.raw)
     slots = commits.current(spark, lake.raw_log(source, date)) or {}
     found: dict[str, Batch] = {}
@@ -57,8 +57,10 @@ def batches(spark: SparkSession, lake: Lake, source: str, date: str) -> dict[str
         batch.first, batch.last = min(batch.first, at), max(batch.last, at)
 
     for zone in ZONES:
-        for folder, size, at in raw.files(f"zone={zone}/source={source}/dt={date}/hour=*/batch=*"):
-            if slot_of(folder) not in slots:
+        plain = f"zone={zone}/source={source}/dt={date}/hour=*/batch=*"
+        packed = {slot_of(folder) for folder, *_ in raw.files(plain, f"*{PACKED}")}
+        for folder, size, at in raw.files(plain):
+            if slot_of(folder) not in slots and slot_of(folder) not in packed:
                 note(folder, size, at)
     for folder in commits.folders_of(slots):
         for _, size, at in raw.files(folder):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,3 +197,27 @@ def test_a_batch_that_is_not_whole_is_not_rolled(spark, frame, tmp_path):
     Folder(spark, lake.raw).delete("_landed/c")
     assert rolling.roll(spark, lake, "crm", DAY, rolling.RollPolicy(idle=0)) == 2
     assert tables.read_raw(spark, lake, "crm", DAY).count() == 3
+
+
+def test_compressed_batches_are_small_and_read_in_small_tasks_but_not_rolled(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    line = F.to_json(F.struct(F.concat(F.lit("customer-"), F.col("id")).alias("customer_id"), F.lit("crm").alias("_source")))
+    rows = spark.range(20_000).select(
+        line.alias("value"), F.lit("bronze").alias("zone"), F.lit("crm").alias("source"), F.lit(DAY).alias("dt"),
+        F.lit("00").alias("hour"))
+    plain = Lake(str(tmp_path / "plain"))
+    tables.write_raw(rows, plain, "a")
+    for name in "ab":
+        tables.write_raw(rows, lake, name, packed=True)
+    stored = [sum(f.stat().st_size for f in Path(x.raw).rglob("batch=a/part-*")) for x in (lake, plain)]
+    assert 5 * stored[0] < stored[1]
+    found = tables.read_raw(spark, lake, "crm", DAY)
+    assert found.count() == 40_000 and found.select("customer_id").distinct().count() == 20_000
+    assert found.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == str(tables.PACKED_BYTES)
+    assert found.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert tables.read_raw(spark, plain, "crm", DAY).sparkSession is spark
+    assert rolling.roll(spark, lake, "crm", DAY, rolling.RollPolicy(idle=0)) == 0
+    tables.write_raw(rows, lake, "c")
+    tables.write_raw(rows, lake, "d")
+    assert rolling.roll(spark, lake, "crm", DAY, rolling.RollPolicy(idle=0)) > 0
+    assert tables.read_raw(spark, lake, "crm", DAY).count() == 80_000
