@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions import measures
-from shoreline.plans import gold
+from shoreline.functions.temporal import day_of
 from shoreline.sources import commits
 from shoreline.sources.lake import Lake
 
@@ -67,13 +67,14 @@ class Activity:
     def merge_day(self, events: DataFrame, date: str) -> None:
         """Take over the users of one day, in place of what was known of that day.
 
-        Events are reduced to users before anything is shuffled; both sides of the join have one row a user.
+        Events are reduced to users before anything is shuffled; both sides of the join have one row a user. The events of
+        the one day are grouped by user alone, which is how the join needs them: they are shuffled once.
         """
         day = day_number(date)
         name = f"block={day - day % self.block_days}"
         old = self._read(self.table, self._slots().get(name), STATE)
-        users = gold.user_days(events).where(F.col("activity_date") == date).select(
-            F.col("user_id").cast("string").alias("_user"), F.col("events").alias("_n"))
+        of_day = events.where(F.col("user_id").isNotNull() & (day_of("timestamp") == date))
+        users = of_day.groupBy(F.col("user_id").cast("string").alias("_user")).agg(F.count("event_id").alias("_n"))
         offset = day % self.block_days
         bit, below = F.lit(1 << offset).cast("long"), F.lit((1 << offset) - 1).cast("long")
         both = old.join(users, F.col("user_id") == F.col("_user"), "full_outer")

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from compare import plan_of
 from shoreline.plans import gold
 from shoreline.plans.activity import Activity
 from shoreline.sources import commits
@@ -81,3 +82,15 @@ def test_a_finished_block_is_read_as_minima(spark, frame, tmp_path):
     again = state.first_seen().inputFiles()
     # one block and the minima before it, however many blocks there are
     assert len({f.split("/state/")[1].split("/_versions")[0] for f in again}) == 2 < len(state.blocks())
+
+
+def test_a_day_is_shuffled_once(spark, frame, tmp_path, monkeypatch):
+    events = history(frame, 5)
+    state = Activity(spark, Lake(str(tmp_path)))
+    first, second = dates_of(events)[:2]
+    state.merge_day(events, first)
+    written = []
+    monkeypatch.setattr(state, "_write", lambda df, *_, **__: written.append(df))
+    state.merge_day(events, second)
+    # one for the state and one for the day's users
+    assert plan_of(written[0]).count("Exchange hashpartitioning") == 2
