@@ -18,12 +18,15 @@ STEP = 32
 
 def _ranks(sets: list[np.ndarray]) -> list[np.ndarray]:
     """The sets over 0..V-1, rare tokens first, each in rising order."""
-    every = np.concatenate(sets)
-    tokens, inverse, count = np.unique(every, return_inverse=True, return_counts=True)
-    order = np.empty(len(tokens), dtype=np.int64)
-    order[np.lexsort((tokens, count))] = np.arange(len(tokens))
-    ends = np.cumsum([len(s) for s in sets])[:-1]
-    return [np.sort(x) for x in np.split(order[inverse], ends)]
+    tokens = np.concatenate(sets)
+    tokens.sort()
+    first = np.concatenate([[True], tokens[1:] != tokens[:-1]])[:len(tokens)]
+    count = np.diff(np.append(np.flatnonzero(first), len(tokens)))
+    tokens = tokens[first]
+    # a chunk has few enough tokens for half the bytes; of equal counts the lesser token comes first
+    order = np.empty(len(tokens), dtype=np.int32)
+    order[np.argsort(count, kind="stable")] = np.arange(len(tokens), dtype=np.int32)
+    return [np.sort(order[np.searchsorted(tokens, s)]) for s in sets]
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -40,6 +43,7 @@ class Trie:
         ranks = _ranks(sets)
         self.place = sorted(range(len(sets)), key=lambda i: ranks[i].astype(">u4").tobytes())
         self.sets = [ranks[i] for i in self.place]
+        del ranks
         self.size = np.array([len(s) for s in self.sets], dtype=np.int64)
         depth, parent, low, high, holds = [0], [0], [0], [len(sets) - 1], [-1]
         path, stack = [0], [0]

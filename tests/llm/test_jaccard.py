@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -237,3 +238,18 @@ def test_long_texts_are_read_in_blocks(monkeypatch):
     whole = words.hash_words(data)
     monkeypatch.setattr(words, "BLOCK", 777)
     assert (words.hash_words(data) == whole).all()
+
+
+def test_ranks_of_a_chunk_take_little_more_than_the_chunk():
+    pick = np.random.default_rng(3)
+    sets = [np.unique(pick.integers(0, 50_000, 200).astype(np.uint64)) for _ in range(1000)]
+    given = sum(s.nbytes for s in sets)
+    tracemalloc.start()
+    ranks = trie._ranks(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * given
+    tokens, count = np.unique(np.concatenate(sets), return_counts=True)
+    place = {int(t): i for i, t in enumerate(tokens[np.lexsort((tokens, count))])}
+    assert all(sorted(place[int(t)] for t in s) == r.tolist() for s, r in zip(sets, ranks))
+    assert [len(r) for r in trie._ranks([sets[0][:0], sets[1][:0]])] == [0, 0]
