@@ -24,6 +24,8 @@ another. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -56,15 +58,39 @@ LAST = (1 << 63) - 1
 _SIGNED = np.int64
 
 
-def anchors(words: np.ndarray, window: int) -> np.ndarray:
-    """The start of the anchor of each window."""
-    runs = shingle_hashes(words, ANCHOR)
-    each = np.lib.stride_tricks.sliding_window_view(runs, window - ANCHOR + 1)
-    return np.arange(len(each)) + each.argmin(axis=1)
+def _anchor_hashes(words: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    return shingle_hashes(words, ANCHOR)[at].view(_SIGNED)
 
 
-def _anchor_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return shingle_hashes(words, ANCHOR)[at].view(_SIGNED)
+def anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The start of the anchor of each window, and its hash."""
+    least = runs = _anchor_hashes(words).view(np.uint64)
+    at = np.arange(len(runs))
+    wide, length = window - ANCHOR + 1, 1
+    # the first of the least hashes of 2, 4, ... runs, and at last of all in the window
+    while length < wide:
+        step = min(length, wide - length)
+        at = np.where(least[step:] < least[:-step], at[step:], at[:-step])
+        least = runs[at]
+        length += step
+    return at, least.view(_SIGNED)
+
+
+def _distinct_anchors(words: np.ndarray, window: int) -> np.ndarray:
+    """The hash of the anchor at each place that has one."""
+    at, own = anchors(words, window)
+    # no window's anchor is before that of the window before
+    return own[np.concatenate([[True], at[1:] != at[:-1]])]
+
+
+_PLACES: dict[int, np.ndarray] = {}
+
+
+def _placed(words: np.ndarray, salt: int) -> np.ndarray:
+    """The words' hashes, mixed with their places."""
+    if len(_PLACES.get(salt, ())) < len(words):
+        _PLACES[salt] = mix(np.arange(max(len(words), 1 << 15), dtype=np.uint64) + np.uint64(salt << 40))
+    return mix(words ^ _PLACES[salt][: len(words)])
 
 
 def _describe(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -83,12 +109,11 @@ def _describe(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
         for text in texts_as_bytes(batch.column(2)):
             words = hash_words(text) if text is not None else np.zeros(0, np.uint64)
             n.append(len(words))
-            place = np.arange(len(words), dtype=np.uint64)
             for out, salt in ((a, 1), (b, 2)):
-                out.append(int(np.add.reduce(mix(words ^ mix(place + np.uint64(salt << 40)))).view(_SIGNED)) if len(words) else 0)
+                out.append(int(np.add.reduce(_placed(words, salt)).view(_SIGNED)) if len(words) else 0)
             docs += 1
             if len(words) >= window:
-                held.append(np.unique(_anchor_hashes(words, np.unique(anchors(words, window)))))
+                held.append(np.unique(_distinct_anchors(words, window)))
                 size += len(held[-1])
                 if size > COUNTED:
                     yield reported()
@@ -115,7 +140,7 @@ def _sent(batches: Iterator[pa.RecordBatch], window: int, frequent: np.ndarray)
             words = hash_words(text) if text is not None else ()
             if len(words) < window:
                 continue
-            found, count = np.unique(_anchor_hashes(words, np.unique(anchors(words, window))), return_counts=True)
+            found, count = np.unique(_distinct_anchors(words, window), return_counts=True)
             found = np.repeat(found, np.minimum(count, HOT + 1))
             parts.append((found, np.full(len(found), doc[i]), np.full(len(found), key[i])))
         if parts:
@@ -200,15 +225,16 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         lists, hot = batch.column(3), batch.column(4)
         for i, text in enumerate(texts_as_bytes(batch.column(2))):
             words, starts, ends = hash_words(text, spans=True)
-            at = anchors(words, window)
-            own = _anchor_hashes(words, at)
+            at, own = anchors(words, window)
             wanted = np.flatnonzero(np.isin(own, lists[i].values.to_numpy()))
             if not len(wanted):
                 continue
             # within a text only the first of equal windows goes on; their words are compared by hash
             _, first_here, same = np.unique(shingle_hashes(words, window)[wanted], return_index=True, return_inverse=True)
             like = wanted[first_here][same]
-            equal = (like != wanted) & (words[wanted[:, None] + np.arange(window)] == words[like[:, None] + np.arange(window)]).all(axis=1)
+            equal = like != wanted
+            one, two = (x[equal][:, None] + np.arange(window) for x in (wanted, like))
+            equal[equal] = (words[one] == words[two]).all(axis=1)
             if equal.any():
                 ones = np.ones(int(equal.sum()), dtype=_SIGNED)
                 again.append(_merged(ones * doc[i], ones * key[i], wanted[equal], window))
@@ -232,9 +258,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
             if len(rest):
                 # windows over the same anchor, one after another, are one piece
                 cut = np.flatnonzero((np.diff(rest) != 1) | (np.diff(at[rest]) != 0)) + 1
-                for run in np.split(rest, cut):
-                    a, b = int(run[0]), int(run[-1]) + window
-                    rows.append((int(own[a]), int(doc[i]), int(key[i]), a, b, b" ".join(raw[starts[a]:ends[b - 1]].split())))
+                low, high = rest[np.append(0, cut)], rest[np.append(cut - 1, -1)] + window
+                runs = (x.tolist() for x in (own[low], low, high, starts[low], ends[high - 1]))
+                d, k = int(doc[i]), int(key[i])
+                rows += [(to, d, k, a, b, b" ".join(raw[x:y].split())) for to, a, b, x, y in zip(*runs)]
         for spans in again:
             rows += [(None, d, k, a, b, None) for d, k, a, b in zip(*(x.tolist() for x in spans))]
         yield _piece_batch(rows)
@@ -257,9 +284,10 @@ def _merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, window: int) ->
 
 def _located(pieces: list[tuple[int, int, int, list[bytes]]], window: int) -> list[np.ndarray] | None:
     """Spans of all windows that aren't the first with their words."""
-    numbers: dict[bytes, int] = {}
+    numbers: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
     length = np.array([len(words) for *_, words in pieces])
-    flat = np.fromiter((numbers.setdefault(w, len(numbers)) for *_, words in pieces for w in words), dtype=_SIGNED, count=int(length.sum()))
+    each = itertools.chain.from_iterable(words for *_, words in pieces)
+    flat = np.fromiter(map(numbers.__getitem__, each), dtype=_SIGNED, count=int(length.sum()))
     end = np.cumsum(length)
     piece = np.repeat(np.arange(len(pieces)), length)
     whole = np.flatnonzero(np.arange(len(flat)) + window <= end[piece])

@@ -18,6 +18,7 @@ SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
+_STEP = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -31,11 +32,12 @@ def _byte_values(fold: bool) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit integers (splitmix64)."""
     x = x.astype(_U, copy=True)
-    x ^= x >> _U(30)
+    high = x >> _U(30)
+    x ^= high
     x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(27)
+    x ^= np.right_shift(x, _U(27), out=high)
     x *= _U(0x94D049BB133111EB)
-    x ^= x >> _U(31)
+    x ^= np.right_shift(x, _U(31), out=high)
     return x
 
 
@@ -113,11 +115,24 @@ def texts_as_bytes(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray |
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of n words; of the whole sequence if it is shorter but not empty."""
+    """Hashes of all runs of n words; of the whole sequence if it is shorter but not empty.
+
+    A run's polynomial is put together from those of shorter runs, of 1, 2, 4, ... words.
+    """
     if not len(words):
         return words
     n = min(n, len(words))
-    total = np.zeros(len(words) - n + 1, dtype=_U)
-    for i in range(n):
-        total = total * _U(0x2545F4914F6CDD1D) + words[i : len(words) - n + 1 + i]
-    return mix(total + _U(n))
+    run, length = words, 1
+    total, done = None, 0
+
+    def after(one: np.ndarray, a: int, two: np.ndarray, b: int) -> np.ndarray:
+        joined = one[: len(words) - a - b + 1] * _U(pow(_STEP, b, 1 << 64))
+        joined += two[a : len(words) - b + 1]
+        return joined
+
+    while True:
+        if n & length:
+            total, done = (run, length) if total is None else (after(total, done, run, length), done + length)
+        if done == n:
+            return mix(total + _U(n))
+        run, length = after(run, length, run, length), 2 * length

@@ -107,6 +107,37 @@ def test_a_hot_anchor_fills_no_block(monkeypatch, batch):
     assert len(want) > 50 and max(largest) <= 100 + 10 * 11
 
 
+def test_a_text_is_hashed_once_for_its_anchors(monkeypatch):
+    import pyarrow as pa
+
+    runs, asked = passages.shingle_hashes, []
+    monkeypatch.setattr(passages, "shingle_hashes", lambda w, n: asked.append(n) or runs(w, n))
+    words = passages.mix(np.random.default_rng(3).integers(0, 9, 300).astype(np.uint64))
+    for window in (7, 8, 20):
+        at, own = passages.anchors(words, window)
+        hashes = runs(words, passages.ANCHOR)
+        assert at.tolist() == [i + int(hashes[i:i + window - passages.ANCHOR + 1].argmin()) for i in range(300 - window + 1)]
+        assert (own.view(np.uint64) == hashes[at]).all()
+    asked.clear()
+    docs = pa.record_batch([pa.array([1]), pa.array([1]), pa.array([" ".join(f"w{i % 30}" for i in range(90))])], names=["doc", "key", "text"])
+    sent = list(passages._sent(iter([docs]), 20, np.zeros(0, np.int64)))
+    assert sent[0].num_rows > 3 and asked == [passages.ANCHOR]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 13, 20, 40])
+def test_runs_of_words_hash_as_their_polynomial(n):
+    words = passages.mix(np.arange(30, dtype=np.uint64))
+    given = words.copy()
+    n_here, want = min(n, 30), []
+    for i in range(30 - n_here + 1):
+        total = 0
+        for w in words[i:i + n_here].tolist():
+            total = (total * 0x2545F4914F6CDD1D + w) % 2**64
+        want.append((total + n_here) % 2**64)
+    assert passages.shingle_hashes(words, n).tolist() == passages.mix(np.array(want, dtype=np.uint64)).tolist()
+    assert (words == given).all()
+
+
 def test_substring_dedup_of_repeated_ids_and_nothing(documents):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(4, text), (4, text), (5, "x " + text), (None, text), (6, None), (7, text + " " + text)]
