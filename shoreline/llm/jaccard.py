@@ -33,7 +33,7 @@ text. Null ids are the last; a component that only has null ids is null. An empt
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructT
 from shoreline.llm import trie
 from shoreline.llm.graph import components
 from shoreline.llm.text import fresh, small_side
-from shoreline.llm.words import hash_words, mix, shingle_hashes, texts_as_bytes
+from shoreline.llm.words import freed, give_back, hash_words, mix, shingle_hashes, texts_as_bytes
 from shoreline.session import cut_lineage
 
 #: Tokens of prefixes that linked sets share: SHARED and a SPARE-th of the smaller set.
@@ -57,6 +57,8 @@ CHUNK = 500_000
 LOOKED = 1_000_000
 #: Tokens are counted in blocks of about so many words; those found LEAST times in one are frequent.
 BLOCK_WORDS, LEAST = 2_000_000, 3
+#: Bytes of a block from which on its join takes memory that is worth giving back.
+LARGE = 1 << 20
 #: Tokens that leave a task at a time.
 SENT = 250_000
 #: Blocks of sets that are broadcast, some 32 bytes each.
@@ -326,7 +328,7 @@ def _edges(prefixes: DataFrame, num: int, den: int) -> DataFrame:
     # a frequent token's classes need not meet
     rows = prefixes.repartition(F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token")))
     rows = rows.sortWithinPartitions("frequent", "token", "size", "class")
-    edges = rows.mapInArrow(lambda x: _candidates(x, num, den), CANDIDATES)
+    edges = rows.mapInArrow(lambda x: freed(_candidates(x, num, den)), CANDIDATES)
     return edges.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("enough").alias("enough")).where("n >= enough")
 
 
@@ -338,9 +340,9 @@ def _formed_anew(given: DataFrame, members: DataFrame, n: int, num: int, den: in
         return members
     large = small_side(members.join(total, "component").select("class", "at"))
     texts = given.withColumn("at", F.xxhash64("doc", "key")).join(large, "at").select("text", "class")
-    rows = texts.mapInArrow(lambda x: _all_tokens(x, n), TOKENS)
+    rows = texts.mapInArrow(lambda x: freed(_all_tokens(x, n)), TOKENS)
     rows = rows.repartition(F.when(F.col("spread"), F.xxhash64("token", "class")).otherwise(F.col("token")))
-    rows = rows.sortWithinPartitions("spread", "token", F.col("class").asc_nulls_first()).mapInArrow(_counted, COUNTED)
+    rows = rows.sortWithinPartitions("spread", "token", F.col("class").asc_nulls_first()).mapInArrow(lambda x: freed(_counted(x)), COUNTED)
     # one row of a text's tokens at most, as its own set has them
     sets = rows.groupBy("class", "size").agg(
         F.sum("single").alias("single"), F.array_sort(F.collect_set(F.when(F.col("token").isNotNull(), F.struct("place", "token")))).alias("more"))
@@ -465,6 +467,14 @@ def _link_sums(group: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"class": own[some], "n": total[some]})
 
 
+def _joined(group: pa.Table, join: Callable[[pa.Table, int, int], pa.Table], num: int, den: int) -> pa.Table:
+    """One block by `join`. After a large one the worker gives memory back."""
+    out = join(group, num, den)
+    if group.nbytes > LARGE:
+        give_back()
+    return out
+
+
 CLASS = ["size", "class", "check"]
 
 
@@ -476,7 +486,7 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int)
     longs = [StructField(c, LongType()) for c in ("key", *CLASS, "token", "count")]
     schema = StructType([StructField("doc", kind), *longs])
     arrow = pa.schema([("doc", _arrow_type(kind)), *[(c.name, pa.int64()) for c in longs]])
-    described = cut_lineage(given.select("doc", "text", "key").mapInArrow(lambda x: _describe(x, n, arrow), schema))
+    described = cut_lineage(given.select("doc", "text", "key").mapInArrow(lambda x: freed(_describe(x, n, arrow)), schema))
     signed = described.where(F.col("token").isNull()).select("doc", "key", *CLASS)
 
     counts = described.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("n"))
@@ -486,7 +496,7 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int)
     rank = np.argsort(np.argsort(seen[order], kind="stable"))
     shared = spark.sparkContext.broadcast((tokens.view(np.uint64)[order], rank))
 
-    rows = given.select("text").mapInArrow(lambda x: _prefixes(x, n, shared.value, num, den), PREFIXES)
+    rows = given.select("text").mapInArrow(lambda x: freed(_prefixes(x, n, shared.value, num, den)), PREFIXES)
     clusters = components(_edges(rows, num, den))
 
     first = F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "key")).alias("first")
@@ -496,14 +506,14 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int)
     members = _formed_anew(given, members, n, num, den)
     blocks = _narrow(_blocks(members, num, den))
     found = given.withColumn("at", F.xxhash64("doc", "key")).join(blocks, "at").select("text", "class", "copies", "blocks")
-    sets = found.mapInArrow(lambda x: _sets(x, n), f"class long, copies long, blocks {BLOCKS}, shingles array<long>")
+    sets = found.mapInArrow(lambda x: freed(_sets(x, n)), f"class long, copies long, blocks {BLOCKS}, shingles array<long>")
     return signed, classes, sets.withColumn("to", F.explode("blocks")).select("to.block", "to.side", "class", "copies", "shingles")
 
 
 def _components(docs: DataFrame, doc_id: str, text: str, n: int, num: int, den: int) -> DataFrame:
     """doc, key, size, and the first (unnamed, doc, key) of its component, null without shingles."""
     signed, classes, dealt = _dealt(docs, doc_id, text, n, num, den)
-    links = dealt.groupBy("block").applyInArrow(lambda x: _linked(x, num, den), "a long, b long")
+    links = dealt.groupBy("block").applyInArrow(lambda x: _joined(x, _linked, num, den), "a long, b long")
     connected = components(links)
     named = classes.join(connected, F.col("class") == F.col("vertex"), "left").withColumn("group", F.coalesce("component", "class"))
     named = cut_lineage(named.select(*CLASS, "group", "first"))
@@ -545,7 +555,7 @@ def link_counts(
 ) -> DataFrame:
     """doc_id, n_shingles, n_links (how many other documents it is linked with) for each document."""
     signed, classes, dealt = _dealt(docs, doc_id, text, n, num, den)
-    sums = dealt.groupBy("block").applyInArrow(lambda x: _link_sums(x, num, den), "class long, n long")
+    sums = dealt.groupBy("block").applyInArrow(lambda x: _joined(x, _link_sums, num, den), "class long, n long")
     sums = sums.groupBy("class").agg(F.sum("n").alias("n"))
     linked = classes.join(sums, "class", "left").select(*CLASS, (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     return signed.join(linked, CLASS, "left").select(

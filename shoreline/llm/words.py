@@ -8,6 +8,7 @@ pieces of about BLOCK bytes and keeps 8 bytes per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,3 +137,20 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
         if done == n:
             return mix(total + _U(n))
         run, length = after(run, length, run, length), 2 * length
+
+
+def give_back() -> None:
+    """Return what this worker has freed to the system; an idle worker would keep it beside the other one's tasks."""
+    pa.default_memory_pool().release_unused()
+    # only glibc has it
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def freed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task; after the last one its worker gives memory back."""
+    try:
+        yield from rows
+    finally:
+        give_back()

@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brute import components as brute
@@ -253,3 +254,30 @@ def test_ranks_of_a_chunk_take_little_more_than_the_chunk():
     place = {int(t): i for i, t in enumerate(tokens[np.lexsort((tokens, count))])}
     assert all(sorted(place[int(t)] for t in s) == r.tolist() for s, r in zip(sets, ranks))
     assert [len(r) for r in trie._ranks([sets[0][:0], sets[1][:0]])] == [0, 0]
+
+
+def resident():
+    with open("/proc/self/status") as f:
+        return next(int(x.split()[1]) for x in f if x.startswith("VmRSS"))
+
+
+def test_memory_goes_back_after_a_task_and_after_a_large_block(monkeypatch):
+    def used_and_freed():
+        # small pieces, of which the last stays, are kept by the allocator
+        held = [np.ones(10_000, np.uint8) for _ in range(12_000)]
+        last = held.pop()
+        yield last
+        held.clear()
+        kept.append((resident(), last))
+
+    kept = []
+    assert len(list(words.freed(used_and_freed()))) == 1
+    assert kept[0][0] - resident() > 50_000
+    calls = []
+    monkeypatch.setattr(jaccard, "give_back", lambda: calls.append(1))
+    for tokens, given in ((10, 0), (300_000, 1)):
+        values = np.sort(np.random.default_rng(1).integers(0, 1 << 62, tokens))
+        rows = [values.tolist(), values[1:].tolist()]
+        group = pa.table({"block": [1, 1], "side": [-1, -1], "class": [5, 6], "copies": [1, 1], "shingles": pa.array(rows, pa.list_(pa.int64()))})
+        assert sorted(jaccard._joined(group, jaccard._linked, 9, 10).to_pylist()[0].values()) == [5, 6]
+        assert len(calls) == given
